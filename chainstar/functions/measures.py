@@ -105,10 +105,14 @@ def scaled_columns(value: Column | str, scale_in: int, prefix: str) -> list[Colu
 
 # -- value and price of hashrate (D13-D15) ------------------------------------
 
-def usd(price: Column | str, btc: Column | str) -> Column:
-    """``price * btc`` as decimal(21,6); the product is exact before the cast."""
-    return (_col(price).cast(DecimalType(21, 2)) * _col(btc).cast(DecimalType(16, 8))) \
-        .cast(DecimalType(21, 6))
+def usd(price: Column | str, btc: Column | str, btc_scale: int = 8) -> Column:
+    """``price * btc`` as decimal(21,6), rounded once from the exact product.
+
+    ``btc_scale`` is the number of decimals of ``btc`` (8 for amounts, 11 for
+    the average fee).
+    """
+    num = int_mul(to_units(price, 2), to_units(btc, btc_scale))
+    return exact_ratio(num, F.lit(1), 21, 6, num_scale=2 + btc_scale)
 
 
 def hashvalue(reward_sats: Column | str, hashrate_units: Column, unit_power: int) -> Column:

@@ -81,14 +81,9 @@ BLOCK_STAGE_ORDER = [
 ]
 
 
-def staged_blocks(src_block: DataFrame, run_ts=None) -> DataFrame:
-    """Cleaned, typed, keep-latest blocks: the shared input of every block model.
-
-    The reference restages ``src.block`` in four models and dedupes each
-    copy with an arbitrary order; one total order here makes all models see
-    the same surviving row (G8).  Dedupe subsumes ``select distinct``.
-    """
-    staged = stage(src_block, {
+def stage_blocks(src_block: DataFrame, run_ts=None, distinct: bool = False) -> DataFrame:
+    """R1 on ``src.block``: cleaned and typed rows with a non-NULL key."""
+    return stage(src_block, {
         "block_key": clean("block_hash"),
         "prev_block_hash": clean("prev_block_hash"),
         "blockheight": F.col("blockheight").cast("int"),
@@ -100,8 +95,17 @@ def staged_blocks(src_block: DataFrame, run_ts=None) -> DataFrame:
         "reward_tx_fee_sum": F.col("reward_tx_fee_sum").cast("long"),
         "tx_count": F.col("tx_count").cast("int"),
         "audit_created_timestamp": audit_column(src_block, run_ts),
-    }, not_null=["block_key"])
-    return dedupe_latest(staged, ["block_key"], ["audit_created_timestamp"])
+    }, not_null=["block_key"], distinct=distinct)
+
+
+def staged_blocks(src_block: DataFrame, run_ts=None) -> DataFrame:
+    """Cleaned, typed, keep-latest blocks: the shared input of every block model.
+
+    The reference restages ``src.block`` in four models and dedupes each
+    copy with an arbitrary order; one total order here makes all models see
+    the same surviving row (G8).  Dedupe subsumes ``select distinct``.
+    """
+    return dedupe_latest(stage_blocks(src_block, run_ts), ["block_key"], ["audit_created_timestamp"])
 
 
 def halving_flag(height: str = "blockheight") -> Column:

@@ -68,7 +68,7 @@ def obt_network_stats_1d(fact_network: DataFrame, fact_price: DataFrame,
         M.usd("price_close", "reward_subsidy_sum_btc").alias("reward_subsidy_sum_usd"),
         M.usd("price_close", "reward_tx_fee_sum_btc").alias("reward_tx_fee_sum_usd"),
         "tx_fee_avg", "tx_fee_avg_btc",
-        M.usd("price_close", "tx_fee_avg_btc").alias("tx_fee_avg_usd"),
+        M.usd("price_close", "tx_fee_avg_btc", 11).alias("tx_fee_avg_usd"),
         M.hashvalue("reward_mining_sum", to_units("estimated_hashrate_th", 12), 12)
         .alias("hashvalue_sat_th"),
         M.hashvalue("reward_mining_sum", to_units("estimated_hashrate_ph", 15), 15)
@@ -114,7 +114,7 @@ def obt_pool_stats_1d(fact_pool: DataFrame, fact_network: DataFrame, fact_price:
         M.usd("price_close", "reward_subsidy_sum_btc").alias("reward_subsidy_sum_usd"),
         M.usd("price_close", "reward_tx_fee_sum_btc").alias("reward_tx_fee_sum_usd"),
         "tx_fee_avg", "tx_fee_avg_btc",
-        M.usd("price_close", "tx_fee_avg_btc").alias("tx_fee_avg_usd"),
+        M.usd("price_close", "tx_fee_avg_btc", 11).alias("tx_fee_avg_usd"),
     ])
     n, e = "block_count", "expected_block_count"
     return combined.select(
