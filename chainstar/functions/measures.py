@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from chainstar.functions.numeric import (
-    exact_ratio, from_units, int_mul, round_div, safe_ratio, to_units,
+    exact_ratio, from_units, int_mul, round_div, safe_ratio, shift_round, to_units,
 )
 
 # Seconds in a day and 2^32 / 86400 reduced to lowest terms
@@ -96,10 +96,14 @@ def hashrate_columns(units: Column, prefix: str) -> list[Column]:
     return out
 
 
-def scaled_columns(value: Column | str, scale_in: int, prefix: str) -> list[Column]:
-    """TH/PH/EH scales of a decimal with ``scale_in`` decimals: ``value / 10^k`` at scale k."""
-    units = to_units(value, scale_in)
-    return [exact_ratio(units, F.lit(1), 30, k, num_scale=scale_in + k).alias(f"{prefix}_{suffix}")
+def scaled_columns(value: Column | str, prefix: str) -> list[Column]:
+    """TH/PH/EH scales of a decimal: ``value / 10^k`` rounded at scale k.
+
+    Rounding ``value / 10^k`` at k decimals is rounding ``value`` to a whole
+    number and shifting it, so one cast and an exact shift suffice.
+    """
+    whole = _col(value).cast(DecimalType(38, 0))
+    return [from_units(whole, k, 30).alias(f"{prefix}_{suffix}")
             for suffix, k in HASHRATE_UNITS.items()]
 
 
@@ -112,7 +116,7 @@ def usd(price: Column | str, btc: Column | str, btc_scale: int = 8) -> Column:
     the average fee).
     """
     num = int_mul(to_units(price, 2), to_units(btc, btc_scale))
-    return exact_ratio(num, F.lit(1), 21, 6, num_scale=2 + btc_scale)
+    return shift_round(num, 2 + btc_scale, 21, 6)
 
 
 def hashvalue(reward_sats: Column | str, hashrate_units: Column, unit_power: int) -> Column:
@@ -127,7 +131,7 @@ def hashvalue(reward_sats: Column | str, hashrate_units: Column, unit_power: int
 def hashprice(price: Column | str, hashvalue_col: Column | str) -> Column:
     """``price / 10^8 * hashvalue`` in USD, decimal(30,9)."""
     num = int_mul(to_units(price, 2), to_units(hashvalue_col, 9))
-    return exact_ratio(num, F.lit(1), 30, 9, num_scale=2 + 9 + 8)
+    return shift_round(num, 2 + 9 + 8, 30, 9)
 
 
 # -- luck (D16-D19) --------------------------------------------------------------

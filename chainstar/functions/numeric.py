@@ -71,34 +71,49 @@ def int_mul(*cols: Column | str | int) -> Column:
 def round_div(num: Column, den: Column) -> Column:
     """``round(num / den)`` half away from zero, for integral num and den.
 
+    ``floor((2|n| + |d|) / 2|d|)`` with the sign of ``n / d``; the floor of a
+    non-negative quotient is ``(a - a % b) / b``, an exact division.
     Returns ``decimal(38,0)``.  ``den = 0`` raises under ANSI mode, like the
     reference's unguarded divisions.
     """
     n = _c(num).cast(INT38)
     d = _c(den).cast(INT38)
-    r = (n % d).cast(INT38)                        # sign of n (truncation)
-    q = ((n - r) / d).cast(INT38)                  # exact: n - r is a multiple of d
-    away = F.when((n < 0) != (d < 0), F.lit(-1)).otherwise(F.lit(1))
-    bump = F.when(F.abs(r) * 2 >= F.abs(d), away).otherwise(F.lit(0))
-    return (q + bump.cast(DecimalType(1, 0))).cast(INT38)
+    a = F.abs(n) * 2 + F.abs(d)        # (38,0) arithmetic stays integral
+    b = F.abs(d) * 2
+    q = ((a - a % b) / b).cast(INT38)
+    return F.when((n < 0) != (d < 0), -q).otherwise(q)
 
 
 def from_units(units: Column, scale: int, precision: int) -> Column:
     """``units * 10^-scale`` as ``decimal(precision, scale)``, exactly.
 
-    A plain multiplication by ``1e-scale`` would be typed ``(38, <scale)`` by
-    Spark, so the value is split into integral and fractional parts.
+    A single multiplication by ``1e-scale`` would be typed with a cut scale
+    by Spark once ``precision + scale`` passes 38, so the shift is done in
+    steps of at most ``37 - precision`` digits, each product exact and cast
+    back to ``(precision, digits so far)``.  Each step reads the previous
+    one once: the expression grows linearly.
     """
-    if precision > 37 or scale > 18:
-        raise ValueError("from_units supports precision <= 37 and scale <= 18")
-    u = _c(units).cast(INT38)
-    if scale == 0:
-        return u.cast(DecimalType(precision, 0))
-    base = pow10(scale)
-    lo = (u % base).cast(DecimalType(scale, 0))
-    hi = ((u - lo) / base).cast(DecimalType(max(precision - scale, 1), 0))
-    frac = lo * F.lit(Decimal(1).scaleb(-scale)).cast(DecimalType(scale, scale))
-    return (hi + frac).cast(DecimalType(precision, scale))
+    if precision > 30:
+        raise ValueError("from_units supports precision <= 30")
+    step = max(scale, 1) if precision + scale <= 37 else 37 - precision
+    out = _c(units).cast(DecimalType(precision, 0))
+    done = 0
+    while done < scale:
+        k = min(step, scale - done)
+        done += k
+        out = (out * F.lit(Decimal(1).scaleb(-k)).cast(DecimalType(k, k))) \
+            .cast(DecimalType(precision, done))
+    return out
+
+
+def shift_round(units: Column, k: int, precision: int, scale: int, digits: int = 30) -> Column:
+    """``units * 10^-k`` rounded once at ``scale`` (<= k), as ``decimal(precision, scale)``.
+
+    Dividing by a power of ten needs no division: the exact value is built
+    with ``from_units`` (``digits`` bounds the digits of ``units``) and a
+    single cast rounds it half away from zero.
+    """
+    return from_units(units, k, digits).cast(DecimalType(precision, scale))
 
 
 def exact_ratio(num_units: Column, den_units: Column, precision: int, scale: int,

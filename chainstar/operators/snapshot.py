@@ -36,35 +36,33 @@ def micros_since_midnight(ts: Column | str, day: Column | str) -> Column:
     return F.timestamp_diff("MICROSECOND", day.cast("timestamp_ntz"), ts)
 
 
-def regime_weighted_avg(blocks: DataFrame, daily: DataFrame, *, day: str = "event_date",
-                        ts: str = "event_timestamp", height: str = "blockheight",
-                        level: str = "difficulty", is_change: Column | str,
-                        change_every: int, first: str = "difficulty_first",
-                        out: str = "difficulty_weighted_avg", level_scale: int = 9,
-                        precision: int = 30) -> DataFrame:
+def regime_weighted_avg(changes: DataFrame, daily: DataFrame, *, change_every: int,
+                        day: str = "event_date", ts: str = "event_timestamp",
+                        height: str = "blockheight", level: str = "difficulty",
+                        first: str = "difficulty_first", out: str = "difficulty_weighted_avg",
+                        level_scale: int = 9, precision: int = 30) -> DataFrame:
     """Add the day's time-weighted mean level to ``daily``.
 
-    The level is a step function that changes at the change rows (heights
-    that are multiples of ``change_every``).  The day starts at ``first``
-    (level of the day's lowest height), each change holds from its own time
-    until the next change of the same day (height + ``change_every``) or the
-    end of the day.  With one change this is the reference's blend
-    ``first * t / 86400 + new * (86400 - t) / 86400``; without a change it
-    is ``first``; with several (G11) it is the exact segment-weighted mean
-    where the reference would fan out.  The result is exact, rounded once to
-    ``decimal(precision, level_scale)``.
+    The level is a step function that changes at the rows of ``changes``
+    (day, height, time, new level; heights are multiples of
+    ``change_every``).  The day starts at ``first`` (level of the day's
+    lowest height); each change holds from its own time until the next
+    change of the same day (height + ``change_every``) or the end of the day.
+    With one change this is the reference's blend ``first * t / 86400 + new *
+    (86400 - t) / 86400``; without a change it is ``first``; with several
+    (G11) it is the exact segment-weighted mean where the reference would fan
+    out.  The result is exact, rounded once to ``decimal(precision, level_scale)``.
 
-    Only change rows (1 in ``change_every``) are joined and shuffled, keyed
-    by (day, height): no window over a whole day.
+    Only change rows are joined, keyed by (day, height): no window over a day,
+    so a day holding a large share of the data is no hot partition.
     """
-    chg = F.col(is_change) if isinstance(is_change, str) else is_change
-    changes = blocks.filter(chg).select(
+    c = changes.select(
         F.col(day), F.col(height).cast("long").alias("__h"),
         to_units(level, level_scale).alias("__lvl"),
         micros_since_midnight(ts, day).alias("__t"))
-    nxt = changes.select(F.col(day), (F.col("__h") - F.lit(change_every)).alias("__h"),
-                         F.col("__t").alias("__t_next"))
-    segments = changes.join(nxt, [day, "__h"], "left").select(
+    nxt = c.select(F.col(day), (F.col("__h") - F.lit(change_every)).alias("__h"),
+                   F.col("__t").alias("__t_next"))
+    segments = c.join(nxt, [day, "__h"], "left").select(
         F.col(day), F.col("__h"), F.col("__t"),
         int_mul(F.col("__lvl"), F.coalesce(F.col("__t_next"), F.lit(DAY_MICROS)) - F.col("__t"))
         .alias("__area"))

@@ -162,8 +162,9 @@ weighted_days AS (
   FROM net_agg a LEFT JOIN chg_day c USING (event_date))
 SELECT * FROM weighted_days""")
 def j9_regime_weighted_avg(spark, sf_dir):
-    blocks = marts(spark, sf_dir).blocks
-    daily = facts.with_weighted_difficulty(blocks, facts.daily_network_aggregate(blocks))
+    cube = facts.block_cube(marts(spark, sf_dir).blocks)
+    daily = facts.with_weighted_difficulty(facts.adjustments(cube),
+                                           facts.network_day(facts.pool_day(cube)))
     return daily.select("event_date", "difficulty_first", "difficulty_last",
                         "difficulty_weighted_avg")
 

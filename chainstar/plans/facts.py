@@ -106,29 +106,98 @@ def fact_block(blocks: DataFrame, dim_date: DataFrame, dim_pool: DataFrame,
 
 
 # -- daily snapshots -------------------------------------------------------------
-
-def daily_network_aggregate(blocks: DataFrame) -> DataFrame:
-    """A2 + J7 folded: one pass over the blocks, one row per day."""
-    return periodic_snapshot(blocks, ["event_date"], [
-        F.bool_or(halving_flag()).alias("has_subsidy_halving"),            # A5
-        F.bool_or(adjustment_flag()).alias("has_difficulty_adjustment"),
-        F.count("block_key").alias("block_count"),                         # unique after dedupe
+#
+# Both daily facts roll up one pre-aggregate of the deduped blocks at the
+# finest grain they need: (day, pool, adjustment height).  Ordinary blocks
+# of a pool-day collapse into one row (adjustment height NULL); each
+# adjustment block keeps a row of its own with its time and new level.  The
+# pool-day, the day and the day's adjustments are all re-aggregations of it
+# (A4), so the block table is read and shuffled once, as partial aggregates.
+
+def block_cube(blocks: DataFrame) -> DataFrame:
+    """R7 at grain (event_date, pool_key, change_height)."""
+    change_height = F.when(adjustment_flag(), F.col("blockheight"))
+    return periodic_snapshot(blocks, [F.col("event_date"), F.col("pool_key"),
+                                      change_height.alias("change_height")], [
+        F.count("block_key").alias("block_count"),                        # unique after dedupe
         F.min("blockheight").alias("blockheight_first"),
         F.max("blockheight").alias("blockheight_last"),
-        F.count_distinct("pool_key").alias("pool_count"),                  # A6
+        F.min_by("difficulty", "blockheight").alias("difficulty_first"),  # J7 folded
+        F.max_by("difficulty", "blockheight").alias("difficulty_last"),
+        F.bool_or(halving_flag()).alias("has_subsidy_halving"),           # A5
         F.sum("reward_subsidy").alias("reward_subsidy_sum"),
         F.sum("reward_tx_fee_sum").alias("reward_tx_fee_sum"),
         F.sum("tx_count").alias("tx_count"),
         F.max("audit_created_timestamp").alias("audit_created_timestamp"),
-        F.min_by("difficulty", "blockheight").alias("difficulty_first"),   # J7
-        F.max_by("difficulty", "blockheight").alias("difficulty_last"),
+        F.min("event_timestamp").alias("change_timestamp"),
     ])
 
 
-def with_weighted_difficulty(blocks: DataFrame, daily: DataFrame) -> DataFrame:
+def _rollup(df: DataFrame, grain: list[str], extra: list | None = None) -> DataFrame:
+    return periodic_snapshot(df, grain, [
+        F.sum("block_count").alias("block_count"),
+        F.min("blockheight_first").alias("blockheight_first"),
+        F.max("blockheight_last").alias("blockheight_last"),
+        F.min_by("difficulty_first", "blockheight_first").alias("difficulty_first"),
+        F.max_by("difficulty_last", "blockheight_last").alias("difficulty_last"),
+        F.bool_or("has_subsidy_halving").alias("has_subsidy_halving"),
+        F.sum("reward_subsidy_sum").alias("reward_subsidy_sum"),
+        F.sum("reward_tx_fee_sum").alias("reward_tx_fee_sum"),
+        F.sum("tx_count").alias("tx_count"),
+        F.max("audit_created_timestamp").alias("audit_created_timestamp"),
+        *(extra or []),
+    ])
+
+
+def pool_day(cube: DataFrame) -> DataFrame:
+    """A3: one row per (day, pool); a NULL pool forms its own group."""
+    return _rollup(cube, ["event_date", "pool_key"],
+                   [F.bool_or(F.col("change_height").isNotNull()).alias("has_difficulty_adjustment")])
+
+
+def network_day(pools: DataFrame) -> DataFrame:
+    """A4: the day from its (day, pool) rows; ``count(pool_key)`` over pool
+    groups is ``count(distinct pool_key)`` over blocks (A6)."""
+    return _rollup(pools, ["event_date"], [
+        F.bool_or("has_difficulty_adjustment").alias("has_difficulty_adjustment"),
+        F.count("pool_key").alias("pool_count"),
+    ])
+
+
+def adjustments(cube: DataFrame) -> DataFrame:
+    """The adjustment blocks: day, height, time and new difficulty."""
+    return cube.filter(F.col("change_height").isNotNull()).select(
+        "event_date", F.col("change_height").alias("blockheight"),
+        F.col("change_timestamp").alias("event_timestamp"),
+        F.col("difficulty_first").alias("difficulty"))
+
+
+def daily_pool_aggregate(blocks: DataFrame) -> DataFrame:
+    """A3 as in the reference's pool aggregate (columns it names)."""
+    return pool_day(block_cube(blocks)).select(
+        "event_date", "pool_key", "has_difficulty_adjustment", "block_count", "blockheight_first",
+        "blockheight_last", "reward_subsidy_sum", "reward_tx_fee_sum", "tx_count",
+        "audit_created_timestamp", "difficulty_first")
+
+
+def network_from_pools(pool_daily: DataFrame) -> DataFrame:
+    """A4 as in the reference's network-from-pool aggregate."""
+    return periodic_snapshot(pool_daily, ["event_date"], [
+        F.bool_or("has_difficulty_adjustment").alias("has_difficulty_adjustment"),
+        F.min("blockheight_first").alias("blockheight_first"),
+        F.max("blockheight_last").alias("blockheight_last"),
+        F.min_by("difficulty_first", "blockheight_first").alias("difficulty_first"),
+    ])
+
+
+def daily_network_aggregate(blocks: DataFrame) -> DataFrame:
+    """A2: one row per day (counts, sums, first and last difficulty)."""
+    return network_day(pool_day(block_cube(blocks)))
+
+
+def with_weighted_difficulty(changes: DataFrame, daily: DataFrame) -> DataFrame:
     """D9 via R8 over the day's difficulty adjustments."""
-    return regime_weighted_avg(blocks, daily, is_change=adjustment_flag(),
-                               change_every=ADJUSTMENT_INTERVAL)
+    return regime_weighted_avg(changes, daily, change_every=ADJUSTMENT_INTERVAL)
 
 
 def _reward_columns() -> list:
@@ -147,11 +216,15 @@ def _reward_columns() -> list:
     ]
 
 
-def fact_network_stats_1d(blocks: DataFrame, dim_date: DataFrame) -> DataFrame:
+def fact_network_stats_1d(blocks: DataFrame, dim_date: DataFrame,
+                          cube: DataFrame | None = None) -> DataFrame:
     """One row per day: counts, rewards, first/last/weighted difficulty, hashrate."""
-    daily = with_weighted_difficulty(blocks, daily_network_aggregate(blocks))
+    cube = block_cube(blocks) if cube is None else cube
+    daily = with_weighted_difficulty(adjustments(cube), network_day(pool_day(cube)))
     rel = with_date_id(daily, dim_date)
-    est = M.estimated_hashrate_units("block_count", "difficulty_weighted_avg")
+    # Materialised once, read by four scale columns.
+    rel = rel.withColumn("__est", M.estimated_hashrate_units("block_count", "difficulty_weighted_avg"))
+    est = F.col("__est")
     return rel.select(
         bounded("date_id", 512).alias("date_id"),
         F.col("has_subsidy_halving"),
@@ -179,41 +252,18 @@ def staged_hashrate(src_hashrate: DataFrame, run_ts=None) -> DataFrame:
     return dedupe_latest(staged, ["event_date", "pool_key"], ["audit_created_timestamp"])   # W2
 
 
-def daily_pool_aggregate(blocks: DataFrame) -> DataFrame:
-    """A3: one row per (day, pool); a NULL pool forms its own group."""
-    return periodic_snapshot(blocks, ["event_date", "pool_key"], [
-        F.bool_or(adjustment_flag()).alias("has_difficulty_adjustment"),
-        F.count("block_key").alias("block_count"),
-        F.min("blockheight").alias("blockheight_first"),
-        F.max("blockheight").alias("blockheight_last"),
-        F.sum("reward_subsidy").alias("reward_subsidy_sum"),
-        F.sum("reward_tx_fee_sum").alias("reward_tx_fee_sum"),
-        F.sum("tx_count").alias("tx_count"),
-        F.max("audit_created_timestamp").alias("audit_created_timestamp"),
-        F.min_by("difficulty", "blockheight").alias("difficulty_first"),
-    ])
-
-
-def network_from_pools(pool_daily: DataFrame) -> DataFrame:
-    """A4: the day from its (day, pool) rows: or-of-or, min-of-min, max-of-max."""
-    return periodic_snapshot(pool_daily, ["event_date"], [
-        F.bool_or("has_difficulty_adjustment").alias("has_difficulty_adjustment"),
-        F.min("blockheight_first").alias("blockheight_first"),
-        F.max("blockheight_last").alias("blockheight_last"),
-        F.min_by("difficulty_first", "blockheight_first").alias("difficulty_first"),
-    ])
-
-
 def fact_pool_stats_1d(blocks: DataFrame, src_hashrate: DataFrame, dim_date: DataFrame,
-                       dim_pool: DataFrame, collapse_unknown: bool = False) -> DataFrame:
+                       dim_pool: DataFrame, collapse_unknown: bool = False,
+                       cube: DataFrame | None = None) -> DataFrame:
     """One row per (day, raw pool): blocks, rewards, reported and estimated hashrate.
 
     Unmatched pools get id ``'0'`` after grouping, so several raw pools can
     share ``(date_id, '0')`` as in the reference (G10);
     ``collapse_unknown=True`` re-aggregates them to the stated grain.
     """
-    pools = daily_pool_aggregate(blocks)
-    network = with_weighted_difficulty(blocks, network_from_pools(pools)) \
+    cube = block_cube(blocks) if cube is None else cube
+    pools = pool_day(cube)
+    network = with_weighted_difficulty(adjustments(cube), network_day(pools)) \
         .select("event_date", "difficulty_weighted_avg")
     # One row per calendar day at most (inner join to the fixed-size
     # calendar), so the day table is broadcast; the date key comes with it.
@@ -232,12 +282,13 @@ def fact_pool_stats_1d(blocks: DataFrame, src_hashrate: DataFrame, dim_date: Dat
             F.sum("reward_tx_fee_sum").alias("reward_tx_fee_sum"),
             F.sum("tx_count").alias("tx_count"),
             F.max("audit_created_timestamp").alias("audit_created_timestamp"))
-    est = M.estimated_hashrate_units("block_count", "difficulty_weighted_avg")
+    rel = rel.withColumn("__est", M.estimated_hashrate_units("block_count", "difficulty_weighted_avg"))
+    est = F.col("__est")
     return rel.select(
         bounded("date_id", 512).alias("date_id"),
         bounded("pool_id", 512).alias("pool_id"),
         F.col("reported_hashrate").cast(DecimalType(30, 9)).alias("reported_hashrate"),
-        *M.scaled_columns(F.col("reported_hashrate").cast(DecimalType(30, 9)), 9, "reported_hashrate"),
+        *M.scaled_columns(F.col("reported_hashrate").cast(DecimalType(30, 9)), "reported_hashrate"),
         *M.hashrate_columns(est, "estimated_hashrate"),
         F.col("block_count").cast("int").alias("block_count"),
         F.col("blockheight_first").cast("int").alias("blockheight_first"),

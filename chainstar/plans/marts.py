@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from chainstar.operators.sinks import create_view, write_table
@@ -77,8 +78,10 @@ class Marts:
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], run_ts=None,
-                 strict: bool = True, collapse_unknown: bool = False):
+                 strict: bool = True, collapse_unknown: bool = False, persist_shared: bool = True):
         self.spark = spark
+        self.persist_shared = persist_shared
+        self._persisted: list[DataFrame] = []
         self.sources = dict(sources)
         self.run_ts = run_ts
         self.strict = strict
@@ -88,12 +91,34 @@ class Marts:
     def reuse(self, name: str, df: DataFrame) -> None:
         self._cache[name] = df
 
+    def _shared(self, df: DataFrame) -> DataFrame:
+        """Persist an intermediate read by several models (memory, spilling to
+        disk).  Lost partitions are recomputed from lineage, so executor loss
+        is survived.  Only small day- or dimension-grain data is persisted."""
+        if not self.persist_shared:
+            return df
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self._persisted.append(df)
+        return df
+
+    def release(self) -> None:
+        for df in self._persisted:
+            df.unpersist()
+        self._persisted.clear()
+
     @property
     def blocks(self) -> DataFrame:
         if "stage.block" not in self._cache:
             self._cache["stage.block"] = dims.staged_blocks(self.sources["block"], self.run_ts)
         return self._cache["stage.block"]
 
+    @property
+    def cube(self) -> DataFrame:
+        """The daily pre-aggregate both daily facts roll up."""
+        if "stage.cube" not in self._cache:
+            self._cache["stage.cube"] = self._shared(facts.block_cube(self.blocks))
+        return self._cache["stage.cube"]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             self._cache[name] = self._build(name)
@@ -104,7 +129,7 @@ class Marts:
         if name == "dim.date":
             return dims.calendar(self.spark)
         if name == "dim.pool":
-            return dims.dim_pool(s["pool"], r)
+            return self._shared(dims.dim_pool(s["pool"], r))
         if name == "dim.block":
             return dims.dim_block(self.blocks)
         if name == "fact.price_1d":
@@ -112,10 +137,10 @@ class Marts:
         if name == "fact.block":
             return facts.fact_block(self.blocks, self["dim.date"], self["dim.pool"])
         if name == "fact.network_stats_1d":
-            return facts.fact_network_stats_1d(self.blocks, self["dim.date"])
+            return facts.fact_network_stats_1d(self.blocks, self["dim.date"], cube=self.cube)
         if name == "fact.pool_stats_1d":
             return facts.fact_pool_stats_1d(self.blocks, s["hashrate"], self["dim.date"],
-                                            self["dim.pool"], self.collapse_unknown)
+                                            self["dim.pool"], self.collapse_unknown, cube=self.cube)
         if name == "obt.block":
             return obts.obt_block(self["fact.block"], self["dim.block"], self["dim.date"],
                                   self["dim.pool"])
@@ -137,9 +162,8 @@ def build(marts: Marts, base_path: str, names: Iterable[str] | None = None,
     Dims and facts are written as Parquet (full rebuild); each one read back
     replaces its plan, so downstream models read the table, not the lineage.
     OBTs become views (K2) unless ``obt_as_view=False`` (K3).
-    ``fact.block`` is partitioned by month of its date_id... kept flat here:
-    with ``block_buckets`` and ``use_catalog`` both block tables are bucketed
-    by ``block_id`` so ``obt.block`` joins them without a shuffle.
+    With ``block_buckets`` and ``use_catalog`` both block tables are bucketed
+    by ``block_id`` so that ``obt.block`` joins them without a shuffle.
     """
     spark = marts.spark
     wanted = list(DAG) if names is None else [n for n in DAG if n in set(names)]

@@ -22,6 +22,11 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.ui.enabled": "false",
+    # HotSpot does not JIT-compile methods over 8000 bytes of bytecode; Spark's
+    # documentation recommends this limit on HotSpot so that a fused stage
+    # that would exceed it falls back to per-operator compiled code instead
+    # of running an interpreted giant method.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
