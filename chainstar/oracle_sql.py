@@ -519,3 +519,114 @@ def select_from(rel: str, extra_ctes: str = "", body: str | None = None) -> str:
     if extra_ctes:
         head = head.rstrip("\n") + ",\n" + extra_ctes + "\n"
     return head + (body or f"SELECT * FROM {rel}")
+
+
+# -- extensions (E3, E4, E5) ----------------------------------------------------------
+
+def _reward_tail(s="reward_subsidy_sum", f="reward_tx_fee_sum", m="reward_mining_sum", t="tx_count"):
+    return (f"{xratio(f'100 * {f}', f'{s} + {f}', 12, 9)} AS reward_tx_fee_pct, "
+            f"{btc(m)} AS reward_mining_sum_btc, {xratio(f, t, 16, 3)} AS tx_fee_avg")
+
+
+def epoch_summary(epoch: str) -> str:
+    return select_from("obt_block", body=f"""
+SELECT {epoch}, block_count, blockheight_first, blockheight_last, first_block_timestamp,
+       last_block_timestamp, epoch_us(last_block_timestamp) - epoch_us(first_block_timestamp) AS epoch_span_us,
+       difficulty_min, difficulty_max, pool_count, reward_mining_sum, reward_subsidy_sum,
+       reward_tx_fee_sum, tx_count, {_reward_tail()}
+FROM (SELECT {epoch}, count(block_id) AS block_count, min(blockheight) AS blockheight_first,
+             max(blockheight) AS blockheight_last, min(event_timestamp) AS first_block_timestamp,
+             max(event_timestamp) AS last_block_timestamp, min(difficulty) AS difficulty_min,
+             max(difficulty) AS difficulty_max, count(DISTINCT pool_id) AS pool_count,
+             CAST(sum(reward_mining) AS BIGINT) AS reward_mining_sum,
+             CAST(sum(reward_subsidy) AS BIGINT) AS reward_subsidy_sum,
+             CAST(sum(reward_tx_fee_sum) AS BIGINT) AS reward_tx_fee_sum,
+             CAST(sum(tx_count) AS BIGINT) AS tx_count
+      FROM obt_block GROUP BY {epoch})""")
+
+
+POOL_SUMMARY = select_from("obt_block", body=f"""
+SELECT *, {_reward_tail()}
+FROM (SELECT pool_id, pool_key, pool_name, count(block_id) AS block_count,
+             min(blockheight) AS blockheight_first, max(blockheight) AS blockheight_last,
+             min(event_timestamp) AS first_block_timestamp, max(event_timestamp) AS last_block_timestamp,
+             count(DISTINCT date_id) AS active_days,
+             CAST(sum(reward_mining) AS BIGINT) AS reward_mining_sum,
+             CAST(sum(reward_subsidy) AS BIGINT) AS reward_subsidy_sum,
+             CAST(sum(reward_tx_fee_sum) AS BIGINT) AS reward_tx_fee_sum,
+             CAST(sum(tx_count) AS BIGINT) AS tx_count
+      FROM obt_block GROUP BY pool_id, pool_key, pool_name)""")
+
+
+def luck_model(days: int = 7) -> str:
+    e = "trailing_expected"
+    luck = xratio("trailing_block_count * 100", units(e, 9), 30, 9, 0, 9)
+    return select_from("obt_pool", extra_ctes=f"""luck_daily AS (
+  SELECT pool_id, date_id, sum(block_count) AS block_count,
+         sum(expected_block_count) AS expected_block_count
+  FROM obt_pool GROUP BY pool_id, date_id),
+luck_trailing AS (
+  SELECT *, sum(block_count) OVER w AS trailing_block_count,
+         CAST(sum(expected_block_count) OVER w AS DECIMAL(22,9)) AS trailing_expected,
+         count(date_id) OVER w AS trailing_days
+  FROM luck_daily
+  WINDOW w AS (PARTITION BY pool_id ORDER BY date_id ROWS BETWEEN {days - 1} PRECEDING AND CURRENT ROW))""",
+        body=f"""SELECT pool_id, date_id, CAST(block_count AS BIGINT) AS block_count,
+       CAST(expected_block_count AS DECIMAL(22,9)) AS expected_block_count, trailing_days,
+       CAST(trailing_block_count AS BIGINT) AS trailing_block_count, {e},
+       CASE WHEN {e} > 0 THEN TRY_CAST({luck} AS DECIMAL(12,9)) END AS trailing_luck,
+       CASE WHEN {e} > 0 THEN round((CAST(trailing_block_count AS DOUBLE) - CAST({e} AS DOUBLE))
+            / sqrt(CAST({e} AS DOUBLE)), 6) END AS luck_z_score
+FROM luck_trailing""")
+
+
+# -- second star: order lines --------------------------------------------------------------
+
+ORDERS_STAR = f"""part_staged AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS part_key, trim(p_name) AS part_name, trim(p_brand) AS brand,
+         trim(p_type) AS part_type, CAST(p_size AS INTEGER) AS size,
+         CAST(p_retailprice AS DECIMAL(12,2)) AS retail_price
+  FROM part WHERE p_partkey IS NOT NULL),
+dim_part AS (
+  SELECT md5('surrogate' || part_key) AS part_id, *
+  FROM ({dedupe('part_staged', ['part_key'], ['part_name', 'brand', 'part_type', 'size', 'retail_price'])})
+  UNION ALL BY NAME SELECT '0' AS part_id, '[Unknown]' AS part_key, '[Unknown]' AS part_name),
+supplier_staged AS (
+  SELECT CAST(s_suppkey AS VARCHAR) AS supplier_key, trim(s_name) AS supplier_name,
+         CAST(s_nationkey AS INTEGER) AS nation_key, CAST(s_acctbal AS DECIMAL(12,2)) AS account_balance
+  FROM supplier WHERE s_suppkey IS NOT NULL),
+dim_supplier AS (
+  SELECT md5('surrogate' || supplier_key) AS supplier_id, *
+  FROM ({dedupe('supplier_staged', ['supplier_key'], ['supplier_name', 'nation_key', 'account_balance'])})
+  UNION ALL BY NAME SELECT '0' AS supplier_id, '[Unknown]' AS supplier_key, '[Unknown]' AS supplier_name),
+li_staged AS (
+  SELECT CAST(l_orderkey AS BIGINT) AS order_key, CAST(l_linenumber AS INTEGER) AS line_number,
+         CAST(l_shipdate AS DATE) AS ship_date, CAST(l_partkey AS VARCHAR) AS part_key,
+         CAST(l_suppkey AS VARCHAR) AS supplier_key, CAST(l_quantity AS DECIMAL(12,2)) AS quantity,
+         CAST(l_extendedprice AS DECIMAL(18,2)) AS extended_price,
+         CAST(l_discount AS DECIMAL(4,2)) AS discount, CAST(l_tax AS DECIMAL(4,2)) AS tax,
+         trim(l_returnflag) AS return_flag, trim(l_linestatus) AS line_status
+  FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL),
+li_latest AS ({dedupe('li_staged', ['order_key', 'line_number'], ['ship_date', 'part_key', 'supplier_key', 'quantity', 'extended_price', 'discount', 'tax', 'return_flag', 'line_status'])}),
+fact_li AS (
+  SELECT dd.date_id, l.order_key, l.line_number, coalesce(p.part_id, '0') AS part_id,
+         coalesce(s.supplier_id, '0') AS supplier_id, l.return_flag, l.line_status, l.quantity,
+         l.extended_price, l.discount,
+         CAST(l.extended_price * (1 - l.discount) AS DECIMAL(24,4)) AS revenue,
+         CAST(l.extended_price * (1 - l.discount) * (1 + l.tax) AS DECIMAL(28,6)) AS charge
+  FROM li_latest l
+  JOIN calendar dd ON dd.date = l.ship_date
+  LEFT JOIN (SELECT part_key, part_id FROM dim_part WHERE part_id <> '0') p ON p.part_key = l.part_key
+  LEFT JOIN (SELECT supplier_key, supplier_id FROM dim_supplier WHERE supplier_id <> '0') s
+    ON s.supplier_key = l.supplier_key)"""
+
+_DEPS["orders_star"] = ["calendar", ORDERS_STAR]
+
+SALES_DAILY = with_ctes("orders_star") + f"""SELECT date_id, return_flag, line_count, part_count,
+       quantity_sum, extended_price_sum, revenue_sum,
+       {xratio(units('extended_price_sum', 2), 'line_count', 18, 4, 2)} AS avg_extended_price
+FROM (SELECT date_id, return_flag, count(order_key) AS line_count, count(DISTINCT part_id) AS part_count,
+             CAST(sum(quantity) AS DECIMAL(22,2)) AS quantity_sum,
+             CAST(sum(extended_price) AS DECIMAL(28,2)) AS extended_price_sum,
+             CAST(sum(revenue) AS DECIMAL(34,4)) AS revenue_sum
+      FROM fact_li GROUP BY date_id, return_flag)"""

@@ -15,9 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from chainstar import oracle_sql as O
 from chainstar.operators.preview import preview
 from chainstar.operators.quality import broken_links, duplicate_keys
-from chainstar.plans import dims, facts
+import uuid
+
+from pyspark.sql import functions as F
+
+from chainstar.operators.quality import stale_heights
+from chainstar.plans import dims, extensions, facts, orders_star
 from chainstar.plans.marts import Marts
+from chainstar.session import checkpoint_dir
 from chainstar.sources.standins import load_sources, read_table
+from chainstar.streaming.block_feed import run_block_feed
 
 # The run timestamp of registered builds (audit column of rows whose source
 # has no load time); a literal keeps reruns repeatable.
@@ -197,3 +204,100 @@ def e6_grain_duplicates(spark, sf_dir):
     "AND b.blockheight > (SELECT min(blockheight) FROM blocks)")))
 def e2_broken_links(spark, sf_dir):
     return broken_links(marts(spark, sf_dir).blocks)
+
+
+@register("e2_stale_heights", O.select_from("blocks", body=(
+    "SELECT blockheight, count(*) AS block_count, min(block_key) AS first_key, "
+    "max(block_key) AS last_key FROM blocks GROUP BY blockheight HAVING count(*) > 1")))
+def e2_stale_heights(spark, sf_dir):
+    return stale_heights(marts(spark, sf_dir).blocks)
+
+
+# -- extensions (E1, E3, E4, E5, E7) ----------------------------------------------------------
+
+@register("e3_difficulty_epochs", O.epoch_summary("difficulty_epoch"))
+def e3_difficulty_epochs(spark, sf_dir):
+    return extensions.epoch_summary(marts(spark, sf_dir)["obt.block"], "difficulty_epoch")
+
+
+@register("e3_subsidy_epochs", O.epoch_summary("subsidy_epoch"))
+def e3_subsidy_epochs(spark, sf_dir):
+    return extensions.epoch_summary(marts(spark, sf_dir)["obt.block"], "subsidy_epoch")
+
+
+@register("e4_pool_alltime", O.POOL_SUMMARY)
+def e4_pool_alltime(spark, sf_dir):
+    return extensions.pool_summary(marts(spark, sf_dir)["obt.block"])
+
+
+@register("e5_luck_model", O.luck_model(extensions.TRAILING_DAYS))
+def e5_luck_model(spark, sf_dir):
+    return extensions.luck_model(marts(spark, sf_dir)["obt.pool_stats_1d"])
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder of the session."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/chainstar/{name}/{uuid.uuid4().hex}"
+
+
+@register("k7_incremental_network", O.select_from("fact_network"))
+def k7_incremental_network(spark, sf_dir):
+    """Build the daily network fact from the first delivery of each
+    block, then fold in the late re-deliveries by rebuilding only the days
+    they touch (dynamic partition overwrite); read the table back."""
+    out = _scratch(spark, "k7")
+    src = load_sources(spark, sf_dir)["block"]
+    first = src.filter(F.col("loaded_at") == F.col("timestamp"))
+    late = src.filter(F.col("loaded_at") != F.col("timestamp"))
+    m1 = Marts(spark, {"block": first}, run_ts=RUN_TS, persist_shared=False)
+    extensions.rebuild_days(m1, first.select(F.to_date("timestamp").alias("event_date")), out)
+    m2 = Marts(spark, {"block": src}, run_ts=RUN_TS, persist_shared=False)
+    extensions.rebuild_days(m2, late.select(F.to_date("timestamp").alias("event_date")), out)
+    return spark.read.parquet(out).drop("day")
+
+
+@register("e7_stream_network_1d", O.select_from("fact_network"))
+def e7_stream_network_1d(spark, sf_dir):
+    """The blocks arrive as a feed of files, first deliveries then the late
+    re-deliveries; a Structured Streaming query folds each file into the daily
+    network fact (late rows rebuild the days they touch)."""
+    base = _scratch(spark, "e7")
+    src = load_sources(spark, sf_dir)["block"]
+    src.filter(F.col("loaded_at") == F.col("timestamp")).coalesce(1) \
+        .write.parquet(f"{base}/feed/1-first")
+    src.filter(F.col("loaded_at") != F.col("timestamp")).coalesce(1) \
+        .write.parquet(f"{base}/feed/2-late")
+    run_block_feed(spark, f"{base}/feed/*", f"{base}/src_block", f"{base}/fact",
+                   f"{base}/checkpoint", run_ts=RUN_TS)
+    return spark.read.parquet(f"{base}/fact").drop("day")
+
+
+# -- second star (order lines) ----------------------------------------------------------------
+
+def _orders(spark, sf_dir):
+    lines = orders_star.lineitem_latest(read_table(spark, sf_dir, "lineitem"))
+    parts = orders_star.dim_part(read_table(spark, sf_dir, "part"))
+    sups = orders_star.dim_supplier(read_table(spark, sf_dir, "supplier"))
+    return lines, parts, sups
+
+
+@register("g_lineitem_latest", O.with_ctes("orders_star") + "SELECT * FROM li_latest")
+def g_lineitem_latest(spark, sf_dir):
+    return _orders(spark, sf_dir)[0]
+
+
+@register("g_dim_part", O.with_ctes("orders_star") + "SELECT * FROM dim_part")
+def g_dim_part(spark, sf_dir):
+    return _orders(spark, sf_dir)[1]
+
+
+@register("g_fact_lineitem", O.with_ctes("orders_star") + "SELECT * FROM fact_li")
+def g_fact_lineitem(spark, sf_dir):
+    lines, parts, sups = _orders(spark, sf_dir)
+    return orders_star.fact_lineitem(lines, dims.calendar(spark), parts, sups)
+
+
+@register("g_sales_daily", O.SALES_DAILY)
+def g_sales_daily(spark, sf_dir):
+    lines, parts, sups = _orders(spark, sf_dir)
+    return orders_star.sales_daily(orders_star.fact_lineitem(lines, dims.calendar(spark), parts, sups))
