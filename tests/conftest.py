@@ -14,7 +14,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = get_session("local[4]", 4, app="chainstar-tests",
-                    extra={"spark.ui.showConsoleProgress": "false"})
+                    extra={"spark.ui.showConsoleProgress": "false",
+                           "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="chainstar-wh-")})
     # Tests own the session: choose a checkpoint folder only because none is set.
     checkpoint_dir(s, tempfile.mkdtemp(prefix="chainstar-test-ckpt-"))
     yield s
