@@ -8,12 +8,14 @@ declared type into NULL instead of an error (T10).
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from chainstar.functions.numeric import (
-    exact_ratio, from_units, int_mul, round_div, safe_ratio, shift_round, to_units,
+    exact_ratio, from_units, int_mul, round_div, safe_ratio, sats_to_btc, shift_round, to_units,
 )
 
 # Seconds in a day and 2^32 / 86400 reduced to lowest terms
@@ -31,6 +33,23 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _memo(fn):
+    """Reuse the built expression when a measure is asked for again with the
+    same column names.  Building one exact measure takes hundreds of calls
+    into the JVM; the expression itself is session independent."""
+    cache: dict = {}
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        key = (args, tuple(sorted(kwargs.items())))
+        if not all(isinstance(a, (str, int, bool)) for a in args + tuple(kwargs.values())):
+            return fn(*args, **kwargs)
+        if key not in cache:
+            cache[key] = fn(*args, **kwargs)
+        return cache[key]
+    return wrapper
+
+
 def _fit(col: Column, precision: int, scale: int, strict: bool) -> Column:
     t = DecimalType(precision, scale)
     return col.cast(t) if strict else col.try_cast(t)
@@ -38,45 +57,59 @@ def _fit(col: Column, precision: int, scale: int, strict: bool) -> Column:
 
 # -- rewards and fees (D1-D5) ------------------------------------------------
 
+@_memo
 def reward_mining(subsidy: Column | str, fee: Column | str) -> Column:
     """Subsidy + fee in sats (NULL if either is NULL)."""
     return (_col(subsidy).cast("long") + _col(fee).cast("long")).cast("long")
 
 
+@_memo
 def fee_pct(fee: Column | str, subsidy: Column | str) -> Column:
     """``100 * fee / (subsidy + fee)`` as decimal(12,9); unguarded divide."""
     total = _col(subsidy).cast("long") + _col(fee).cast("long")
     return exact_ratio(int_mul(100, _col(fee)), total, 12, 9)
 
 
+@_memo
 def fee_avg(fee: Column | str, tx_count: Column | str) -> Column:
     """``fee / tx_count`` as decimal(16,3)."""
     return exact_ratio(_col(fee), _col(tx_count), 16, 3)
 
 
+@_memo
 def fee_avg_btc(fee: Column | str, tx_count: Column | str) -> Column:
     """``fee / tx_count / 10^8`` as decimal(19,11), from the unrounded quotient."""
     return exact_ratio(_col(fee), _col(tx_count), 19, 11, num_scale=0, den_scale=-8)
 
 
+@_memo
+def btc(col: Column | str) -> Column:
+    """D3: sats to BTC, decimal(16,8), exact."""
+    return sats_to_btc(col)
+
+
 # -- prices (D6, D7) -------------------------------------------------------------
 
+@_memo
 def price_change(close: Column | str, open_: Column | str) -> Column:
     return (_col(close) - _col(open_)).cast(DecimalType(21, 2))
 
 
+@_memo
 def price_change_pct(close: Column | str, open_: Column | str) -> Column:
     """``100 * (close - open) / open`` as decimal(18,9); NULL when open = 0."""
     c, o = to_units(close, 2), to_units(open_, 2)
     return safe_ratio(int_mul(100, c - o), o, 18, 9)
 
 
+@_memo
 def price_spread(high: Column | str, low: Column | str) -> Column:
     return (_col(high) - _col(low)).cast(DecimalType(21, 2))
 
 
 # -- hashrate (D10, D11) -------------------------------------------------------
 
+@_memo
 def estimated_hashrate_units(block_count: Column | str, difficulty: Column | str) -> Column:
     """``round(n * difficulty * 2^32 / 86400)`` in H/s, integral decimal(38,0).
 
@@ -88,14 +121,17 @@ def estimated_hashrate_units(block_count: Column | str, difficulty: Column | str
     return F.when(n == 0, F.lit(0).cast("decimal(38,0)")).otherwise(round_div(num, den))
 
 
-def hashrate_columns(units: Column, prefix: str) -> list[Column]:
+@_memo
+def hashrate_columns(units: Column | str, prefix: str) -> list[Column]:
     """``prefix`` as decimal(30,0) plus ``_th/_ph/_eh`` scales, all exact."""
+    units = _col(units)
     out = [from_units(units, 0, 30).alias(prefix)]
     for suffix, k in HASHRATE_UNITS.items():
         out.append(from_units(units, k, 30).alias(f"{prefix}_{suffix}"))
     return out
 
 
+@_memo
 def scaled_columns(value: Column | str, prefix: str) -> list[Column]:
     """TH/PH/EH scales of a decimal: ``value / 10^k`` rounded at scale k.
 
@@ -109,6 +145,7 @@ def scaled_columns(value: Column | str, prefix: str) -> list[Column]:
 
 # -- value and price of hashrate (D13-D15) ------------------------------------
 
+@_memo
 def usd(price: Column | str, btc: Column | str, btc_scale: int = 8) -> Column:
     """``price * btc`` as decimal(21,6), rounded once from the exact product.
 
@@ -136,6 +173,7 @@ def hashprice(price: Column | str, hashvalue_col: Column | str) -> Column:
 
 # -- luck (D16-D19) --------------------------------------------------------------
 
+@_memo
 def expected_block_count(reported: Column | str, difficulty: Column | str,
                          strict: bool = True) -> Column:
     """``reported * 86400 / difficulty / 2^32`` as decimal(12,9).
@@ -149,12 +187,14 @@ def expected_block_count(reported: Column | str, difficulty: Column | str,
     return _fit(q.cast("double") / F.lit(TWO_POW_32), 12, 9, strict)
 
 
+@_memo
 def block_count_diff(n: Column | str, expected: Column | str, strict: bool = True) -> Column:
     """``n - expected`` as decimal(12,9)."""
     return _fit(_col(n).cast(DecimalType(10, 0)) - _col(expected).cast(DecimalType(12, 9)),
                 12, 9, strict)
 
 
+@_memo
 def block_count_diff_pct(n: Column | str, expected: Column | str, strict: bool = True) -> Column:
     """``(100 * n - expected) / expected`` as decimal(12,9), the reference's formula."""
     e = to_units(expected, 9)
@@ -164,6 +204,7 @@ def block_count_diff_pct(n: Column | str, expected: Column | str, strict: bool =
     return _fit(q, 12, 9, strict)
 
 
+@_memo
 def mining_luck(n: Column | str, expected: Column | str, strict: bool = True) -> Column:
     """``100 * n / expected`` as decimal(12,9); 100 means as many blocks as expected."""
     e = to_units(expected, 9)

@@ -10,7 +10,7 @@ from chainstar.functions import measures as M
 from chainstar.functions.epochs import (
     ADJUSTMENT_INTERVAL, HALVING_INTERVAL, epoch, halving_level,
 )
-from chainstar.functions.numeric import from_units, sats_to_btc
+from chainstar.functions.measures import btc as sats_to_btc
 from chainstar.functions.strings import UNKNOWN_ID, bounded, clean, surrogate_key
 from chainstar.operators.keys import broadcast_if_small, resolve_fk
 from chainstar.operators.snapshot import periodic_snapshot, regime_weighted_avg
@@ -224,7 +224,7 @@ def fact_network_stats_1d(blocks: DataFrame, dim_date: DataFrame,
     rel = with_date_id(daily, dim_date)
     # Materialised once, read by four scale columns.
     rel = rel.withColumn("__est", M.estimated_hashrate_units("block_count", "difficulty_weighted_avg"))
-    est = F.col("__est")
+    est = "__est"
     return rel.select(
         bounded("date_id", 512).alias("date_id"),
         F.col("has_subsidy_halving"),
@@ -283,7 +283,7 @@ def fact_pool_stats_1d(blocks: DataFrame, src_hashrate: DataFrame, dim_date: Dat
             F.sum("tx_count").alias("tx_count"),
             F.max("audit_created_timestamp").alias("audit_created_timestamp"))
     rel = rel.withColumn("__est", M.estimated_hashrate_units("block_count", "difficulty_weighted_avg"))
-    est = F.col("__est")
+    est = "__est"
     return rel.select(
         bounded("date_id", 512).alias("date_id"),
         bounded("pool_id", 512).alias("pool_id"),

@@ -136,8 +136,22 @@ def hashrate_from_events(events: DataFrame, supplier: DataFrame) -> DataFrame:
             .select("date", "pool_key", "hashrate", "loaded_at"))
 
 
+_SOURCES: dict = {}
+
+
 def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All four stand-in sources for the driver's tables in ``sf_dir``."""
+    """All four stand-in sources for the driver's tables in ``sf_dir``.
+
+    The plans are pure functions of read-only files, so one set per session
+    and folder is built and handed out again (a copy of the dict).
+    """
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _SOURCES:
+        _SOURCES[key] = _build_sources(spark, sf_dir)
+    return dict(_SOURCES[key])
+
+
+def _build_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     events = read_table(spark, sf_dir, "events")
     supplier = read_table(spark, sf_dir, "supplier")
     nation = read_table(spark, sf_dir, "nation")
