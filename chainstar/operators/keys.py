@@ -28,7 +28,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """Broadcast hint only behind a size check.
 
     ``known_small=True`` skips the check for inputs whose size is bounded by
-    construction (the calendar: 29,220 rows); ``False`` never broadcasts.
+    construction (the calendar: 29,220 rows).  ``None`` counts up to
+    ``max_rows + 1`` rows first: meant for dimensions from small sources
+    (persisted, so the count also fills the cache).  ``False`` gives no hint:
+    the planner and AQE decide from statistics and the measured size of the
+    shuffled side at run time (SMJ -> BHJ when it turns out small), without
+    an extra job; use it for dimensions that grow with the data.
     """
     small = known_small if known_small is not None else row_count_at_most(df, max_rows)
     return F.broadcast(df) if small else df
@@ -53,8 +58,7 @@ def resolve_fk(fact: DataFrame, dim: DataFrame, on: str | Sequence[tuple[str, st
 
     ``on`` is a column name present in both, or ``[(fact_col, dim_col), ...]``.
     Unmatched (and NULL) keys get ``default``, so that downstream joins to
-    the dimension can be inner joins.  The dimension side is broadcast after
-    a size check (``broadcast=None``), always (``True``) or never (``False``).
+    the dimension can be inner joins.  ``broadcast``: see ``broadcast_if_small``.
     """
     pairs = [(on, on)] if isinstance(on, str) else list(on)
     out = out or id_col

@@ -48,6 +48,12 @@ GRAIN = {
     "obt.pool_stats_1d": ["date_id", "pool_id"],
 }
 
+# Sort order inside written files (K4): min/max statistics then prune reads
+# that filter on these columns.
+SORT_WITHIN = {"dim.date": ["date_id"], "fact.block": ["date_id", "blockheight"],
+               "fact.network_stats_1d": ["date_id"], "fact.pool_stats_1d": ["date_id"],
+               "fact.price_1d": ["date_id"]}
+
 # Preview order of each model (O1, O2).
 PREVIEW_ORDER = {
     "dim.pool": ["pool_key"], "dim.block": ["block_key"], "fact.price_1d": ["date_id"],
@@ -177,12 +183,13 @@ def build(marts: Marts, base_path: str, names: Iterable[str] | None = None,
         bucket = None
         if block_buckets and use_catalog and name in ("fact.block", "dim.block"):
             bucket = (block_buckets, ["block_id"])
+        sort = [] if bucket else SORT_WITHIN.get(name, [])
         if use_catalog:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
-            write_table(df, name=name, path=path, bucket_by=bucket)
+            write_table(df, name=name, path=path, bucket_by=bucket, sort_within=sort)
             table = spark.table(name)
         else:
-            write_table(df, path=path)
+            write_table(df, path=path, sort_within=sort)
             table = spark.read.parquet(path)
         marts.reuse(name, table)
         out[name] = table

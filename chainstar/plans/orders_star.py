@@ -2,8 +2,8 @@
 
 Shows that the toolkit is not tied to blocks and pools: keep-latest dedupe
 of order lines, md5 dimensions with a default member, foreign keys resolved
-with a size-checked broadcast (or a shuffle join beyond it), and a daily
-periodic snapshot with exact decimal measures.
+by joins that AQE sizes at run time (broadcast when small, shuffle beyond),
+and a daily periodic snapshot with exact decimal measures.
 """
 
 from __future__ import annotations
@@ -70,12 +70,13 @@ def fact_lineitem(lines: DataFrame, dim_date: DataFrame, parts: DataFrame,
                   suppliers: DataFrame) -> DataFrame:
     """Order-line fact: dimension ids (default ``'0'``) and exact revenue.
 
-    The part dimension grows with the data: its broadcast is decided by the
-    row-count check, beyond which the join is a shuffle join.
+    Part and supplier dimensions grow with the data: no hint, so AQE picks a
+    broadcast only when the measured dimension side is small and keeps the
+    shuffle join beyond that (no extra counting job over the dimension).
     """
     f = with_date_id(lines, dim_date, on="ship_date")
-    f = resolve_fk(f, parts, "part_key", "part_id")
-    f = resolve_fk(f, suppliers, "supplier_key", "supplier_id")
+    f = resolve_fk(f, parts, "part_key", "part_id", broadcast=False)
+    f = resolve_fk(f, suppliers, "supplier_key", "supplier_id", broadcast=False)
     one = F.lit(1).cast(DecimalType(1, 0))
     return f.select(
         "date_id", "order_key", "line_number", "part_id", "supplier_id", "return_flag",

@@ -64,3 +64,23 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     spark.sparkContext.setCheckpointDir(folder)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of compressed Parquet.
+
+    * file splits of ``split_bytes`` (one task per split);
+    * an initial shuffle partition count of about one per split (at least
+      3 per core, at most 200,000): AQE only coalesces downward, so a big
+      shuffle must start with enough partitions to fit executor memory;
+    * AQE targets 256 MB per coalesced partition instead of maximal
+      parallelism (busy clusters), skew splitting at 5x the median.
+    """
+    parts = max(3 * total_cores, min(200_000, -(-input_bytes // split_bytes)))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
