@@ -165,8 +165,10 @@ def build(marts: Marts, base_path: str, names: Iterable[str] | None = None,
           use_catalog: bool = False) -> dict[str, DataFrame]:
     """K1/K2/K3: materialise models under ``base_path`` in DAG order.
 
-    Dims and facts are written as Parquet (full rebuild); each one read back
-    replaces its plan, so downstream models read the table, not the lineage.
+    The deduped blocks are written once as a staging table read by all block
+    models.  Dims and facts are written as Parquet (full rebuild); each one
+    read back replaces its plan, so downstream models read the table, not
+    the lineage (which also bounds recomputation after executor loss).
     OBTs become views (K2) unless ``obt_as_view=False`` (K3).
     With ``block_buckets`` and ``use_catalog`` both block tables are bucketed
     by ``block_id`` so that ``obt.block`` joins them without a shuffle.
@@ -174,6 +176,13 @@ def build(marts: Marts, base_path: str, names: Iterable[str] | None = None,
     spark = marts.spark
     wanted = list(DAG) if names is None else [n for n in DAG if n in set(names)]
     out = {}
+    block_models = {"dim.block", "fact.block", "fact.network_stats_1d", "fact.pool_stats_1d"}
+    if block_models.intersection(wanted):
+        # The deduped blocks feed four models: dedupe (the one big shuffle)
+        # once, write it as a staging table, and let every model read that.
+        stage_path = f"{base_path.rstrip('/')}/stage/block"
+        write_table(marts.blocks, path=stage_path)
+        marts.reuse("stage.block", spark.read.parquet(stage_path))
     for name in wanted:
         df = marts[name]
         if name.startswith("obt.") and obt_as_view:
