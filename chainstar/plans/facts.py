@@ -216,11 +216,17 @@ def _reward_columns() -> list:
     ]
 
 
+def network_daily(cube: DataFrame) -> DataFrame:
+    """The day with its time-weighted difficulty (shared by both daily facts)."""
+    return with_weighted_difficulty(adjustments(cube), network_day(pool_day(cube)))
+
+
 def fact_network_stats_1d(blocks: DataFrame, dim_date: DataFrame,
-                          cube: DataFrame | None = None) -> DataFrame:
+                          cube: DataFrame | None = None,
+                          daily: DataFrame | None = None) -> DataFrame:
     """One row per day: counts, rewards, first/last/weighted difficulty, hashrate."""
-    cube = block_cube(blocks) if cube is None else cube
-    daily = with_weighted_difficulty(adjustments(cube), network_day(pool_day(cube)))
+    if daily is None:
+        daily = network_daily(block_cube(blocks) if cube is None else cube)
     rel = with_date_id(daily, dim_date)
     # Materialised once, read by four scale columns.
     rel = rel.withColumn("__est", M.estimated_hashrate_units("block_count", "difficulty_weighted_avg"))
@@ -254,7 +260,8 @@ def staged_hashrate(src_hashrate: DataFrame, run_ts=None) -> DataFrame:
 
 def fact_pool_stats_1d(blocks: DataFrame, src_hashrate: DataFrame, dim_date: DataFrame,
                        dim_pool: DataFrame, collapse_unknown: bool = False,
-                       cube: DataFrame | None = None) -> DataFrame:
+                       cube: DataFrame | None = None,
+                       daily: DataFrame | None = None) -> DataFrame:
     """One row per (day, raw pool): blocks, rewards, reported and estimated hashrate.
 
     Unmatched pools get id ``'0'`` after grouping, so several raw pools can
@@ -263,7 +270,7 @@ def fact_pool_stats_1d(blocks: DataFrame, src_hashrate: DataFrame, dim_date: Dat
     """
     cube = block_cube(blocks) if cube is None else cube
     pools = pool_day(cube)
-    network = with_weighted_difficulty(adjustments(cube), network_day(pools)) \
+    network = (network_daily(cube) if daily is None else daily) \
         .select("event_date", "difficulty_weighted_avg")
     # One row per calendar day at most (inner join to the fixed-size
     # calendar), so the day table is broadcast; the date key comes with it.

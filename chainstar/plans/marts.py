@@ -125,6 +125,13 @@ class Marts:
             self._cache["stage.cube"] = self._shared(facts.block_cube(self.blocks))
         return self._cache["stage.cube"]
 
+    @property
+    def network_daily(self) -> DataFrame:
+        """Day grain with the weighted difficulty, read by both daily facts."""
+        if "stage.network_daily" not in self._cache:
+            self._cache["stage.network_daily"] = self._shared(facts.network_daily(self.cube))
+        return self._cache["stage.network_daily"]
+
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._cache:
             self._cache[name] = self._build(name)
@@ -143,10 +150,12 @@ class Marts:
         if name == "fact.block":
             return facts.fact_block(self.blocks, self["dim.date"], self["dim.pool"])
         if name == "fact.network_stats_1d":
-            return facts.fact_network_stats_1d(self.blocks, self["dim.date"], cube=self.cube)
+            return facts.fact_network_stats_1d(self.blocks, self["dim.date"], cube=self.cube,
+                                               daily=self.network_daily)
         if name == "fact.pool_stats_1d":
             return facts.fact_pool_stats_1d(self.blocks, s["hashrate"], self["dim.date"],
-                                            self["dim.pool"], self.collapse_unknown, cube=self.cube)
+                                            self["dim.pool"], self.collapse_unknown, cube=self.cube,
+                                            daily=self.network_daily)
         if name == "obt.block":
             return obts.obt_block(self["fact.block"], self["dim.block"], self["dim.date"],
                                   self["dim.pool"])
