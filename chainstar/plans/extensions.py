@@ -10,6 +10,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
@@ -143,6 +144,12 @@ def rebuild_days(marts, touched_days: DataFrame, path: str) -> None:
     days = touched_days.select("event_date").distinct().join(cal, "event_date", "inner")
     staged = dims.stage_blocks(src, marts.run_ts).join(F.broadcast(days), "event_date", "left_semi")
     blocks = dedupe_latest(staged, ["block_key"], ["audit_created_timestamp"])
-    fact = facts.fact_network_stats_1d(blocks, marts["dim.date"])
-    write_table(fact.withColumn("day", F.col("date_id")), path=path, partition_by=["day"],
-                dynamic_partitions=True)
+    # The touched days' cube feeds two branches (adjustments, day roll-up):
+    # keep it for this rebuild only (recomputed from lineage if lost).
+    cube = facts.block_cube(blocks).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        fact = facts.fact_network_stats_1d(blocks, marts["dim.date"], cube=cube)
+        write_table(fact.withColumn("day", F.col("date_id")), path=path, partition_by=["day"],
+                    dynamic_partitions=True)
+    finally:
+        cube.unpersist()
