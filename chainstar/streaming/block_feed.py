@@ -58,11 +58,13 @@ def daily_counts_stream(blocks: DataFrame, lateness: str = "1 day") -> DataFrame
     ``withWatermark`` bounds the state: a day's row is final once the
     watermark passes its end; later copies of a block within the watermark
     are dropped.  Only additive measures are kept here; the full daily fact
-    comes from ``run_block_feed``.
+    comes from ``run_block_feed``.  Watermarks need a zoned timestamp, so the
+    block time (no zone) is read as a wall clock in the session zone.
     """
-    b = (blocks.withWatermark("timestamp", lateness)
+    b = (blocks.withColumn("event_time", F.col("timestamp").cast("timestamp"))
+         .withWatermark("event_time", lateness)
          .dropDuplicatesWithinWatermark(["block_hash"]))
-    return (b.groupBy(F.window("timestamp", "1 day").alias("day"))
+    return (b.groupBy(F.window("event_time", "1 day").alias("day"))
             .agg(F.count("block_hash").alias("block_count"),
                  F.sum("reward_subsidy").alias("reward_subsidy_sum"),
                  F.sum("reward_tx_fee_sum").alias("reward_tx_fee_sum"),
