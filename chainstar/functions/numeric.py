@@ -29,12 +29,6 @@ from pyspark.sql.types import DecimalType
 INT38 = DecimalType(38, 0)
 
 
-def dec(col: Column | str, precision: int, scale: int) -> Column:
-    """``col::decimal(p,s)``; rounds half away from zero, raises on overflow."""
-    return F.col(col).cast(DecimalType(precision, scale)) if isinstance(col, str) \
-        else col.cast(DecimalType(precision, scale))
-
-
 def _c(col: Column | str | int) -> Column:
     if isinstance(col, Column):
         return col
@@ -140,11 +134,6 @@ def safe_ratio(num_units: Column, den_units: Column, precision: int, scale: int,
         num_scale, den_scale))
 
 
-def lenient(col: Column, precision: int, scale: int) -> Column:
-    """``try_cast`` to ``decimal(p,s)``: NULL instead of an overflow error."""
-    return col.try_cast(DecimalType(precision, scale))
-
-
 def scale_units(units: Column, unit_scales: dict[str, int], precision: int = 30,
                 ) -> dict[str, Column]:
     """One exact column per unit suffix, ``value / 10^k`` at scale k.

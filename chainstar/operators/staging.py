@@ -8,8 +8,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
-from chainstar.functions.strings import clean
-
 _RN = "__dedupe_rn"
 
 
@@ -68,8 +66,3 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
         order = [F.lit(1)]
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
-
-
-def clean_columns(df: DataFrame, names: Sequence[str]) -> dict[str, Column]:
-    """Convenience: ``{name: trim(name::varchar)}`` for text columns."""
-    return {n: clean(n) for n in names}

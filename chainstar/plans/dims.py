@@ -74,13 +74,6 @@ def dim_pool(src_pool: DataFrame, run_ts=None) -> DataFrame:
                                      "pool_name": UNKNOWN_TEXT, "pool_url": UNKNOWN_TEXT})
 
 
-# Staged block columns, in tie-break order after the audit column.
-BLOCK_STAGE_ORDER = [
-    "block_key", "prev_block_hash", "blockheight", "event_date", "event_timestamp", "pool_key",
-    "difficulty", "reward_subsidy", "reward_tx_fee_sum", "tx_count", "audit_created_timestamp",
-]
-
-
 def stage_blocks(src_block: DataFrame, run_ts=None, distinct: bool = False) -> DataFrame:
     """R1 on ``src.block``: cleaned and typed rows with a non-NULL key."""
     return stage(src_block, {

@@ -190,11 +190,6 @@ def network_from_pools(pool_daily: DataFrame) -> DataFrame:
     ])
 
 
-def daily_network_aggregate(blocks: DataFrame) -> DataFrame:
-    """A2: one row per day (counts, sums, first and last difficulty)."""
-    return network_day(pool_day(block_cube(blocks)))
-
-
 def with_weighted_difficulty(changes: DataFrame, daily: DataFrame) -> DataFrame:
     """D9 via R8 over the day's difficulty adjustments."""
     return regime_weighted_avg(changes, daily, change_every=ADJUSTMENT_INTERVAL)

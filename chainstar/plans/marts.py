@@ -22,6 +22,7 @@ from collections.abc import Iterable, Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from chainstar.operators.preview import PREVIEW_ROWS, preview
 from chainstar.operators.sinks import create_view, write_table
 from chainstar.plans import dims, facts, obts
 
@@ -64,6 +65,14 @@ PREVIEW_ORDER = {
 }
 
 
+def preview_model(marts: "Marts", name: str, k: int = PREVIEW_ROWS) -> DataFrame:
+    """O1/O2: the reference's preview of a model (``order by ... limit 1000``).
+
+    Add a unique key to the order for a repeatable result (ties are possible).
+    """
+    return preview(marts[name], PREVIEW_ORDER[name], k)
+
+
 def descendants(changed: Iterable[str]) -> list[str]:
     """K6: models to rebuild after ``changed`` (sources or models), in DAG order."""
     dirty = set(changed)
