@@ -6,7 +6,6 @@ import os
 
 import pytest
 from pyspark.errors import PySparkException
-from pyspark.sql import functions as F
 
 from chainstar.operators.sinks import create_namespaces
 from chainstar.plans.marts import DAG, Marts, build, descendants
@@ -112,3 +111,9 @@ def spark_conf(spark, conf):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_obts_as_tables(spark, tmp_dir):
+    built = build(Marts(spark, sources(spark), run_ts=RUN_TS), tmp_dir, obt_as_view=False)
+    assert os.path.isdir(os.path.join(tmp_dir, "obt", "pool_stats_1d"))
+    assert built["obt.pool_stats_1d"].count() == 4
