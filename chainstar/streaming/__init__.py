@@ -1,0 +1 @@
+"""Structured Streaming: the live block feed kept folded into the daily facts."""
