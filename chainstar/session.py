@@ -27,6 +27,10 @@ DEFAULT_CONF = {
     # that would exceed it falls back to per-operator compiled code instead
     # of running an interpreted giant method.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Day-grain stages evaluate dozens of exact-decimal measures per row on a
+    # few MB of shuffled data: let AQE keep them split across cores instead
+    # of coalescing them into one task (default minimum is 1 MB).
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
@@ -73,14 +77,13 @@ def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20)
     * an initial shuffle partition count of about one per split (at least
       3 per core, at most 200,000): AQE only coalesces downward, so a big
       shuffle must start with enough partitions to fit executor memory;
-    * AQE targets 256 MB per coalesced partition instead of maximal
-      parallelism (busy clusters), skew splitting at 5x the median.
+    * AQE keeps its parallelism-first coalescing (the day-grain measure
+      stages are CPU-bound on little data) and splits skewed partitions at
+      5x the median.
     """
     parts = max(3 * total_cores, min(200_000, -(-input_bytes // split_bytes)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(split_bytes),
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     }
