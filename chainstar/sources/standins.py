@@ -49,9 +49,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def block_from_events(events: DataFrame) -> DataFrame:
-    """``src.block`` stand-in with ``loaded_at``."""
-    e = events
-    base = e.select(
+    """``src.block`` stand-in with ``loaded_at``.
+
+    One scan of ``events``: each event yields its first delivery, plus a
+    re-delivery an hour later (``error`` events, tx_count + 1) or an exact
+    second copy (``signup`` events), generated with ``explode``.
+    """
+    copies = (F.when(F.col("event_type") == REDELIVERED_TYPE, F.array(F.lit(0), F.lit(1)))
+              .when(F.col("event_type") == DUPLICATED_TYPE, F.array(F.lit(0), F.lit(2)))
+              .otherwise(F.array(F.lit(0))))
+    e = events.select("event_id", "ts", "user_id", "value", F.explode(copies).alias("__copy"))
+    redelivered = F.col("__copy") == 1
+    tx_count = F.pmod(F.col("user_id"), F.lit(7)) + 1
+    return e.select(
         F.col("event_id").cast("int").alias("blockheight"),
         F.concat(F.lit("blk"), F.col("event_id").cast("string")).alias("block_hash"),
         F.concat(F.lit("blk"), (F.col("event_id") - 1).cast("string")).alias("prev_block_hash"),
@@ -63,15 +73,10 @@ def block_from_events(events: DataFrame) -> DataFrame:
         halving_level(F.floor(F.col("event_id") / F.lit(SUBSIDY_EPOCH)).cast("int") + 1)
         .alias("reward_subsidy"),
         F.round(F.col("value") * 100).cast("long").alias("reward_tx_fee_sum"),
-        (F.pmod(F.col("user_id"), F.lit(7)) + 1).cast("int").alias("tx_count"),
-        F.col("ts").alias("loaded_at"),
-        F.col("event_type"),
+        F.when(redelivered, tx_count + 1).otherwise(tx_count).cast("int").alias("tx_count"),
+        F.when(redelivered, F.col("ts") + F.expr("INTERVAL 1 HOUR")).otherwise(F.col("ts"))
+        .alias("loaded_at"),
     )
-    redelivered = (base.filter(F.col("event_type") == REDELIVERED_TYPE)
-                   .withColumn("tx_count", (F.col("tx_count") + 1).cast("int"))
-                   .withColumn("loaded_at", F.col("loaded_at") + F.expr("INTERVAL 1 HOUR")))
-    duplicated = base.filter(F.col("event_type") == DUPLICATED_TYPE)
-    return base.unionByName(redelivered).unionByName(duplicated).drop("event_type")
 
 
 def pool_from_suppliers(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
