@@ -32,14 +32,21 @@ def audit_column(df: DataFrame, run_ts: str | _dt.datetime | None) -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
+_CALENDARS: dict = {}
+
+
 def calendar(spark: SparkSession, start: str = CALENDAR_START, days: int = CALENDAR_DAYS) -> DataFrame:
     """The date dimension, one row per day from ``start``.
 
     Generated by ``spark.range``: its size is fixed by ``days`` (29,220
-    rows by default), which is why joins may broadcast it unchecked.
+    rows by default), which is why joins may broadcast it unchecked.  The
+    plan is built once per session and reused.
     """
-    d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
-    return spark.range(days).select(d.alias("d")).select(*calendar_columns(F.col("d")))
+    key = (spark.sparkContext.applicationId, id(spark), start, days)
+    if key not in _CALENDARS:
+        d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
+        _CALENDARS[key] = spark.range(days).select(d.alias("d")).select(*calendar_columns(F.col("d")))
+    return _CALENDARS[key]
 
 
 def calendar_of(dates: DataFrame, date_col: str) -> DataFrame:
