@@ -15,6 +15,7 @@ from chainstar.functions.strings import (
 )
 from chainstar.operators.keys import with_default_member
 from chainstar.operators.staging import dedupe_latest, stage
+from chainstar.session import session_key
 
 # Fixed values of the reference's calendar: 29,220 days from 1970-01-01
 # (through 2049-12-31).
@@ -42,7 +43,7 @@ def calendar(spark: SparkSession, start: str = CALENDAR_START, days: int = CALEN
     rows by default), which is why joins may broadcast it unchecked.  The
     plan is built once per session and reused.
     """
-    key = (spark.sparkContext.applicationId, id(spark), start, days)
+    key = (*session_key(spark), start, days)
     if key not in _CALENDARS:
         d = F.date_add(F.lit(start).cast("date"), F.col("id").cast("int"))
         _CALENDARS[key] = spark.range(days).select(d.alias("d")).select(*calendar_columns(F.col("d")))

@@ -50,6 +50,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a session for caching plans built against it."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001  (Spark Connect has no SparkContext)
+        app = spark.conf.get("spark.app.id", "")
+    return (app, id(spark))
+
+
 def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
@@ -58,15 +67,23 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     folder of our own is chosen: ``fallback`` or a fresh temporary folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (Spark Connect)
+        pass
+    if not current and sc is not None:
+        current = sc.getCheckpointDir()
     if current:
         return current
     folder = fallback or tempfile.mkdtemp(prefix="chainstar-ckpt-")
     os.makedirs(folder, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(folder)
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if sc is not None:
+        sc.setCheckpointDir(folder)
+    try:
+        spark.conf.set("spark.checkpoint.dir", folder)
+    except Exception:  # noqa: BLE001  (not settable at run time here)
+        pass
     return folder
 
 

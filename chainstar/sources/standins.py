@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from chainstar.functions.epochs import halving_level
+from chainstar.session import session_key
 
 # Fixed parameters of the stand-in mapping (shared with the oracle SQL).
 POOL_PREFIX = "pool-"        # pool_key = 'pool-' || user_id (blocks), || s_suppkey (pools)
@@ -150,7 +151,7 @@ def load_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     The plans are pure functions of read-only files, so one set per session
     and folder is built and handed out again (a copy of the dict).
     """
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    key = (*session_key(spark), sf_dir)
     if key not in _SOURCES:
         _SOURCES[key] = _build_sources(spark, sf_dir)
     return dict(_SOURCES[key])
