@@ -301,3 +301,59 @@ def g_fact_lineitem(spark, sf_dir):
 def g_sales_daily(spark, sf_dir):
     lines, parts, sups = _orders(spark, sf_dir)
     return orders_star.sales_daily(orders_star.fact_lineitem(lines, dims.calendar(spark), parts, sups))
+
+
+# -- single operators, as named in the build plan (projections of the models) ----------------
+
+def _proj(rel: str, cols: str, where: str = "") -> str:
+    return O.select_from(rel, body=f"SELECT {cols} FROM {rel} {where}")
+
+
+@register("x1_surrogate_key", _proj("dim_block", "block_key, block_id", "WHERE block_id <> '0'"))
+def x1_surrogate_key(spark, sf_dir):
+    """md5 surrogate ids of every block key."""
+    return marts(spark, sf_dir)["dim.block"].filter(F.col("block_id") != "0") \
+        .select("block_key", "block_id")
+
+
+@register("j2_resolve_fk", _proj("fact_block", "blockheight, pool_id"))
+def j2_resolve_fk(spark, sf_dir):
+    """Pool id of every block; unmatched pools resolve to '0'."""
+    return marts(spark, sf_dir)["fact.block"].select("blockheight", "pool_id")
+
+
+@register("j10_two_key_left", _proj("fact_pool", "date_id, pool_id, blockheight_first, reported_hashrate"))
+def j10_two_key_left(spark, sf_dir):
+    """Reported hashrate joined on (day, pool), NULL where none is reported."""
+    return marts(spark, sf_dir)["fact.pool_stats_1d"].select(
+        "date_id", "pool_id", "blockheight_first", "reported_hashrate")
+
+
+@register("d10_estimated_hashrate", _proj(
+    "fact_network", "date_id, estimated_hashrate, estimated_hashrate_th, estimated_hashrate_ph, "
+    "estimated_hashrate_eh"))
+def d10_estimated_hashrate(spark, sf_dir):
+    return marts(spark, sf_dir)["fact.network_stats_1d"].select(
+        "date_id", "estimated_hashrate", "estimated_hashrate_th", "estimated_hashrate_ph",
+        "estimated_hashrate_eh")
+
+
+@register("d14_hashvalue", _proj("obt_network", "date_id, hashvalue_sat_th, hashvalue_sat_ph"))
+def d14_hashvalue(spark, sf_dir):
+    return marts(spark, sf_dir)["obt.network_stats_1d"].select(
+        "date_id", "hashvalue_sat_th", "hashvalue_sat_ph")
+
+
+@register("d15_hashprice", _proj("obt_network", "date_id, hashprice_usd_th, hashprice_usd_ph"))
+def d15_hashprice(spark, sf_dir):
+    return marts(spark, sf_dir)["obt.network_stats_1d"].select(
+        "date_id", "hashprice_usd_th", "hashprice_usd_ph")
+
+
+@register("d19_mining_luck", _proj(
+    "obt_pool", "date_id, pool_id, blockheight_first, expected_block_count, block_count_diff, "
+    "block_count_diff_pct, mining_luck"))
+def d19_mining_luck(spark, sf_dir):
+    return marts(spark, sf_dir)["obt.pool_stats_1d"].select(
+        "date_id", "pool_id", "blockheight_first", "expected_block_count", "block_count_diff",
+        "block_count_diff_pct", "mining_luck")
