@@ -22,10 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chainstar.llm.common import c
+from chainstar.llm.common import c, work_dir, written
 
 PREFIX = 64            # characters of the prefix hash
 FILTER_BITS = 1 << 17  # buckets of the survivors' filter: the broadcast holds no more rows
+SALTS = 16             # parts that the copies of one text are dealt into
 
 
 def normalised(text: Column) -> Column:
@@ -59,17 +60,20 @@ def annotate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ca
     rows = docs.select(c(id_col).alias("x_id"), c(text_col).alias("text"))
     rows = _refined(rows, F.col("text"), prefix, filter_bits)
     rows = rows.select("x_id", "x_len", "x_pre", "x_full", *[v.alias(f"y_{k}") for k, v in carry.items()])
+    # Written once without the texts: what follows reads a few numbers a row.
+    rows = written(rows, work_dir(docs.sparkSession, "refined"))
     out = [c(f"y_{k}").alias(k) for k in carry]
     key = ["x_len", "x_pre", "x_full"]
     single = rows.filter("x_full is null").select(
         F.col("x_id").alias(id_col), F.col("x_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
         F.lit(True).alias("kept"), *out)
-    several = rows.filter("x_full is not null")
-    groups = several.groupBy(*key).agg(F.min("x_id").alias("keep_id"), F.count("*").alias("group_size"))
-    # A copy of a hot text meets one small row: the join can be split by AQE, the groups are one row each.
-    joined = several.join(groups, key)
-    # Rows that repeat the winning id tie; they are dealt by their id, so a hot text is not one group.
-    first = F.row_number().over(Window.partitionBy("x_id", *key).orderBy(F.lit(0))) == 1
+    # The copies of a hot text are dealt by a salt of their ids; each group's one row is there for every salt.
+    several = rows.filter("x_full is not null").withColumn("x_salt", F.pmod(F.xxhash64("x_id"), F.lit(SALTS)))
+    groups = (several.groupBy(*key).agg(F.min("x_id").alias("keep_id"), F.count("*").alias("group_size"))
+                     .withColumn("x_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))))
+    joined = several.join(groups, [*key, "x_salt"])
+    # Rows that repeat the winning id tie: one of them is kept.
+    first = F.row_number().over(Window.partitionBy("x_id", "x_salt", *key).orderBy(F.lit(0))) == 1
     pairs = joined.withColumn("kept", F.col("x_id").eqNullSafe(F.col("keep_id")) & first).select(
         F.col("x_id").alias(id_col), "keep_id", "group_size", "kept", *out)
     return single.unionByName(pairs)
