@@ -10,49 +10,54 @@ a text with any other white space is encoded whole.
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import sys
+from array import array
 
 _CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
 _OTHER_SPACE = re.compile(r"[^\S \t\n\r]")
+_CONTROL_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f]")
 _LONG = 64            # longer chunks are not remembered
 _ENCODERS: dict = {}  # per Python worker
+assert array("I").itemsize == 4 and sys.byteorder == "little"
 
 
 class Encoder:
-    """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes."""
+    """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
+
+    At most ``most`` chunks are remembered, in two generations: when the young
+    one is full it becomes the old one, and what is met again moves back.
+    """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True   # special tokens' names in a text are ordinary text
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
         self.most = most
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.asarray(x.ids, dtype="<u4").tobytes() for x in got]
+        return [array("I", x.ids).tobytes() for x in got]
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        chunks = [None if _OTHER_SPACE.search(t) else _CHUNK.findall(t) for t in texts]
-        new = list(set().union(*[x for x in chunks if x]) - self.known.keys())
-        if len(self.known) + len(new) > self.most:
-            self.known.clear()
-            new = list(set().union(*[x for x in chunks if x]))
-        known = self.known
-        long = {}
-        for k, v in zip(new, self._encode(new)):
-            (known if len(k) <= _LONG else long)[k] = v
-        out = []
-        for t, x in zip(texts, chunks):
-            if x is None:
-                out.append(self._encode([t])[0])
-            elif long:
-                out.append(b"".join([known[k] if k in known else long[k] for k in x]))
-            else:
-                out.append(b"".join(map(known.__getitem__, x)))
+        chunks = [None if not t.isascii() and _OTHER_SPACE.search(t) or _CONTROL_SPACE.search(t)
+                  else _CHUNK.findall(t) for t in texts]
+        if len(self.young) > self.most // 2:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        new = set().union(*[x for x in chunks if x]).difference(young)
+        again = new.intersection(old)
+        young.update(zip(again, map(old.__getitem__, again)))
+        new = list(new.difference(again))
+        young.update(zip(new, self._encode(new)))
+        out = [self._encode([t])[0] if x is None else b"".join(map(young.__getitem__, x))
+               for t, x in zip(texts, chunks)]
+        for k in new:
+            if len(k) > _LONG:                 # rare and large: not remembered
+                del young[k]
         return out
 
 
