@@ -66,6 +66,11 @@ _ONE = {chr(i): m for i in [*range(0xff01, 0xff5f), *range(0x1d400, 0x1d800),
                               if unicodedata.category(chr(i)) == "Nd"),
                             *map(ord, _LOOKS)] if (m := _single(chr(i)))}
 _ONE |= dict.fromkeys(_HIDDEN, "")
+# Last labels of common domains, and words that stand before a noun.
+_LAST = frozenset("com org net edu gov mil int info biz io ai app dev co uk us eu de at ch fr es it nl be pl pt se no dk "
+                  "fi ru ua cz ie ca mx br ar au nz in jp cn kr test example invalid".split())
+_ARTICLES = frozenset("the a an this that these those our your my his her their le la les un une der die das el los "
+                      "las una home work school least first last all".split())
 _W = "|".join(sorted(_DIGIT_NAMES, key=len, reverse=True))
 _RULES = re.compile(
     "(?P<one>[" + re.escape("".join(_ONE)) + "])"
@@ -176,7 +181,12 @@ def _believable(kind: str, text: str, rules: list[str], length: int) -> bool:
         last = text.rsplit(".", 1)[-1]
         if not (last.isalpha() and 2 <= len(last) <= 24):
             return False
-        return "bareat" not in used or bool(used & {"dot", "baredot"})
+        if used.isdisjoint(("bareat", "baredot")):
+            return True
+        # Plain words alone must read like an address: a disguised dot, a common last label, no article before it.
+        host = text.rsplit("@", 1)[-1].lower().split(".")
+        return last.lower() in _LAST and host[0] not in _ARTICLES and (
+            "bareat" not in used or not used.isdisjoint(("dot", "baredot")))
     if kind in ("card", "phone") and "digits" in used:
         return rules.count("digits") >= SPELLED_LEAST
     return True
