@@ -152,4 +152,5 @@ def _with_verdict(rows: DataFrame, limits: dict) -> DataFrame:
                         and 100 * lost <= lim["max_loss_percent"] * total, text))
         return pd.DataFrame(out, columns=["kept", "clean_text"])
 
-    return rows.withColumn("v", judge("t")).select("r", "v.kept", "v.clean_text")
+    # Not to be repeated by the filter on its own result.
+    return rows.withColumn("v", judge.asNondeterministic()("t")).select("r", "v.kept", "v.clean_text")
