@@ -9,34 +9,14 @@ from pyspark.sql import functions as F
 
 from chainstar.functions.strings import UNKNOWN_ID
 
-# Dimensions up to this many rows are broadcast to the join; larger ones are
-# joined by shuffle (AQE may still switch at run time).
-BROADCAST_MAX_ROWS = 2_000_000
+def broadcast_if_small(df: DataFrame, known_small: bool | None = None) -> DataFrame:
+    """Broadcast hint only for inputs whose size is bounded by construction
+    (``known_small=True``: the calendar's 29,220 rows, day-grain tables joined to it).
 
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Runs ``limit(max_rows + 1).count()``: the scan stops early, so the check
-    is cheap even if the answer is no.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
-                       known_small: bool | None = None) -> DataFrame:
-    """Broadcast hint only behind a size check.
-
-    ``known_small=True`` skips the check for inputs whose size is bounded by
-    construction (the calendar: 29,220 rows).  ``None`` counts up to
-    ``max_rows + 1`` rows first: meant for dimensions from small sources
-    (persisted, so the count also fills the cache).  ``False`` gives no hint:
-    the planner and AQE decide from statistics and the measured size of the
-    shuffled side at run time (SMJ -> BHJ when it turns out small), without
-    an extra job; use it for dimensions that grow with the data.
+    Everything else gets no hint: the planner and AQE decide by the bytes they
+    measure, and no job runs while the plan is built.
     """
-    small = known_small if known_small is not None else row_count_at_most(df, max_rows)
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if known_small else df
 
 
 def with_default_member(dim: DataFrame, values: Mapping[str, object]) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chainstar.functions.numeric import exact_ratio, int_mul, to_units
@@ -47,22 +47,25 @@ def regime_weighted_avg(changes: DataFrame, daily: DataFrame, *, change_every: i
     (day, height, time, new level; heights are multiples of
     ``change_every``).  The day starts at ``first`` (level of the day's
     lowest height); each change holds from its own time until the next
-    change of the same day (height + ``change_every``) or the end of the day.
+    change of the same day, whatever its height, or the end of the day.  Of
+    several rows at one height of a day the earliest counts (then the lower level).
     With one change this is the reference's blend ``first * t / 86400 + new *
     (86400 - t) / 86400``; without a change it is ``first``; with several
     (G11) it is the exact segment-weighted mean where the reference would fan
     out.  The result is exact, rounded once to ``decimal(precision, level_scale)``.
 
-    Only change rows are joined, keyed by (day, height): no window over a day,
-    so a day holding a large share of the data is no hot partition.
+    Only change rows (one in ``change_every`` heights) are ordered within their
+    day; the day's other rows are not, so a day holding a large share of the
+    data is no hot partition.
     """
     c = changes.select(
         F.col(day), F.col(height).cast("long").alias("__h"),
         to_units(level, level_scale).alias("__lvl"),
         micros_since_midnight(ts, day).alias("__t"))
-    nxt = c.select(F.col(day), (F.col("__h") - F.lit(change_every)).alias("__h"),
-                   F.col("__t").alias("__t_next"))
-    segments = c.join(nxt, [day, "__h"], "left").select(
+    c = c.groupBy(day, "__h").agg(F.min(F.struct("__t", "__lvl")).alias("__c")) \
+        .select(day, "__h", "__c.__t", "__c.__lvl")
+    t_next = F.lead("__t").over(Window.partitionBy(day).orderBy("__h"))
+    segments = c.withColumn("__t_next", t_next).select(
         F.col(day), F.col("__h"), F.col("__t"),
         int_mul(F.col("__lvl"), F.coalesce(F.col("__t_next"), F.lit(DAY_MICROS)) - F.col("__t"))
         .alias("__area"))

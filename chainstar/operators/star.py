@@ -17,8 +17,8 @@ class Arm:
     ``on`` are the shared key columns; ``prefix`` renames the arm's other
     columns (``None`` keeps names, which must then not collide);
     ``broadcast`` is ``True`` for tables whose size is bounded by
-    construction (day-grain facts, the calendar), ``None`` to check the size,
-    ``False`` to shuffle.
+    construction (day-grain facts, the calendar); otherwise the planner and
+    AQE decide by size.
     """
     df: DataFrame
     on: Sequence[str]

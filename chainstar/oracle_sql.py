@@ -285,7 +285,8 @@ NET_AGG = """net_agg AS (
 CHANGES = """chg AS (
   SELECT event_date, blockheight, CAST(difficulty * 1000000000 AS HUGEINT) AS lvl,
          epoch_us(event_timestamp) - epoch_us(CAST(event_date AS TIMESTAMP)) AS t
-  FROM blocks WHERE blockheight % 2016 = 0),
+  FROM blocks WHERE blockheight % 2016 = 0
+  QUALIFY row_number() OVER (PARTITION BY event_date, blockheight ORDER BY event_timestamp, difficulty) = 1),
 chg_day AS (
   SELECT event_date, sum(lvl * (coalesce(t_next, 86400000000) - t)) AS area,
          arg_min(t, blockheight) AS t_first

@@ -76,6 +76,10 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         current = sc.getCheckpointDir()
     if current:
         return current
+    master = sc.master if sc is not None else ""
+    if not fallback and (not master.startswith("local") or "cluster" in master):
+        # A folder of this machine would not be seen by the executors.
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = fallback or tempfile.mkdtemp(prefix="chainstar-ckpt-")
     os.makedirs(folder, exist_ok=True)
     if sc is not None:
@@ -92,13 +96,13 @@ def scale_conf(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20)
 
     * file splits of ``split_bytes`` (one task per split);
     * an initial shuffle partition count of about one per split (at least
-      3 per core, at most 200,000): AQE only coalesces downward, so a big
+      3 per core): AQE only coalesces downward, so a big
       shuffle must start with enough partitions to fit executor memory;
     * AQE keeps its parallelism-first coalescing (the day-grain measure
       stages are CPU-bound on little data) and splits skewed partitions at
       5x the median.
     """
-    parts = max(3 * total_cores, min(200_000, -(-input_bytes // split_bytes)))
+    parts = max(3 * total_cores, -(-input_bytes // split_bytes))
     return {
         "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.shuffle.partitions": str(parts),

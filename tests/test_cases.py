@@ -74,6 +74,27 @@ def test_two_adjustments_in_a_day_segment_weighted(spark):
     assert rows[0].difficulty_weighted_avg == D("225.000000000")
 
 
+def test_competing_blocks_at_an_adjustment_height(spark):
+    # Two pools find height 4032: the earlier one's time counts, once -> 175.
+    m = build(spark, [
+        (4031, "2024-04-24 00:00:10", "alpha", "100", 1, 1, 1, "h4031", "h4030"),
+        (4032, "2024-04-24 06:00:00", "alpha", "200", 1, 1, 1, "hA", "h4031"),
+        (4032, "2024-04-24 06:00:01", "beta", "200", 1, 1, 1, "hB", "h4031"),
+    ])
+    rows = m["fact.network_stats_1d"].collect()
+    assert [r.difficulty_weighted_avg for r in rows] == [D("175.000000000")]
+
+
+def test_a_missing_adjustment_height(spark):
+    # 6048 is missing: the level of 4032 holds until 8064 -> 225.
+    m = build(spark, [
+        (4031, "2024-04-24 00:00:10", "alpha", "100", 1, 1, 1),
+        (4032, "2024-04-24 06:00:00", "alpha", "200", 1, 1, 1),
+        (8064, "2024-04-24 12:00:00", "alpha", "300", 1, 1, 1),
+    ])
+    assert [r.difficulty_weighted_avg for r in m["fact.network_stats_1d"].collect()] == [D("225.000000000")]
+
+
 def test_exact_and_conflicting_duplicates_are_stable(spark):
     base = [(1, "2024-04-24 01:00:00", "alpha", "5", 10, 1, 3),
             (1, "2024-04-24 01:00:00", "alpha", "5", 10, 1, 3),     # exact copy
