@@ -5,21 +5,76 @@ public vocabularies crosses such a cut, and what a tokenizer does within a
 chunk does not depend on its neighbours, so a text's ids are the ids of its
 chunks, one after another.  A worker remembers chunks it has seen (bounded);
 a text with any other white space is encoded whole.
+
+A new chunk of plain letters, digits and punctuation is split here into its
+pre-tokens, which go straight to the library's BPE model; any other chunk
+goes through the library's whole pipeline.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from array import array
+from functools import lru_cache
 
 _CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-_OTHER_SPACE = re.compile(r"[^\S \t\n\r]")
-_CONTROL_SPACE = re.compile(r"[\x0b\x0c\x1c-\x1f]")
+_OTHER_SPACES = [chr(n) for n in range(0x3001) if chr(n).isspace() and chr(n) not in " \t\n\r"]
+_THREE_SPACES = re.compile(r"[ \n]{3}")
 _LONG = 64            # longer chunks are not remembered
 _ENCODERS: dict = {}  # per Python worker
 assert array("I").itemsize == 4 and sys.byteorder == "little"
 
+# Letters that NFC leaves alone (Latin, Cyrillic), and ASCII marks but for the apostrophe.
+_LETTER = "A-Za-zÀ-ÖØ-öø-ɏЀ-ҁҊ-ԯ"
+_MARK = r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(f"[ \n]?[{_LETTER}0-9{_MARK}]+")
+# Pre-tokens of a plain chunk: the byte vocabulary keeps white space and runs of digits, the word vocabulary neither.
+_BYTE_PARTS = re.compile(f"\n| ?[{_LETTER}]+| ?[0-9]+| ?[{_MARK}]+")
+_WORD_PARTS = re.compile(f"[{_LETTER}]+|[0-9]|[{_MARK}]+")
+# Byte-level vocabularies write a byte without a visible form as a character from 256 on, in order of the bytes.
+_SHOWN = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTES = {b: 256 + n for n, b in enumerate(b for b in range(256) if b not in _SHOWN)}
+_SPACE, _LINE_FEED = chr(_BYTES[32]), chr(_BYTES[10])
+
+
+def _parts_of(path: str) -> tuple[re.Pattern | None, bool]:
+    """(pre-token pattern, lower case) of a vocabulary whose rules are known here, else (None, False)."""
+    with open(path, encoding="utf-8") as f:
+        rules = json.load(f)
+    norm, pre = rules["normalizer"], rules["pre_tokenizer"] or {}
+    steps = [x["type"] for x in (norm or {}).get("normalizers", [])]
+    if not norm and pre.get("type") == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"]:
+        return _BYTE_PARTS, False
+    if steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in pre.get("pretokenizers", [])] == [
+            "Split", "ByteLevel"] and r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+" in pre["pretokenizers"][0]["pattern"]["Regex"]:
+        return _WORD_PARTS, True
+    return None, False
+
+
+def _key(chunk: str) -> str:
+    """A chunk's key: one leading space is implied; other beginnings are told by a line feed or, first, a return."""
+    if chunk[0] == " " and chunk[1:2] not in ("\n", "\r"):
+        return chunk[1:]
+    return chunk if chunk[0] == "\n" else "\r" + chunk
+
+
+def _chunk(key: str) -> str:
+    return key[1:] if key[:1] == "\r" else key if key[:1] == "\n" else " " + key
+
+
+def _keys(text: str) -> list[str] | None:
+    """The keys of a text's chunks; None for a text that is encoded whole."""
+    if any(x in text for x in _OTHER_SPACES):
+        return None
+    pairs = "\n\n" in text or "  " in text or " \n" in text or "\n " in text
+    if "\t" in text or "\r" in text or text[-1:] in (" ", "\n") or pairs and _THREE_SPACES.search(text):
+        return [_key(x) for x in _CHUNK.findall(text)]
+    # Of two white space characters before a word, the first is a chunk alone.
+    first, *rest = text.replace("\n", " \n").split(" ")
+    return ["\r" + first, *rest] if first else rest
+
 
 class Encoder:
     """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
@@ -33,6 +88,9 @@ class Encoder:
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True   # special tokens' names in a text are ordinary text
+        self.model = self.tok.model
+        self.parts, self.lower = _parts_of(path)
+        self.part = lru_cache(maxsize=1 << 16)(self._part)
         self.young: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
         self.most = most
@@ -41,20 +99,50 @@ class Encoder:
         got = self.tok.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in got]
 
+    def _shown(self, shown: str) -> bytes:
+        """The ids of one pre-token as the model spells it."""
+        return array("I", [x.id for x in self.model.tokenize(shown)]).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """The ids of one pre-token."""
+        if part.isascii():
+            return self._shown(part.replace(" ", _SPACE).replace("\n", _LINE_FEED))
+        return self._shown(part.encode().decode("latin-1").translate(_BYTES))
+
+    def _chunks(self, keys: list[str]) -> list[bytes]:
+        if not self.parts:
+            return self._encode([_chunk(k) for k in keys])
+        out, odd = [], []
+        for key in keys:
+            if key.isascii() and key.isalpha():      # a single pre-token
+                out.append(self._shown(key.lower() if self.lower else _SPACE + key))
+                continue
+            chunk = _chunk(key)
+            plain = chunk.lower() if self.lower else chunk
+            if _PLAIN.fullmatch(plain):
+                out.append(b"".join([self.part(x) for x in self.parts.findall(plain)]))
+            else:
+                odd.append((len(out), chunk))
+                out.append(b"")
+        for (i, _), ids in zip(odd, self._encode([x for _, x in odd])):
+            out[i] = ids
+        return out
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        chunks = [None if not t.isascii() and _OTHER_SPACE.search(t) or _CONTROL_SPACE.search(t)
-                  else _CHUNK.findall(t) for t in texts]
+        keys = [_keys(t) for t in texts]
         if len(self.young) > self.most // 2:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        new = set().union(*[x for x in chunks if x]).difference(young)
+        found = [x and list(map(young.get, x)) for x in keys]
+        new = {k for x, got in zip(keys, found) if x for k, ids in zip(x, got) if ids is None}
         again = new.intersection(old)
         young.update(zip(again, map(old.__getitem__, again)))
         new = list(new.difference(again))
-        young.update(zip(new, self._encode(new)))
-        out = [self._encode([t])[0] if x is None else b"".join(map(young.__getitem__, x))
-               for t, x in zip(texts, chunks)]
+        young.update(zip(new, self._chunks(new)))
+        out = [self._encode([t])[0] if x is None else
+               b"".join([young[k] if ids is None else ids for k, ids in zip(x, got)])
+               for t, x, got in zip(texts, keys, found)]
         for k in new:
             if len(k) > _LONG:                 # rare and large: not remembered
                 del young[k]
