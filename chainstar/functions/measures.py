@@ -2,8 +2,10 @@
 
 Each function maps input columns to one output column with the reference's
 declared type.  All divisions are exact rationals rounded once at the
-declared scale (see ``numeric``).  ``strict=False`` turns an overflow of the
-declared type into NULL instead of an error (T10).
+declared scale (see ``numeric``).  The luck measures (D16-D19) are strict as
+declared: a value past ``decimal(12,9)`` raises.  ``strict=False`` widens their
+types, so that every value is kept, and gives NULL only where the expected
+count is zero (T10).
 """
 
 from __future__ import annotations
@@ -50,9 +52,9 @@ def _memo(fn):
     return wrapper
 
 
-def _fit(col: Column, precision: int, scale: int, strict: bool) -> Column:
-    t = DecimalType(precision, scale)
-    return col.cast(t) if strict else col.try_cast(t)
+def _fit(col: Column, wide: int, strict: bool) -> Column:
+    """A luck measure in its declared type, or with ``wide`` digits in lenient builds."""
+    return col.cast(DecimalType(12 if strict else wide, 9))
 
 
 # -- rewards and fees (D1-D5) ------------------------------------------------
@@ -176,7 +178,7 @@ def hashprice(price: Column | str, hashvalue_col: Column | str) -> Column:
 @_memo
 def expected_block_count(reported: Column | str, difficulty: Column | str,
                          strict: bool = True) -> Column:
-    """``reported * 86400 / difficulty / 2^32`` as decimal(12,9).
+    """``reported * 86400 / difficulty / 2^32`` as decimal(12,9), lenient (21,9).
 
     As in the reference, the decimal quotient is turned into a double before
     the last division.  Spark types the quotient ``decimal(38,6)``: 17 or more
@@ -184,32 +186,32 @@ def expected_block_count(reported: Column | str, difficulty: Column | str,
     """
     q = (_col(reported).cast(DecimalType(30, 9)) * F.lit(SECONDS_PER_DAY).cast(DecimalType(5, 0))) \
         / _col(difficulty).cast(DecimalType(30, 9))
-    return _fit(q.cast("double") / F.lit(TWO_POW_32), 12, 9, strict)
+    return _fit(q.cast("double") / F.lit(TWO_POW_32), 21, strict)
 
 
 @_memo
 def block_count_diff(n: Column | str, expected: Column | str, strict: bool = True) -> Column:
-    """``n - expected`` as decimal(12,9)."""
-    return _fit(_col(n).cast(DecimalType(10, 0)) - _col(expected).cast(DecimalType(12, 9)),
-                12, 9, strict)
+    """``n - expected`` as decimal(12,9), lenient (22,9)."""
+    return _fit(_col(n).cast(DecimalType(10, 0)) - _col(expected).cast(DecimalType(21, 9)),
+                22, strict)
 
 
 @_memo
 def block_count_diff_pct(n: Column | str, expected: Column | str, strict: bool = True) -> Column:
-    """``(100 * n - expected) / expected`` as decimal(12,9), the reference's formula."""
+    """``(100 * n - expected) / expected`` as decimal(12,9), lenient (30,9); the reference's formula."""
     e = to_units(expected, 9)
     num = int_mul(100, _col(n), 10 ** 9) - e
     q = exact_ratio(num, e, 30, 9, num_scale=9, den_scale=9) if strict else \
         safe_ratio(num, e, 30, 9, num_scale=9, den_scale=9)
-    return _fit(q, 12, 9, strict)
+    return _fit(q, 30, strict)
 
 
 @_memo
 def mining_luck(n: Column | str, expected: Column | str, strict: bool = True) -> Column:
-    """``100 * n / expected`` as decimal(12,9); 100 means as many blocks as expected."""
+    """``100 * n / expected`` as decimal(12,9), lenient (30,9); 100 means as many blocks as expected."""
     e = to_units(expected, 9)
     num = int_mul(100, _col(n))
     q = exact_ratio(num, e, 30, 9, num_scale=0, den_scale=9) if strict else \
         safe_ratio(num, e, 30, 9, num_scale=0, den_scale=9)
-    return _fit(q, 12, 9, strict)
+    return _fit(q, 30, strict)
 

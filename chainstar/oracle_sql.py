@@ -427,7 +427,7 @@ POOL_REWARD = ["reward_mining_sum", "reward_subsidy_sum", "reward_tx_fee_sum", "
 
 
 def obt_pool(strict: bool = False) -> str:
-    fit = "CAST" if strict else "TRY_CAST"
+    p_expected, p_diff, p_luck = (12, 12, 12) if strict else (21, 22, 30)
     e = "expected_block_count"
     eu = units(e, 9)
     pct = xratio(f"CAST(100 AS HUGEINT) * block_count * 1000000000 - {eu}", eu, 30, 9, 9, 9)
@@ -441,8 +441,8 @@ def obt_pool(strict: bool = False) -> str:
          dp.is_antpool_friend_custodian, dp.is_antpool_friend_template,
          ps.reported_hashrate, ps.reported_hashrate_th, ps.reported_hashrate_ph, ps.reported_hashrate_eh,
          ps.estimated_hashrate, ps.estimated_hashrate_th, ps.estimated_hashrate_ph, ps.estimated_hashrate_eh,
-         {fit}(CAST(CAST(ps.reported_hashrate AS DECIMAL(30,9)) * 86400 AS DECIMAL(36,9))
-               / CAST(ns.difficulty_weighted_avg AS DECIMAL(30,9)) / 4294967296.0 AS DECIMAL(12,9))
+         CAST(CAST(CAST(ps.reported_hashrate AS DECIMAL(30,9)) * 86400 AS DECIMAL(36,9))
+               / CAST(ns.difficulty_weighted_avg AS DECIMAL(30,9)) / 4294967296.0 AS DECIMAL({p_expected},9))
            AS expected_block_count,
          ps.block_count, ps.blockheight_first, ps.blockheight_last,
          {', '.join('ps.' + c for c in POOL_REWARD)},
@@ -462,9 +462,9 @@ obt_pool AS (
                     reward_subsidy_sum_btc, reward_tx_fee_sum_btc, reward_mining_sum_usd,
                     reward_subsidy_sum_usd, reward_tx_fee_sum_usd, tx_fee_avg, tx_fee_avg_btc,
                     tx_fee_avg_usd),
-         {fit}(CAST(block_count AS DECIMAL(10,0)) - {e} AS DECIMAL(12,9)) AS block_count_diff,
-         {fit}({pct} AS DECIMAL(12,9)) AS block_count_diff_pct,
-         {fit}({luck} AS DECIMAL(12,9)) AS mining_luck,
+         CAST(CAST(block_count AS DECIMAL(10,0)) - {e} AS DECIMAL({p_diff},9)) AS block_count_diff,
+         CAST({pct} AS DECIMAL({p_luck},9)) AS block_count_diff_pct,
+         CAST({luck} AS DECIMAL({p_luck},9)) AS mining_luck,
          blockheight_first, blockheight_last, {', '.join(POOL_REWARD)},
          reward_mining_sum_usd, reward_subsidy_sum_usd, reward_tx_fee_sum_usd,
          tx_fee_avg, tx_fee_avg_btc, tx_fee_avg_usd
@@ -564,10 +564,11 @@ def luck_model(days: int = 7) -> str:
     luck = xratio("trailing_block_count * 100", units(e, 9), 30, 9, 0, 9)
     return select_from("obt_pool", extra_ctes=f"""luck_daily AS (
   SELECT pool_id, date_id, sum(block_count) AS block_count,
+         sum(block_count) FILTER (WHERE expected_block_count IS NOT NULL) AS counted,
          sum(expected_block_count) AS expected_block_count
   FROM obt_pool GROUP BY pool_id, date_id),
 luck_trailing AS (
-  SELECT *, sum(block_count) OVER w AS trailing_block_count,
+  SELECT *, coalesce(sum(counted) OVER w, 0) AS trailing_block_count,
          CAST(sum(expected_block_count) OVER w AS DECIMAL(22,9)) AS trailing_expected,
          count(date_id) OVER w AS trailing_days
   FROM luck_daily
@@ -575,7 +576,7 @@ luck_trailing AS (
         body=f"""SELECT pool_id, date_id, CAST(block_count AS BIGINT) AS block_count,
        CAST(expected_block_count AS DECIMAL(22,9)) AS expected_block_count, trailing_days,
        CAST(trailing_block_count AS BIGINT) AS trailing_block_count, {e},
-       CASE WHEN {e} > 0 THEN TRY_CAST({luck} AS DECIMAL(12,9)) END AS trailing_luck,
+       CASE WHEN {e} > 0 THEN {luck} END AS trailing_luck,
        CASE WHEN {e} > 0 THEN round((CAST(trailing_block_count AS DOUBLE) - CAST({e} AS DOUBLE))
             / sqrt(CAST({e} AS DOUBLE)), 6) END AS luck_z_score
 FROM luck_trailing""")

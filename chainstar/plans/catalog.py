@@ -45,7 +45,7 @@ def register(name: str, sql: str | None):
 
 
 def marts(spark: SparkSession, sf_dir: str) -> Marts:
-    """Registered builds are lenient: luck overflowing decimal(12,9) is NULL.
+    """Registered builds are lenient: luck past decimal(12,9) is kept in a wider type.
     Nothing stays cached after a query."""
     return Marts(spark, load_sources(spark, sf_dir), run_ts=RUN_TS, strict=False, persist_shared=False)
 

@@ -101,7 +101,8 @@ def luck_model(obt_pool: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
     Blocks found in a day are Poisson with mean ``expected_block_count``;
     over a trailing window the sum of means is the expected count and its
     variance.  Output: trailing found and expected blocks, trailing luck
-    (exact, lenient), and the z-score ``(found - expected) / sqrt(expected)``.
+    (exact), and the z-score ``(found - expected) / sqrt(expected)``.  Trailing
+    found blocks are those of rows with an expected count, as luck compares the two.
 
     The (day, pool) rows are first summed per pool and day (the default
     member can hold several raw pools a day), so a window partition holds
@@ -110,11 +111,12 @@ def luck_model(obt_pool: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
     """
     daily = obt_pool.groupBy("pool_id", "date_id").agg(
         F.sum("block_count").alias("block_count"),
+        F.sum(F.when(F.col("expected_block_count").isNotNull(), F.col("block_count"))).alias("counted"),
         F.sum("expected_block_count").alias("expected_block_count"))
     w = Window.partitionBy("pool_id").orderBy("date_id").rowsBetween(-(days - 1), 0)
     t = daily.select(
         "pool_id", "date_id", "block_count", "expected_block_count",
-        F.sum("block_count").over(w).alias("trailing_block_count"),
+        F.coalesce(F.sum("counted").over(w), F.lit(0)).alias("trailing_block_count"),
         F.sum("expected_block_count").over(w).cast(DecimalType(22, 9)).alias("trailing_expected"),
         F.count("date_id").over(w).alias("trailing_days"))
     e = F.col("trailing_expected")
@@ -124,7 +126,7 @@ def luck_model(obt_pool: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
         F.col("trailing_days"), F.col("trailing_block_count").cast("long").alias("trailing_block_count"),
         e.alias("trailing_expected"),
         F.when(e > 0, exact_ratio(F.col("trailing_block_count") * 100, to_units(e, 9), 30, 9,
-                                  den_scale=9)).try_cast(DecimalType(12, 9)).alias("trailing_luck"),
+                                  den_scale=9)).alias("trailing_luck"),
         F.when(e > 0, F.round((F.col("trailing_block_count").cast("double") - e.cast("double"))
                               / F.sqrt(e.cast("double")), 6)).alias("luck_z_score"),
     )

@@ -92,8 +92,8 @@ def obt_pool_stats_1d(fact_pool: DataFrame, fact_network: DataFrame, fact_price:
                       dim_date: DataFrame, dim_pool: DataFrame, strict: bool = True) -> DataFrame:
     """One row per (day, pool) with a price: USD amounts, expected blocks, luck.
 
-    ``strict=False`` gives NULL where the reference would abort on an
-    overflow of ``decimal(12,9)`` (a small pool's luck of 1000 % or more).
+    ``strict=False`` widens the luck columns where the reference would abort on
+    an overflow of ``decimal(12,9)`` (a small pool's luck of 1000 % or more).
     """
     combined = drill_across(fact_pool, [
         Arm(fact_network.select("date_id", F.col("difficulty_weighted_avg").alias("__net_difficulty")),
