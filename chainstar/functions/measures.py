@@ -5,7 +5,7 @@ declared type.  All divisions are exact rationals rounded once at the
 declared scale (see ``numeric``).  The luck measures (D16-D19) are strict as
 declared: a value past ``decimal(12,9)`` raises.  ``strict=False`` widens their
 types, so that every value is kept, and gives NULL only where the expected
-count is zero (T10).
+count is zero (T10), or for the fee ratios (D2, D4, D5) where the divisor is.
 """
 
 from __future__ import annotations
@@ -52,6 +52,10 @@ def _memo(fn):
     return wrapper
 
 
+def _ratio(strict: bool):
+    return exact_ratio if strict else safe_ratio
+
+
 def _fit(col: Column, wide: int, strict: bool) -> Column:
     """A luck measure in its declared type, or with ``wide`` digits in lenient builds."""
     return col.cast(DecimalType(12 if strict else wide, 9))
@@ -66,22 +70,22 @@ def reward_mining(subsidy: Column | str, fee: Column | str) -> Column:
 
 
 @_memo
-def fee_pct(fee: Column | str, subsidy: Column | str) -> Column:
-    """``100 * fee / (subsidy + fee)`` as decimal(12,9); unguarded divide."""
+def fee_pct(fee: Column | str, subsidy: Column | str, strict: bool = True) -> Column:
+    """``100 * fee / (subsidy + fee)`` as decimal(12,9); a reward of zero raises, lenient NULL."""
     total = _col(subsidy).cast("long") + _col(fee).cast("long")
-    return exact_ratio(int_mul(100, _col(fee)), total, 12, 9)
+    return _ratio(strict)(int_mul(100, _col(fee)), total, 12, 9)
 
 
 @_memo
-def fee_avg(fee: Column | str, tx_count: Column | str) -> Column:
+def fee_avg(fee: Column | str, tx_count: Column | str, strict: bool = True) -> Column:
     """``fee / tx_count`` as decimal(16,3)."""
-    return exact_ratio(_col(fee), _col(tx_count), 16, 3)
+    return _ratio(strict)(_col(fee), _col(tx_count), 16, 3)
 
 
 @_memo
-def fee_avg_btc(fee: Column | str, tx_count: Column | str) -> Column:
+def fee_avg_btc(fee: Column | str, tx_count: Column | str, strict: bool = True) -> Column:
     """``fee / tx_count / 10^8`` as decimal(19,11), from the unrounded quotient."""
-    return exact_ratio(_col(fee), _col(tx_count), 19, 11, num_scale=0, den_scale=-8)
+    return _ratio(strict)(_col(fee), _col(tx_count), 19, 11, num_scale=0, den_scale=-8)
 
 
 @_memo

@@ -49,6 +49,15 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
         raise ValueError("give a table name or a path")
 
 
+def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
+    """K7: remove partitions ``column=value`` below ``path`` that have lost all rows
+    (a dynamic overwrite leaves them); missing ones are passed over."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for v in values:
+        part = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={v}")
+        part.getFileSystem(conf).delete(part, True)
+
+
 def create_view(df: DataFrame, name: str) -> DataFrame:
     """K2: a view recomputed on every read (session scoped)."""
     df.createOrReplaceTempView(name.replace(".", "__"))

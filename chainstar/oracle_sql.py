@@ -109,7 +109,7 @@ CALENDAR = f"""calendar AS (
 # -- stand-in sources ------------------------------------------------------------------
 
 SRC_BLOCK = """src_block_base AS (
-  SELECT CAST(event_id AS INTEGER) AS blockheight,
+  SELECT CAST(event_id % 2147483647 AS INTEGER) AS blockheight,
          'blk' || CAST(event_id AS VARCHAR) AS block_hash,
          'blk' || CAST(event_id - 1 AS VARCHAR) AS prev_block_hash,
          ts AS "timestamp",
@@ -236,12 +236,12 @@ def reward_columns(s: str = "reward_subsidy_sum", f: str = "reward_tx_fee_sum",
          CAST({s} AS BIGINT) AS {'reward_subsidy' + suffix},
          CAST({f} AS BIGINT) AS reward_tx_fee_sum,
          CAST({t} AS INTEGER) AS tx_count,
-         {xratio(f'100 * {f}', f'{s} + {f}', 12, 9)} AS reward_tx_fee_pct,
+         {safe_xratio(f'100 * {f}', f'{s} + {f}', 12, 9)} AS reward_tx_fee_pct,
          {btc(mining)} AS reward_mining{suffix}_btc,
          {btc(s)} AS {'reward_subsidy' + suffix}_btc,
          {btc(f)} AS reward_tx_fee_sum_btc,
-         {xratio(f, t, 16, 3)} AS tx_fee_avg,
-         {xratio(f, t, 19, 11, 0, -8)} AS tx_fee_avg_btc"""
+         {safe_xratio(f, t, 16, 3)} AS tx_fee_avg,
+         {safe_xratio(f, t, 19, 11, 0, -8)} AS tx_fee_avg_btc"""
 
 
 FACT_BLOCK = f"""fact_block AS (
@@ -256,13 +256,13 @@ FACT_BLOCK = f"""fact_block AS (
          b.difficulty,
          CAST(b.reward_subsidy + b.reward_tx_fee_sum AS BIGINT) AS reward_mining,
          b.reward_subsidy, b.reward_tx_fee_sum,
-         {xratio('100 * b.reward_tx_fee_sum', 'b.reward_subsidy + b.reward_tx_fee_sum', 12, 9)} AS reward_tx_fee_pct,
+         {safe_xratio('100 * b.reward_tx_fee_sum', 'b.reward_subsidy + b.reward_tx_fee_sum', 12, 9)} AS reward_tx_fee_pct,
          {btc('b.reward_subsidy + b.reward_tx_fee_sum')} AS reward_mining_btc,
          {btc('b.reward_subsidy')} AS reward_subsidy_btc,
          {btc('b.reward_tx_fee_sum')} AS reward_tx_fee_sum_btc,
          b.tx_count,
-         {xratio('b.reward_tx_fee_sum', 'b.tx_count', 16, 3)} AS tx_fee_avg,
-         {xratio('b.reward_tx_fee_sum', 'b.tx_count', 19, 11, 0, -8)} AS tx_fee_avg_btc,
+         {safe_xratio('b.reward_tx_fee_sum', 'b.tx_count', 16, 3)} AS tx_fee_avg,
+         {safe_xratio('b.reward_tx_fee_sum', 'b.tx_count', 19, 11, 0, -8)} AS tx_fee_avg_btc,
          b.audit_created_timestamp
   FROM blocks b
   JOIN calendar dd ON dd.date = b.event_date
@@ -525,8 +525,8 @@ def select_from(rel: str, extra_ctes: str = "", body: str | None = None) -> str:
 # -- extensions (E3, E4, E5) ----------------------------------------------------------
 
 def _reward_tail(s="reward_subsidy_sum", f="reward_tx_fee_sum", m="reward_mining_sum", t="tx_count"):
-    return (f"{xratio(f'100 * {f}', f'{s} + {f}', 12, 9)} AS reward_tx_fee_pct, "
-            f"{btc(m)} AS reward_mining_sum_btc, {xratio(f, t, 16, 3)} AS tx_fee_avg")
+    return (f"{safe_xratio(f'100 * {f}', f'{s} + {f}', 12, 9)} AS reward_tx_fee_pct, "
+            f"{btc(m)} AS reward_mining_sum_btc, {safe_xratio(f, t, 16, 3)} AS tx_fee_avg")
 
 
 def epoch_summary(epoch: str) -> str:

@@ -8,21 +8,20 @@ top-k previews (O1, O2), whose order is made total.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chainstar import oracle_sql as O
 from chainstar.operators.preview import preview
-from chainstar.operators.quality import broken_links, duplicate_keys
-import uuid
-
-from pyspark.sql import functions as F
-
-from chainstar.operators.quality import stale_heights
+from chainstar.operators.quality import broken_links, duplicate_keys, orphan_keys, stale_heights
 from chainstar.plans import dims, extensions, facts, orders_star
-from chainstar.plans.marts import Marts
+from chainstar.plans.marts import Marts, build, descendants
 from chainstar.session import checkpoint_dir
+from chainstar.sources import schemas
+from chainstar.sources.files import load_csv
 from chainstar.sources.standins import load_sources, read_table
 from chainstar.streaming.block_feed import run_block_feed
 
@@ -241,19 +240,56 @@ def _scratch(spark, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/chainstar/{name}/{uuid.uuid4().hex}"
 
 
+def _deliveries(block):
+    """The blocks as two deliveries: what the second brings again was dated a day too early in the first."""
+    late = block.filter(F.col("loaded_at") != F.col("timestamp"))
+    again = late.select("block_hash").distinct().withColumn("again", F.lit(True))
+    early = F.col("timestamp") - F.when(F.col("again"), F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
+    first = (block.filter(F.col("loaded_at") == F.col("timestamp")).join(again, "block_hash", "left")
+             .withColumn("timestamp", early).select(*block.columns))
+    return first, late
+
+
+def _incremental(spark, sf_dir, model):
+    """Build ``model`` from the first delivery of each block, then fold in
+    the re-deliveries, which move blocks to other days, by rebuilding only the
+    days they touch (dynamic partition overwrite, emptied days removed); read
+    the table back.  It equals the full build."""
+    out = _scratch(spark, "k7")
+    src = load_sources(spark, sf_dir)
+    first, late = _deliveries(src["block"])
+    for block, new in ((first, first), (first.unionByName(late), late)):
+        m = Marts(spark, src | {"block": block}, run_ts=RUN_TS, strict=False, persist_shared=False)
+        extensions.rebuild_days(m, extensions.touched_days(m, new), {model: out})
+    return spark.read.parquet(out).drop("day")
+
+
 @register("k7_incremental_network", O.select_from("fact_network"))
 def k7_incremental_network(spark, sf_dir):
-    """Build the daily network fact from the first delivery of each
-    block, then fold in the late re-deliveries by rebuilding only the days
-    they touch (dynamic partition overwrite); read the table back."""
+    return _incremental(spark, sf_dir, "fact.network_stats_1d")
+
+
+@register("k7_incremental_pool", O.select_from("fact_pool"))
+def k7_incremental_pool(spark, sf_dir):
+    return _incremental(spark, sf_dir, "fact.pool_stats_1d")
+
+
+@register("k7_incremental_block", O.select_from("fact_block"))
+def k7_incremental_block(spark, sf_dir):
+    return _incremental(spark, sf_dir, "fact.block")
+
+
+@register("k7_incremental_price", O.select_from("fact_price"))
+def k7_incremental_price(spark, sf_dir):
+    """Daily prices first come without their close, an hour early; the whole rows then replace them."""
     out = _scratch(spark, "k7")
-    src = load_sources(spark, sf_dir)["block"]
-    first = src.filter(F.col("loaded_at") == F.col("timestamp"))
-    late = src.filter(F.col("loaded_at") != F.col("timestamp"))
-    m1 = Marts(spark, {"block": first}, run_ts=RUN_TS, persist_shared=False)
-    extensions.rebuild_days(m1, first.select(F.to_date("timestamp").alias("event_date")), out)
-    m2 = Marts(spark, {"block": src}, run_ts=RUN_TS, persist_shared=False)
-    extensions.rebuild_days(m2, late.select(F.to_date("timestamp").alias("event_date")), out)
+    src = load_sources(spark, sf_dir)
+    first = src["price"].withColumns({"price_close": F.col("price_open"),
+                                      "loaded_at": F.col("loaded_at") - F.expr("INTERVAL 1 HOUR")})
+    days = src["price"].select(F.col("date").alias("event_date"))
+    for price in (first, first.unionByName(src["price"])):
+        m = Marts(spark, src | {"price": price}, run_ts=RUN_TS, strict=False, persist_shared=False)
+        extensions.rebuild_days(m, days, {"fact.price_1d": out})
     return spark.read.parquet(out).drop("day")
 
 
@@ -261,18 +297,66 @@ def k7_incremental_network(spark, sf_dir):
 def e7_stream_network_1d(spark, sf_dir):
     """The blocks arrive as a feed of files, first deliveries then the late
     re-deliveries; a Structured Streaming query folds each file into the daily
-    network fact (late rows rebuild the days they touch)."""
+    network fact (late rows rebuild the days they touch, those they leave included)."""
     base = _scratch(spark, "e7")
-    src = load_sources(spark, sf_dir)["block"]
-    src.filter(F.col("loaded_at") == F.col("timestamp")) \
-        .write.parquet(f"{base}/feed/1-first")
-    src.filter(F.col("loaded_at") != F.col("timestamp")) \
-        .write.parquet(f"{base}/feed/2-late")
+    first, late = _deliveries(load_sources(spark, sf_dir)["block"])
+    first.write.parquet(f"{base}/feed/1-first")
+    late.write.parquet(f"{base}/feed/2-late")
     run_block_feed(spark, f"{base}/feed/*", f"{base}/src_block", f"{base}/fact",
                    f"{base}/checkpoint", run_ts=RUN_TS, files_per_batch=256)
     return spark.read.parquet(f"{base}/fact").drop("day")
 
 
+# -- written and read back (K1, K3, S1-S4 and S8 as CSV, E6) -----------------------------------
+
+@register("k1_built_network", O.select_from("fact_network"))
+def k1_built_network(spark, sf_dir):
+    """K1, K5: the daily network fact as a table of the DAG build."""
+    name = "fact.network_stats_1d"
+    return build(marts(spark, sf_dir), _scratch(spark, "k1"), [name])[name]
+
+
+@register("k3_built_obt_pool", O.select_from("obt_pool"))
+def k3_built_obt_pool(spark, sf_dir):
+    """The pool OBT written after the facts it reads, each read back."""
+    names = ["dim.pool", "fact.price_1d", "fact.network_stats_1d", "fact.pool_stats_1d", "obt.pool_stats_1d"]
+    return build(marts(spark, sf_dir), _scratch(spark, "k3"), names, obt_as_view=False)[names[-1]]
+
+
+@register("k6_rebuild_after_price", O.select_from("obt_network"))
+def k6_rebuild_after_price(spark, sf_dir):
+    """K6: what a new price source makes stale is rebuilt, in DAG order, and read back."""
+    names = [n for n in descendants(["src.price"]) if n != "obt.pool_stats_1d"]
+    return build(marts(spark, sf_dir), _scratch(spark, "k6"), names, obt_as_view=False)["obt.network_stats_1d"]
+
+
+def _csv(spark, sf_dir, name):
+    """The stand-in source as CSV in the shared folder, loaded strictly (typed, not-null columns checked)."""
+    path, schema = _scratch(spark, "csv"), schemas.SOURCES[name]
+    (load_sources(spark, sf_dir)[name].select(*schema.names).write.option("header", True)
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return load_csv(spark, path, schema)
+
+
+def _register_csv(name: str, query: str) -> None:
+    rel = f"src_{name}"
+    register(query, O.select_from(rel, body=f"SELECT * EXCLUDE (loaded_at) FROM {rel}"))(
+        lambda spark, sf_dir: _csv(spark, sf_dir, name))
+
+
+for _i, _name in enumerate(("block", "hashrate", "pool", "price"), 1):
+    _register_csv(_name, f"s{_i}_csv_{_name}")
+
+
+@register("e6_orphan_pools", O.with_ctes("blocks", "dim_pool") + (
+    "SELECT * FROM blocks b WHERE NOT EXISTS (SELECT 1 FROM dim_pool p WHERE p.pool_key = b.pool_key)"))
+def e6_orphan_pools(spark, sf_dir):
+    """Blocks whose pool has no row in the pool dimension."""
+    m = marts(spark, sf_dir)
+    return orphan_keys(m.blocks, m["dim.pool"], "pool_key")
+
+
 # -- second star (order lines) ----------------------------------------------------------------
 
 def _orders(spark, sf_dir):

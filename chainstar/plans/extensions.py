@@ -4,25 +4,29 @@
 * E4  one row per pool over all time, from ``obt.block``;
 * E5  trailing-window luck per pool (Poisson mean and z-score), from
       ``obt.pool_stats_1d``;
-* E1  incremental rebuild of the days touched by new source rows, written
-      with dynamic partition overwrite.
+* E1  incremental rebuild of the days touched by new source rows, for the daily
+      facts and ``fact.block``, written with dynamic partition overwrite.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from chainstar.functions import measures as M
 from chainstar.functions.numeric import exact_ratio, sats_to_btc, to_units
-from chainstar.operators.sinks import write_table
+from chainstar.functions.strings import clean
+from chainstar.operators.sinks import drop_partitions, write_table
 from chainstar.operators.snapshot import periodic_snapshot
 from chainstar.operators.staging import dedupe_latest
 from chainstar.plans import dims, facts
 
 TRAILING_DAYS = 7
+EVENT_DAY = "to_date(`timestamp`)"   # a source row's day; a partition column where the table has one
 
 
 def _reward_rollup() -> list:
@@ -35,10 +39,11 @@ def _reward_rollup() -> list:
 
 
 def _reward_measures() -> list:
+    # Lenient: an epoch or pool may have no reward at all.
     return [
-        M.fee_pct("reward_tx_fee_sum", "reward_subsidy_sum").alias("reward_tx_fee_pct"),
+        M.fee_pct("reward_tx_fee_sum", "reward_subsidy_sum", False).alias("reward_tx_fee_pct"),
         sats_to_btc("reward_mining_sum").alias("reward_mining_sum_btc"),
-        M.fee_avg("reward_tx_fee_sum", "tx_count").alias("tx_fee_avg"),
+        M.fee_avg("reward_tx_fee_sum", "tx_count", False).alias("tx_fee_avg"),
     ]
 
 
@@ -132,26 +137,86 @@ def luck_model(obt_pool: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
     )
 
 
-def rebuild_days(marts, touched_days: DataFrame, path: str) -> None:
-    """Recompute ``fact.network_stats_1d`` for the touched days only.
+def _days_listed(marts, days: DataFrame) -> list:
+    """The calendar's days among ``days.event_date``: 29,220 at most, so the driver may hold them."""
+    cal = marts["dim.date"].select(F.col("date").alias("event_date"))
+    days = days.select("event_date").distinct().join(F.broadcast(cal), "event_date", "left_semi")
+    return sorted(r[0] for r in days.collect())
+
+
+def _among(day: str, days: list) -> Column:
+    """``day`` (SQL) is one of ``days``: literals, so that a partition column prunes files."""
+    return F.expr(f"coalesce({day} IN ({', '.join(f"DATE'{d}'" for d in days)}), false)") if days else F.lit(False)
+
 
-    The day filter is applied to the staged source rows before dedupe (a
-    ``left_semi`` join with the small set of touched days), which is exact
-    as long as the copies of a block share its day.  The result replaces
-    only those days' partitions (dynamic partition overwrite).
+def _held_on(src: DataFrame, day: str) -> DataFrame:
+    """(block_key, event_date) of every copy in the source table."""
+    return src.select(clean("block_hash").alias("block_key"), F.expr(day).alias("event_date"))
+
+
+def touched_days(marts, delivered: DataFrame, day: str = EVENT_DAY) -> DataFrame:
+    """The days that newly delivered blocks change: their own, and those which
+    earlier copies of the same blocks were held on (a block that moves leaves its old day).
+
+    Reads two columns of the source table; the delivered keys are its semi-join side.
     """
-    src = marts.sources["block"]
-    # Days inside the calendar: at most 29,220 rows, so broadcast is safe.
-    cal = marts["dim.date"].select(F.col("date").alias("event_date"))
-    days = touched_days.select("event_date").distinct().join(cal, "event_date", "inner")
-    staged = dims.stage_blocks(src, marts.run_ts).join(F.broadcast(days), "event_date", "left_semi")
-    blocks = dedupe_latest(staged, ["block_key"], ["audit_created_timestamp"])
-    # The touched days' cube feeds two branches (adjustments, day roll-up):
+    new = _held_on(delivered, day)
+    held = _held_on(marts.sources["block"], day)
+    return (held.join(new.select("block_key").distinct(), "block_key", "left_semi")
+            .unionByName(new).select("event_date").distinct())
+
+
+def rebuild_days(marts, touched: DataFrame, paths: str | Mapping[str, str], day: str = EVENT_DAY) -> None:
+    """Recompute the touched days (see ``touched_days``) of the daily models and ``fact.block``.
+
+    ``paths`` maps models to their folders (a single path: ``fact.network_stats_1d``).
+    Exact for blocks whose copies lie on several days: keep-latest sees all
+    copies of every block that has one on a touched day, and only then days are
+    picked.  The files read are those of the touched days and of the (usually
+    few) other days with copies of their blocks, where ``day``, the source's day
+    as SQL, is a partition column.  Touched days are replaced by dynamic partition
+    overwrite; those left without rows lose their partition.
+    """
+    paths = {"fact.network_stats_1d": paths} if isinstance(paths, str) else dict(paths)
+    days = _days_listed(marts, touched)
+    if not days:
+        return
+    spark, src, cal = marts.spark, marts.sources["block"], marts["dim.date"]
+    inside = _among("event_date", days)
+    held = _held_on(src, day)
+    keys = held.filter(inside).select("block_key").distinct()
+    near = _days_listed(marts, held.filter(~inside).join(keys, "block_key", "left_semi"))
+    # Copies without a day of the calendar may be a block's latest, too.
+    off = F.expr(f"{day} IS NULL OR {day} < DATE'{dims.CALENDAR_START}' "
+                 f"OR {day} >= date_add(DATE'{dims.CALENDAR_START}', {dims.CALENDAR_DAYS})")
+    staged = dims.stage_blocks(src.filter(_among(day, [*days, *near]) | off), marts.run_ts)
+    blocks = dedupe_latest(staged, ["block_key"], ["audit_created_timestamp"]).filter(inside)
+    # The touched days' cube feeds several branches (adjustments, day roll-up):
     # keep it for this rebuild only (recomputed from lineage if lost).
     cube = facts.block_cube(blocks).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fact = facts.fact_network_stats_1d(blocks, marts["dim.date"], cube=cube)
-        write_table(fact.withColumn("day", F.col("date_id")), path=path, partition_by=["day"],
-                    dynamic_partitions=True)
+        for name, path in paths.items():
+            if name == "fact.price_1d":
+                price = marts.sources["price"].filter(_among("CAST(`date` AS DATE)", days))
+                fact = facts.fact_price_1d(price, cal, run_ts=marts.run_ts)
+            elif name == "fact.block":
+                fact = facts.fact_block(blocks, cal, marts["dim.pool"], strict=marts.strict)
+            elif name == "fact.pool_stats_1d":
+                rates = marts.sources["hashrate"].filter(_among("CAST(`date` AS DATE)", days))
+                fact = facts.fact_pool_stats_1d(blocks, rates, cal, marts["dim.pool"], marts.collapse_unknown,
+                                                cube=cube, strict=marts.strict)
+            elif name == "fact.network_stats_1d":
+                fact = facts.fact_network_stats_1d(blocks, cal, cube=cube, strict=marts.strict)
+            else:
+                raise KeyError(name)
+            write_table(fact.withColumn("day", F.col("date_id")), path=path, partition_by=["day"],
+                        dynamic_partitions=True)
+            if name == "fact.price_1d":
+                left = price.filter(clean("ticker") == facts.DEFAULT_TICKER).select(
+                    F.col("date").cast("date").alias("event_date"))
+            else:
+                left = cube
+            gone = set(days).difference(_days_listed(marts, left))
+            drop_partitions(spark, path, "day", [f"{d:%Y%m%d}" for d in sorted(gone)])
     finally:
         cube.unpersist()

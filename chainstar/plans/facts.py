@@ -62,7 +62,7 @@ def fact_price_1d(src_price: DataFrame, dim_date: DataFrame, ticker: str = DEFAU
 # -- fact.block -------------------------------------------------------------------
 
 def fact_block(blocks: DataFrame, dim_date: DataFrame, dim_pool: DataFrame,
-               dim_block: DataFrame | None = None) -> DataFrame:
+               dim_block: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """One row per block with epochs, rewards in sats and BTC, fee averages.
 
     ``block_id``: the block dimension is built from the same deduped blocks,
@@ -94,13 +94,13 @@ def fact_block(blocks: DataFrame, dim_date: DataFrame, dim_pool: DataFrame,
         M.reward_mining("reward_subsidy", "reward_tx_fee_sum").alias("reward_mining"),
         F.col("reward_subsidy"),
         F.col("reward_tx_fee_sum"),
-        M.fee_pct("reward_tx_fee_sum", "reward_subsidy").alias("reward_tx_fee_pct"),
+        M.fee_pct("reward_tx_fee_sum", "reward_subsidy", strict).alias("reward_tx_fee_pct"),
         sats_to_btc(M.reward_mining("reward_subsidy", "reward_tx_fee_sum")).alias("reward_mining_btc"),
         sats_to_btc("reward_subsidy").alias("reward_subsidy_btc"),
         sats_to_btc("reward_tx_fee_sum").alias("reward_tx_fee_sum_btc"),
         F.col("tx_count"),
-        M.fee_avg("reward_tx_fee_sum", "tx_count").alias("tx_fee_avg"),
-        M.fee_avg_btc("reward_tx_fee_sum", "tx_count").alias("tx_fee_avg_btc"),
+        M.fee_avg("reward_tx_fee_sum", "tx_count", strict).alias("tx_fee_avg"),
+        M.fee_avg_btc("reward_tx_fee_sum", "tx_count", strict).alias("tx_fee_avg_btc"),
         F.col("audit_created_timestamp"),
     )
 
@@ -195,19 +195,19 @@ def with_weighted_difficulty(changes: DataFrame, daily: DataFrame) -> DataFrame:
     return regime_weighted_avg(changes, daily, change_every=ADJUSTMENT_INTERVAL)
 
 
-def _reward_columns() -> list:
+def _reward_columns(strict: bool = True) -> list:
     s, f, t = "reward_subsidy_sum", "reward_tx_fee_sum", "tx_count"
     return [
         M.reward_mining(s, f).alias("reward_mining_sum"),
         F.col(s).cast("long").alias(s),
         F.col(f).cast("long").alias(f),
         F.col(t).cast("int").alias(t),
-        M.fee_pct(f, s).alias("reward_tx_fee_pct"),
+        M.fee_pct(f, s, strict).alias("reward_tx_fee_pct"),
         sats_to_btc(M.reward_mining(s, f)).alias("reward_mining_sum_btc"),
         sats_to_btc(s).alias("reward_subsidy_sum_btc"),
         sats_to_btc(f).alias("reward_tx_fee_sum_btc"),
-        M.fee_avg(f, t).alias("tx_fee_avg"),
-        M.fee_avg_btc(f, t).alias("tx_fee_avg_btc"),
+        M.fee_avg(f, t, strict).alias("tx_fee_avg"),
+        M.fee_avg_btc(f, t, strict).alias("tx_fee_avg_btc"),
     ]
 
 
@@ -218,7 +218,7 @@ def network_daily(cube: DataFrame) -> DataFrame:
 
 def fact_network_stats_1d(blocks: DataFrame, dim_date: DataFrame,
                           cube: DataFrame | None = None,
-                          daily: DataFrame | None = None) -> DataFrame:
+                          daily: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """One row per day: counts, rewards, first/last/weighted difficulty, hashrate."""
     if daily is None:
         daily = network_daily(block_cube(blocks) if cube is None else cube)
@@ -238,7 +238,7 @@ def fact_network_stats_1d(blocks: DataFrame, dim_date: DataFrame,
         F.col("blockheight_last").cast("int").alias("blockheight_last"),
         F.col("pool_count").cast("int").alias("pool_count"),
         *M.hashrate_columns(est, "estimated_hashrate"),
-        *_reward_columns(),
+        *_reward_columns(strict),
         F.col("audit_created_timestamp"),
     )
 
@@ -256,7 +256,7 @@ def staged_hashrate(src_hashrate: DataFrame, run_ts=None) -> DataFrame:
 def fact_pool_stats_1d(blocks: DataFrame, src_hashrate: DataFrame, dim_date: DataFrame,
                        dim_pool: DataFrame, collapse_unknown: bool = False,
                        cube: DataFrame | None = None,
-                       daily: DataFrame | None = None) -> DataFrame:
+                       daily: DataFrame | None = None, strict: bool = True) -> DataFrame:
     """One row per (day, raw pool): blocks, rewards, reported and estimated hashrate.
 
     Unmatched pools get id ``'0'`` after grouping, so several raw pools can
@@ -295,6 +295,6 @@ def fact_pool_stats_1d(blocks: DataFrame, src_hashrate: DataFrame, dim_date: Dat
         F.col("block_count").cast("int").alias("block_count"),
         F.col("blockheight_first").cast("int").alias("blockheight_first"),
         F.col("blockheight_last").cast("int").alias("blockheight_last"),
-        *_reward_columns(),
+        *_reward_columns(strict),
         F.col("audit_created_timestamp"),
     )

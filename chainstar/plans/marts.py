@@ -157,14 +157,15 @@ class Marts:
         if name == "fact.price_1d":
             return facts.fact_price_1d(s["price"], self["dim.date"], run_ts=r)
         if name == "fact.block":
-            return facts.fact_block(self.blocks, self["dim.date"], self["dim.pool"])
+            return facts.fact_block(self.blocks, self["dim.date"], self["dim.pool"],
+                                    strict=self.strict)
         if name == "fact.network_stats_1d":
             return facts.fact_network_stats_1d(self.blocks, self["dim.date"], cube=self.cube,
-                                               daily=self.network_daily)
+                                               daily=self.network_daily, strict=self.strict)
         if name == "fact.pool_stats_1d":
             return facts.fact_pool_stats_1d(self.blocks, s["hashrate"], self["dim.date"],
                                             self["dim.pool"], self.collapse_unknown, cube=self.cube,
-                                            daily=self.network_daily)
+                                            daily=self.network_daily, strict=self.strict)
         if name == "obt.block":
             return obts.obt_block(self["fact.block"], self["dim.block"], self["dim.date"],
                                   self["dim.pool"])

@@ -4,7 +4,7 @@ The driver's data has no blocks, pools, prices or pool hashrates, so the
 four sources are derived from it with Spark; their size grows with the
 driver's tables:
 
-* ``block``    <- ``events``: one block per event (height = event id, pool
+* ``block``    <- ``events``: one block per event (height = event id, as far as an int goes, pool
   = the event's user), plus re-delivered and duplicated rows for keep-latest
   dedupe;
 * ``pool``     <- ``supplier`` x ``nation`` x ``region``: one pool per
@@ -36,6 +36,7 @@ DIFFICULTY_BASE = 1000       # difficulty = (1000 + 37 * (event_id div 2016)) *
 DIFFICULTY_STEP = 37
 DIFFICULTY_EPOCH = 2016
 DIFFICULTY_UNIT = 10 ** 9
+HEIGHTS = 2147483647         # blockheight = event_id modulo this: a height is an int
 SUBSIDY_EPOCH = 4000         # subsidy halves every 4000 events
 REDELIVERED_TYPE = "error"   # re-sent an hour later with tx_count + 1
 DUPLICATED_TYPE = "signup"   # sent twice, identical
@@ -63,7 +64,7 @@ def block_from_events(events: DataFrame) -> DataFrame:
     redelivered = F.col("__copy") == 1
     tx_count = F.pmod(F.col("user_id"), F.lit(7)) + 1
     return e.select(
-        F.col("event_id").cast("int").alias("blockheight"),
+        F.pmod(F.col("event_id"), F.lit(HEIGHTS)).cast("int").alias("blockheight"),
         F.concat(F.lit("blk"), F.col("event_id").cast("string")).alias("block_hash"),
         F.concat(F.lit("blk"), (F.col("event_id") - 1).cast("string")).alias("prev_block_hash"),
         F.col("ts").alias("timestamp"),

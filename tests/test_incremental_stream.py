@@ -2,13 +2,14 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
-from chainstar.plans.extensions import rebuild_days
+from chainstar.plans.extensions import rebuild_days, touched_days
 from chainstar.plans.marts import Marts
 from chainstar.streaming.block_feed import FEED_SCHEMA, run_block_feed
 
-from fixtures import RUN_TS, blocks_df
+from fixtures import ADJ_DAY_POOLS, RUN_TS, blocks_df, pools_df
 
 DAY1 = [(100, "2024-04-23 01:00:00", "alpha", "5", 10, 1, 1),
         (101, "2024-04-23 02:00:00", "alpha", "5", 10, 2, 1)]
@@ -40,6 +41,48 @@ def test_rebuild_touches_only_given_days(spark, tmp_dir):
     assert sorted(os.listdir(os.path.join(out, "day=20240424"))) == day2_files   # untouched
 
 
+def _rebuild(spark, stored, delivered, paths):
+    m = Marts(spark, {"block": stored, "pool": pools_df(spark, ADJ_DAY_POOLS)}, run_ts=RUN_TS, persist_shared=False)
+    rebuild_days(m, touched_days(m, delivered), paths)
+
+
+def test_moved_block_leaves_its_old_day(spark, tmp_dir):
+    """A re-delivery that moves a block over midnight equals the full build; an emptied day goes."""
+    out = os.path.join(tmp_dir, "moved")
+    first = _feed_rows(spark, [*DAY1, (102, "2024-04-24 23:59:59", "beta", "5", 10, 4, 1)], "2024-04-25 00:30:00")
+    paths = {"fact.network_stats_1d": f"{out}/network", "fact.block": f"{out}/block"}
+    _rebuild(spark, first, first, paths)
+    assert _fees(spark, f"{out}/network") == {"20240423": (2, 3), "20240424": (1, 4)}
+    late = _feed_rows(spark, [(102, "2024-04-25 00:00:00", "beta", "5", 10, 4, 1)], "2024-04-25 01:00:00")
+    stored = first.unionByName(late)
+    _rebuild(spark, stored, late, paths)
+    assert _fees(spark, f"{out}/network") == {"20240423": (2, 3), "20240425": (1, 4)}
+    assert sorted((r.date_id, r.blockheight) for r in spark.read.parquet(f"{out}/block").collect()) == [
+        ("20240423", 100), ("20240423", 101), ("20240425", 102)]
+    # A later delivery on the day that the block left does not bring it back.
+    more = _feed_rows(spark, [(103, "2024-04-24 05:00:00", "beta", "5", 10, 8, 1)], "2024-04-25 02:00:00")
+    _rebuild(spark, stored.unionByName(more), more, paths)
+    assert _fees(spark, f"{out}/network") == {"20240423": (2, 3), "20240424": (1, 8), "20240425": (1, 4)}
+
+
+def test_block_moved_out_of_the_calendar(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "out_of_calendar")
+    first = _feed_rows(spark, DAY1 + DAY2, "2024-04-24 12:00:00")
+    _rebuild(spark, first, first, out)
+    late = _feed_rows(spark, [(102, "2050-01-01 00:00:00", "beta", "5", 10, 4, 1)], "2050-01-01 01:00:00")
+    _rebuild(spark, first.unionByName(late), late, out)
+    assert _fees(spark, out) == {"20240423": (2, 3)}
+
+
+def test_zero_reward_is_null_in_lenient_builds(spark):
+    blocks = blocks_df(spark, [(100, "2024-04-23 01:00:00", "alpha", "5", 0, 0, 1)])
+    src = {"block": blocks, "pool": pools_df(spark, ADJ_DAY_POOLS)}
+    fact = Marts(spark, src, run_ts=RUN_TS, strict=False, persist_shared=False)["fact.block"]
+    assert fact.first().reward_tx_fee_pct is None
+    with pytest.raises(Exception, match="REMAINDER_BY_ZERO|DIVIDE_BY_ZERO"):
+        Marts(spark, src, run_ts=RUN_TS, persist_shared=False)["fact.block"].collect()
+
+
 def test_stream_folds_late_file(spark, tmp_dir):
     feed = os.path.join(tmp_dir, "feed")
     _feed_rows(spark, DAY1 + DAY2, "2024-04-24 12:00:00").coalesce(1).write.parquet(f"{feed}/1")
