@@ -18,6 +18,7 @@ import hashlib
 import re
 import sys
 import unicodedata
+from bisect import bisect_left, bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -71,36 +72,43 @@ _LAST = frozenset("com org net edu gov mil int info biz io ai app dev co uk us e
                   "fi ru ua cz ie ca mx br ar au nz in jp cn kr test example invalid".split())
 _ARTICLES = frozenset("the a an this that these those our your my his her their le la les un une der die das el los "
                       "las una home work school least first last all".split())
-_W = "|".join(sorted(_DIGIT_NAMES, key=len, reverse=True))
-_RULES = re.compile(
-    "(?P<one>[" + re.escape("".join(_ONE)) + "])"
-    rf"|(?P<at>[\x20\t]*[\[({{<][\x20\t]*(?:{_AT}|@)[\x20\t]*[\])}}>][\x20\t]*)"
-    rf"|(?P<dot>[\x20\t]*[\[({{<][\x20\t]*(?:{_DOT}|\.)[\x20\t]*[\])}}>][\x20\t]*)"
-    rf"|(?P<bareat>[\x20\t]+(?:{_AT})[\x20\t]+)|(?P<baredot>[\x20\t]+(?:{_DOT})[\x20\t]+)"
-    r"|(?P<entity>&#0*(?:64|46|x40|x2e);|&(?:commat|period);)"
-    rf"|(?P<plus>\b{_PLUS}[\x20\t]+(?=(?:{_W})\b|[0-9]))"
-    rf"|(?P<digits>\b(?:{_W})\b(?:[\x20\t]*[-,]?[\x20\t]*\b(?:{_W})\b)*)", re.I)
-_NAME = re.compile(rf"\b(?:{_W})\b", re.I)
-SPELLED_LEAST = 4   # spelled digits that a card or phone number with any holds at least
-_BRACKET = re.compile(rf"[\[({{<][\x20\t]*(?:{_AT}|@|{_DOT}|\.)[\x20\t]*[\])}}>]")
-_ENTITY = ("&#", "&commat", "&period")
-_CUTS = str.maketrans("-,\n\t", "    ")
-
-
-def disguised(text: str) -> bool:
-    """Whether there may be something for the transducer to reveal (a quick look, never too strict)."""
-    if not text.isascii() and not _ONE.keys().isdisjoint(set(text)):
-        return True
-    low = text.lower()
-    if any(f" {w}" in low or f"\t{w}" in low for w in _DOT.split("|")):
-        return True
-    if any(x in low for x in "[({<") and _BRACKET.search(low):
-        return True
-    if "&" in low and any(x in low for x in _ENTITY):
-        return True
-    # So many digit names in a row; the last one may carry a full stop.
-    said = bytes(map(_DIGIT_NAMES.__contains__, low.translate(_CUTS).split()))
-    return b"\1" * (SPELLED_LEAST - 1) in said
+
+
+def _any(words) -> str:
+    """A pattern of these words, one branch a letter (regular expressions try every branch of a plain list)."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        if w:
+            heads.setdefault(w[0], []).append(w[1:])
+    if not heads:
+        return ""
+    return "(?:" + "|".join(re.escape(k) + _any(v) for k, v in sorted(heads.items())) + ")" + "?" * ("" in words)
+
+
+def _class(chars) -> str:
+    return "[" + re.escape("".join(sorted(chars))) + "]"
+
+
+# The rules read a lower-case copy of the text, character for character.  Blanks are tried from a run's start only.
+_W = _any(list(_DIGIT_NAMES))
+_FIRST = "".join(sorted({w[0] for w in _DIGIT_NAMES} | {_PLUS[0]}))
+_RUN = r"(?:(?<![\x20\t])[\x20\t]++)?"
+_WORDS = (
+    r"(?P<entity>&(?:#0*(?:64|46|x40|x2e)|commat|period);)"
+    rf"|(?=[{_FIRST}])\b(?:(?P<plus>{_PLUS}[\x20\t]++(?={_W}\b|\d))"
+    rf"|(?P<digits>{_W}\b(?:[\x20\t]*+[-,]?+[\x20\t]*+\b{_W}\b)*))"
+    rf"|(?=[\x20\t\[({{<])(?:(?P<at>{_RUN}[\[({{<][\x20\t]*(?:{_AT}|@)[\x20\t]*[\])}}>][\x20\t]*)"
+    rf"|(?P<dot>{_RUN}[\[({{<][\x20\t]*(?:{_DOT}|\.)[\x20\t]*[\])}}>][\x20\t]*)"
+    rf"|(?<![\x20\t])[\x20\t]++(?:(?P<bareat>(?:{_AT})[\x20\t]+)|(?P<baredot>dot[\x20\t]+)"
+    rf"|(?P<barepoint>(?:{_DOT})[\x20\t]+)))")
+_ASCII_RULES = re.compile(rf"(?=[&\x20\t\[({{<{_FIRST}])(?:{_WORDS})")
+_LOWER = _ONE.keys() | {ch.lower() for ch in _ONE}
+# Apart, as a class is looked up at once only below U+10000.
+_RULES = re.compile(f"(?P<one>{_class(x for x in _LOWER if x < chr(0x10000))}"
+                    rf"|(?=[\U00010000-\U0010ffff]){_class(x for x in _LOWER if x >= chr(0x10000))})|{_WORDS}")
+_NAME = re.compile(rf"\b{_W}\b")
+_PLAIN = {"at": "@", "bareat": "@", "dot": ".", "baredot": ".", "barepoint": ".", "plus": "+"}
+SPELLED_LEAST = 4   # spelled digits that make a phone number longer than the base has it
 
 
 def luhn(digits: str) -> bool:
@@ -138,42 +146,67 @@ def _order(span: tuple[str, int, int]):
     return span[1], KINDS.index(span[0]), span[2]
 
 
-def rewrite(text: str) -> tuple[str, list[int], list[int], list[str]]:
-    """The rewritten text; each character's source start, source end and rule ("" if unchanged)."""
-    out, start, end, rule = [], [], [], []
-
-    def copy(a: int, b: int) -> None:
-        out.append(text[a:b])
-        start.extend(range(a, b))
-        end.extend(range(a + 1, b + 1))
-        rule.extend([""] * (b - a))
-
-    def put(ch: str, a: int, b: int, name: str) -> None:
-        out.append(ch)
-        start.append(a)
-        end.append(b)
-        rule.append(name)
-
-    at = 0
-    for m in _RULES.finditer(text):
-        copy(at, m.start())
-        name, at = m.lastgroup, m.end()
+def pieces(text: str) -> list[tuple[str, int, int, str]]:
+    """What the rules rewrite, in order: (new text, source start, source end, rule)."""
+    out = []
+    if text.isascii():
+        low, rules = text.lower(), _ASCII_RULES
+    else:                                 # letters whose lower case is longer or another letter's variant
+        low, rules = text.replace("İ", "i").replace("ı", "i").replace("ſ", "s").lower(), _RULES
+    for m in rules.finditer(low):
+        name, (a, b) = m.lastgroup, m.span()
         if name == "one":
-            if _ONE[m[0]]:
-                put(_ONE[m[0]], *m.span(), name)
+            if (ch := _ONE.get(text[a])) is not None:
+                out.append((ch, a, b, name))
         elif name == "digits":
-            for w in _NAME.finditer(m[0]):
-                put(_DIGIT_NAMES[w[0].lower()], m.start() + w.start(), m.start() + w.end(), name)
+            for w in _NAME.finditer(low, a, b):
+                if a < w.start():
+                    out.append(("", a, w.start(), name))
+                out.append((_DIGIT_NAMES[w[0]], *w.span(), name))
+                a = w.end()
+        elif name == "entity":
+            out.append(("@" if re.search("64|40|commat", m[0]) else ".", a, b, name))
         else:
-            plain = {"at": "@", "bareat": "@", "dot": ".", "baredot": ".", "plus": "+"}.get(name)
-            put(plain or ("@" if re.search("64|40|commat", m[0], re.I) else "."), *m.span(), name)
-    copy(at, len(text))
-    return "".join(out), start, end, rule
+            out.append((_PLAIN[name], a, b, name))
+    return out
+
+
+def _joined(text: str, parts: list[tuple[str, int, int, str]]) -> tuple[str, list[int]]:
+    """The rewritten text, and where each piece is in it."""
+    out, places, at, size = [], [], 0, 0
+    for ch, a, b, _ in parts:
+        out += (text[at:a], ch)
+        size += a - at
+        places.append(size)
+        size += len(ch)
+        at = b
+    return "".join([*out, text[at:]]), places
+
+
+def _source(i: int, parts: list[tuple[str, int, int, str]], places: list[int]) -> tuple[int, int]:
+    """Source start and end of the rewritten text's character ``i``."""
+    k = bisect_right(places, i) - 1
+    if k < 0:
+        return i, i + 1
+    ch, a, b, _ = parts[k]
+    if ch and places[k] == i:
+        return a, b
+    at = b + i - places[k] - len(ch)
+    return at, at + 1
+
+
+def rewrite(text: str) -> tuple[str, list[int], list[int], list[str]]:
+    """The rewritten text; each character's source start, source end and rule ("" if unchanged)."""
+    parts = pieces(text)
+    flat, places = _joined(text, parts)
+    at = [_source(i, parts, places) for i in range(len(flat))]
+    rules = {i: rule for (ch, _, _, rule), i in zip(parts, places) if ch}
+    return flat, [a for a, _ in at], [b for _, b in at], [rules.get(i, "") for i in range(len(flat))]
 
 
-def _believable(kind: str, text: str, rules: list[str], length: int) -> bool:
+def _believable(kind: str, text: str, rules: list[str], length: int, longer: bool = False) -> bool:
     """Whether what the transducer revealed is more than a chance meeting of plain words.
-    ``length``: of the source range."""
+    ``rules``: those used in the span.  ``length``: of the source range.  ``longer``: than a span of the base."""
     used = set(rules) - {""}
     if not used and length == len(text):
         return False                      # nothing rewritten: the base has judged it
@@ -181,13 +214,15 @@ def _believable(kind: str, text: str, rules: list[str], length: int) -> bool:
         last = text.rsplit(".", 1)[-1]
         if not (last.isalpha() and 2 <= len(last) <= 24):
             return False
-        if used.isdisjoint(("bareat", "baredot")):
+        if used.isdisjoint(("bareat", "baredot", "barepoint")):
             return True
-        # Plain words alone must read like an address: a disguised dot, a common last label, no article before it.
+        # Plain words alone must read like an address: a disguised dot, no article before it, and, unless the dot is
+        # the word "dot" itself, a common last label ("at this point during" is no address).
         host = text.rsplit("@", 1)[-1].lower().split(".")
-        return last.lower() in _LAST and host[0] not in _ARTICLES and (
-            "bareat" not in used or not used.isdisjoint(("dot", "baredot")))
-    if kind in ("card", "phone") and "digits" in used:
+        return host[0] not in _ARTICLES and (
+            last.lower() in _LAST or ("baredot" in used and "barepoint" not in used)) and (
+            "bareat" not in used or not used.isdisjoint(("dot", "baredot", "barepoint")))
+    if kind == "phone" and longer and "digits" in used:
         return rules.count("digits") >= SPELLED_LEAST
     return True
 
@@ -196,17 +231,20 @@ def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     """(base spans, all spans), both by start, then kind."""
     text = text or ""
     base = plain_spans(text)
-    if not disguised(text):
-        return base, base
-    flat, start, end, rule = rewrite(text)
+    parts = pieces(text)
+    if not parts:
+        return base, base                 # rewritten, it is the same text
+    flat, places = _joined(text, parts)
     found = set(base)
     for kind, a, b in plain_spans(flat):
-        if _believable(kind, flat[a:b], rule[a:b], end[b - 1] - start[a]):
-            lo, hi = start[a], end[b - 1]
+        rules = [x[3] for x in parts[bisect_left(places, a):bisect_left(places, b)] if x[0]]
+        lo, hi = _source(a, parts, places)[0], _source(b - 1, parts, places)[1]
+        clash = [s for s in base if s[0] == kind and s[1] < hi and lo < s[2]]
+        if _believable(kind, flat[a:b], rules, hi - lo, bool(clash)):
             # A disguise covers the blanks around it; a span never starts or ends with one.
             hi -= len(text[lo:hi]) - len(text[lo:hi].rstrip(" \t"))
             lo += len(text[lo:hi]) - len(text[lo:hi].lstrip(" \t"))
-            clash = [s for s in base if s[0] == kind and s[1] < hi and lo < s[2]]
+            clash = [s for s in clash if s[1] < hi and lo < s[2]]
             if all(lo <= s[1] and s[2] <= hi and (lo, hi) != s[1:] for s in clash):
                 found.add((kind, lo, hi))
     return base, sorted(found, key=_order)

@@ -104,6 +104,45 @@ def test_rewrite_keeps_offsets():
     assert [text[a:b] for a, b in zip(start, end)] == ["а", "b", " [at] ", "c", " ", "one", "two"]
 
 
+@pytest.mark.parametrize("text,hidden,kind", [
+    ("at 192.168.one.one now", "192.168.one.one", "ip"), ("on 192.168.1.One.", "192.168.1.One", "ip"),
+    ("one nine two.one six eight.one.one", "one nine two.one six eight.one.one", "ip"),
+    ("call plus 49 171 1234567 now", "plus 49 171 1234567", "phone"),
+    ("call +49 171 123 four five six seven", "+49 171 123 four five six seven", "phone"),
+    ("card 4111 1111 1111 111 one", "4111 1111 1111 111 one", "card"),
+    ("mail john at example dot berlin now", "john at example dot berlin", "email"),
+    ("an ſix.two.three.four", "ſix.two.three.four", "ip")])
+def test_disguises_without_other_signs(text, hidden, kind):
+    base, every = pii.spans(text)
+    assert base == [] and [(k, text[a:b]) for k, a, b in every] == [(kind, hidden)]
+
+
+@pytest.mark.parametrize("text", ["We met at some point during spring.", "Call +49 171 1234567 one of us.", "αβΒο Σ İ",
+                                  "one" + " " * 50_000 + "x" + " at" + " \t" * 25_000 + "(" * 1000])
+def test_plain_words_add_nothing(text):
+    base, every = pii.spans(text)
+    assert every == base
+    flat, start, _, rule = pii.rewrite(text)
+    assert len(flat) == len(start) and all(r or x == text[a] for x, a, r in zip(flat, start, rule))
+
+
+def test_spans_are_those_of_the_rewritten_text():
+    """Every card and address of numbers in the rewritten text is found, whatever other signs the text has."""
+    import random
+
+    rng = random.Random(3)
+    bits = ["one", "Two", "drei", "cinq", "7", "192", ".", ".", " ", " dot ", "-", "plus ", "[dot]", "x", "４", "\u200b", " at "]
+    for _ in range(20_000):
+        text = "".join(rng.choices(bits, k=14))
+        flat, start, end, rule = pii.rewrite(text)
+        every = pii.spans(text)[1]
+        for kind, a, b in pii.plain_spans(flat):
+            if kind in ("ip", "card") and any(rule[a:b]):
+                lo, hi = start[a], end[b - 1]
+                clash = [s for s in pii.plain_spans(text) if s[0] == kind and s[1] < hi and lo < s[2]]
+                assert clash or any(k == kind and lo <= x and y <= hi for k, x, y in every), text
+
+
 def test_pii_tables(spark, docs_of):
     docs = docs_of([None, "", "a@b.co " * 3, "x" * 100_000 + " 1.2.3.4"], ids=[0, None, 2, 3], extra="spans")
     got = {r.doc_id: r for r in pii.detect(docs).collect()}
