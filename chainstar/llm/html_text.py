@@ -4,11 +4,14 @@ The standard library's parser streams over the page; its events become lines
 (one a block element) with their text and their number of tags.  The
 text-to-tag ratio of the lines is smoothed with a Gaussian, a two-means
 threshold splits the lines into two clusters, and the runs of the upper one
-are the content regions.  The page's container that holds the regions (an
-article or main element where there is one, else the smallest element with
-most of the regions' text) gives the text: all its lines, in page order, but
-for those in menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments.
+are the content regions (all lines, where the clusters are near each other).
+The regions choose the page's container: its
+articles (its main elements where those hold regions outside articles) if
+these hold at least half of the regions' text, else the innermost element
+that holds every region.  The container gives the text: all its lines, in
+page order and whatever their ratio, as an article's short lines belong to
+it, but for those in menus, headers, footers, sidebars, notices, adverts,
+forms, scripts, styles and reader comments.
 
 Defined results: null or empty html gives the empty text.  A page of
 boilerplate only gives the empty text.  Broken markup is read as far as the
@@ -46,6 +49,8 @@ NAMES = re.compile(
 LESSER = re.compile(r"(?:^|\s)(?:related|teaser|recommend|advert|promo|sponsor|comment(?!s-(?:open|closed)))[\w-]*"
                     r"(?:$|\s)|(?:^|[\s_-])(?:teaser|advert|sponsored)(?:$|[\s_-])", re.I)
 ENDS_P = BLOCKS - {"body", "html"}
+LEAST_NAMED = 0.5   # share of the regions' text that articles and main elements hold to be the container
+LEAST_APART = 4     # text per tag of the upper cluster over the lower one's; nearer ones are one cluster
 _SPACE = re.compile(r"\s+")
 
 
@@ -126,6 +131,12 @@ class Lines(HTMLParser):
             self.end(tag, stop=frozenset() if tag in BLOCKS else BLOCKS)
 
     def handle_data(self, data):
+        # A script's or button's data is no text of the block around it.
+        for tag, _, out in reversed(self.stack):
+            if not out or tag in BLOCKS:
+                break
+            if tag in SKIPPED:
+                return
         self.text.append(data)
 
 
@@ -150,7 +161,7 @@ def threshold(x: np.ndarray) -> float:
     return float(cut)
 
 
-def main_text(html: str | None, sigma: float = 1.0, share: float = 0.6, step: int = 1 << 16) -> str:
+def main_text(html: str | None, sigma: float = 1.0, step: int = 1 << 16) -> str:
     """Blocks of the main text, one a line."""
     if not html:
         return ""
@@ -160,29 +171,33 @@ def main_text(html: str | None, sigma: float = 1.0, share: float = 0.6, step: in
     parser.close()
     parser.line()
     lines = parser.lines
-    ratio = np.array([0.0 if out else np.log1p(len(t) / tags) for t, tags, _, out in lines])
+    shown = [not line[3] for line in lines]
+    ratio = np.array([np.log1p(len(line[0]) / line[1]) if ok else 0.0 for line, ok in zip(lines, shown)])
     if not len(ratio) or not ratio.any():
         return ""
     smoothed = smooth(ratio, sigma)
     high = (smoothed >= threshold(smoothed)) & (ratio > 0)
-    if not high.any():
-        high = ratio > 0
+    low = ~high & (ratio > 0)
+    if not high.any() or (low.any() and smoothed[high].mean() - smoothed[low].mean() < np.log(LEAST_APART)):
+        high = ratio > 0                           # one cluster
     # Text of the content regions by container.
     mass: dict[int, int] = {}
-    total = 0
+    total = held = 0
+    loose = False                                  # a region in a main element, outside its articles
     for line, hit in zip(lines, high):
         if hit:
             total += len(line[0])
             for k in line[2]:
                 mass[k] = mass.get(k, 0) + len(line[0])
-    named = [k for k in mass if parser.kinds[k] in ("article", "main")]
-    if named:
-        inner = [k for k in named if mass[k] >= share * max(mass[x] for x in named)]
-        chosen = {max(inner)} if len({parser.kinds[k] for k in inner}) > 1 else set(named)
+            kinds = {parser.kinds[k] for k in line[2]}
+            held += len(line[0]) * bool(kinds & {"article", "main"})
+            loose |= "main" in kinds and "article" not in kinds
+    if held and held >= LEAST_NAMED * total:
+        chosen = {k for k, tag in parser.kinds.items() if tag == "article" or (loose and tag == "main")}
     else:
-        whole = [k for k, m in mass.items() if m >= share * total and parser.kinds[k] != "p"]
+        whole = [k for k, m in mass.items() if m == total]
         chosen = {max(whole)} if whole else set()
-    return "\n".join(t for t, _, path, out in lines if not out and (not chosen or chosen.intersection(path)))
+    return "\n".join(line[0] for line, ok in zip(lines, shown) if ok and (not chosen or chosen.intersection(line[2])))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

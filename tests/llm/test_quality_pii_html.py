@@ -183,6 +183,32 @@ def test_small_pages(page, text):
     assert html_text.main_text(page) == text
 
 
+BLOCK = " ".join([LONG] * 6)
+
+
+@pytest.mark.parametrize("tag", ["pre", "blockquote", "ul", "div", "table"])
+def test_no_region_beside_the_longest_block_is_lost(tag):
+    inner = {"ul": f"<li>{BLOCK}</li>", "table": f"<tr><td>{BLOCK}</td></tr>"}.get(tag, BLOCK)
+    page = f'<body><div id="content"><p>{LONG}</p><{tag}>{inner}</{tag}><p>{LONG}</p></div><div class="ad">{LONG}</div></body>'
+    assert html_text.main_text(page) == f"{LONG}\n{BLOCK}\n{LONG}"
+
+
+def test_every_article_of_a_main_is_kept():
+    two = f"<article><p>{LONG} {LONG}</p></article><article><p>{LONG}</p></article>"
+    assert html_text.main_text(f"<main>{two}</main>") == f"{LONG} {LONG}\n{LONG}"
+    assert html_text.main_text(f"<main><p>{LONG} Intro.</p>{two}</main>") == f"{LONG} Intro.\n{LONG} {LONG}\n{LONG}"
+
+
+def test_small_article_beside_the_text():
+    page = f"<div><p>{BLOCK}</p><p>{BLOCK}</p></div><article><p>{LONG}</p></article>"
+    assert html_text.main_text(page) == f"{BLOCK}\n{BLOCK}\n{LONG}"
+
+
+def test_scripts_are_no_text_of_their_block():
+    page = f'<head><style>p{{}}</style></head><p>{LONG}<script>var a;</script> Go<button><i>on</i></button></p><p>{LONG}</p>'
+    assert html_text.main_text(page) == f"{LONG} Go\n{LONG}"
+
+
 def test_pages_table(spark):
     rows = [(1, None, None, "a"), (None, "u", PAGE, "b"), (3, "v", "<p>" + "word " * 100_000, "c"), (3, "v", "", "c")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
