@@ -13,8 +13,14 @@ page order and whatever their ratio, as an article's short lines belong to
 it, but for those in menus, headers, footers, sidebars, notices, adverts,
 forms, scripts, styles and reader comments.
 
+Menus and the like are told by elements (SKIPPED) or by marks: a role, a
+class or id name, a form, a hidden state.  Marks are hints.  Those around a
+main element are not heeded, and where all of them together would leave less
+than a tenth of the page's text, the outermost ones with the most text are
+not heeded until that much is left.
+
 Defined results: null or empty html gives the empty text.  A page of
-boilerplate only gives the empty text.  Broken markup is read as far as the
+SKIPPED elements only gives the empty text.  Broken markup is read as far as the
 parser reads it; an element left open ends with its parent.  Repeated rows
 give equal rows, extra columns are ignored, an empty table gives an empty
 result, null page_id and url are passed through.
@@ -35,12 +41,12 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav "
                    "ol p pre section summary table tbody td tfoot th thead title tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIPPED = frozenset("script style noscript template head title nav aside footer form iframe object svg canvas "
+SKIPPED = frozenset("script style noscript template head title nav aside footer iframe object svg canvas "
                     "audio video button select textarea option menu dialog math map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar "
                   "toolbar form status".split())
 NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertis\w*|adsense|banner|sponsor\w*|promo\w*|sidebar\w*|side|widget\w*|menu\w*|"
+    r"(?:^|[\s_-])(?<!\bhas[_-])(?<!\bwith[_-])(?<!\bno[_-])(?:ads?|adverts?|advertis\w*|adsense|banner|sponsor\w*|promo\w*|sidebar\w*|side|widget\w*|menu\w*|"
     r"nav\w*|breadcrumbs?|footer\w*|masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|notification\w*|alert|"
     r"popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social|related|recommend\w*|"
     r"comments?|commentlist|comment-\w+|respond|replies|disqus|discussion|pagination|pager|tags|skip|"
@@ -49,20 +55,22 @@ NAMES = re.compile(
 LESSER = re.compile(r"(?:^|\s)(?:related|teaser|recommend|advert|promo|sponsor|comment(?!s-(?:open|closed)))[\w-]*"
                     r"(?:$|\s)|(?:^|[\s_-])(?:teaser|advert|sponsored)(?:$|[\s_-])", re.I)
 ENDS_P = BLOCKS - {"body", "html"}
+LEAST_LEFT = 0.1    # share of the page's text that marks leave
 LEAST_NAMED = 0.5   # share of the regions' text that articles and main elements hold to be the container
 LEAST_APART = 4     # text per tag of the upper cluster over the lower one's; nearer ones are one cluster
 _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Parser events -> lines: (text, tags, path of containers, left out, heading)."""
+    """Parser events -> lines: (text, tags, path of containers, left out, marked containers)."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, bool]] = []   # tag, number, whether its content is left out
+        # Tag, number, whether its content is left out, the marked ones down to it.
+        self.stack: list[tuple[str, int, bool, tuple[int, ...]]] = []
         self.kinds: dict[int, str] = {}
         self.n = 0
-        self.lines: list[tuple[str, int, tuple[int, ...], bool]] = []
+        self.lines: list[tuple[str, int, tuple[int, ...], bool, tuple[int, ...]]] = []
         self.text: list[str] = []
         self.tags = 0
 
@@ -70,7 +78,7 @@ class Lines(HTMLParser):
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
             self.lines.append((text, max(1, self.tags), tuple(x[1] for x in self.stack),
-                               bool(self.stack) and self.stack[-1][2]))
+                               *(self.stack[-1][2:] if self.stack else (False, ()))))
             self.tags = 0
         self.text = []
 
@@ -89,9 +97,13 @@ class Lines(HTMLParser):
             self.text.append(" ")
         if tag in VOID:
             return
-        out = (bool(self.stack) and self.stack[-1][2]) or self.left_out(tag, dict(attrs))
+        out, marks = self.stack[-1][2:] if self.stack else (False, ())
         self.n += 1
-        self.stack.append((tag, self.n, out))
+        if tag == "main":
+            marks = ()
+        elif self.marked(tag, dict(attrs)):
+            marks = (*marks, self.n)
+        self.stack.append((tag, self.n, out or tag in SKIPPED, marks))
         self.kinds[self.n] = tag
 
     def handle_startendtag(self, tag, attrs):
@@ -99,12 +111,12 @@ class Lines(HTMLParser):
         if tag not in VOID and tag not in BLOCKS:
             self.handle_endtag(tag)
 
-    def left_out(self, tag: str, attrs: dict) -> bool:
+    def marked(self, tag: str, attrs: dict) -> bool:
         if tag in ("html", "body", "main"):
             return False
         if tag == "article":
             return any(LESSER.search(attrs.get(k) or "") for k in ("class", "id"))
-        if tag in SKIPPED or "hidden" in attrs or attrs.get("aria-hidden") == "true":
+        if tag == "form" or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
         if tag == "header":                        # a page's header; an article's own holds its title
             return not any(x[0] in ("article", "main") for x in self.stack)
@@ -132,7 +144,7 @@ class Lines(HTMLParser):
 
     def handle_data(self, data):
         # A script's or button's data is no text of the block around it.
-        for tag, _, out in reversed(self.stack):
+        for tag, _, out, _ in reversed(self.stack):
             if not out or tag in BLOCKS:
                 break
             if tag in SKIPPED:
@@ -161,6 +173,22 @@ def threshold(x: np.ndarray) -> float:
     return float(cut)
 
 
+def left(lines: list[tuple]) -> list[bool]:
+    """Whether each line is neither left out nor in a marked container that is heeded."""
+    total = sum(len(t) for t, _, _, out, _ in lines if not out)
+    unheeded: set[int] = set()
+    while True:
+        by = [next((k for k in marks if k not in unheeded), 0) for *_, marks in lines]
+        mass: dict[int, int] = {}
+        for (t, _, _, out, _), k in zip(lines, by):
+            if not out:
+                mass[k] = mass.get(k, 0) + len(t)
+        if mass.get(0, 0) >= LEAST_LEFT * total:
+            return [not line[3] and not k for line, k in zip(lines, by)]
+        most = max(m for k, m in mass.items() if k)
+        unheeded |= {k for k, m in mass.items() if k and 2 * m >= most}
+
+
 def main_text(html: str | None, sigma: float = 1.0, step: int = 1 << 16) -> str:
     """Blocks of the main text, one a line."""
     if not html:
@@ -171,7 +199,7 @@ def main_text(html: str | None, sigma: float = 1.0, step: int = 1 << 16) -> str:
     parser.close()
     parser.line()
     lines = parser.lines
-    shown = [not line[3] for line in lines]
+    shown = left(lines)
     ratio = np.array([np.log1p(len(line[0]) / line[1]) if ok else 0.0 for line, ok in zip(lines, shown)])
     if not len(ratio) or not ratio.any():
         return ""

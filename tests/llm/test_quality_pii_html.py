@@ -1,6 +1,7 @@
 """Operators that judge one text at a time, against plain rules and small cases."""
 
 import hashlib
+import os
 import re
 from collections import Counter
 
@@ -157,6 +158,7 @@ def test_pii_tables(spark, docs_of):
 
 # -- pages -----------------------------------------------------------------------------
 
+PAGES = "/root/testdata/sf0.1/pages.parquet"
 LONG = "A paragraph of the article that goes on for a while, with enough words to stand out from menus."
 PAGE = f"""<!DOCTYPE html><html><head><title>T</title><script>var a="</p><p>no</p>";</script></head><body>
 <header><h1>Site</h1></header><nav><ul><li><a href=x>Home</a><li><a href=y>News</a></ul></nav>
@@ -209,6 +211,35 @@ def test_scripts_are_no_text_of_their_block():
     assert html_text.main_text(page) == f"{LONG} Go\n{LONG}"
 
 
+@pytest.mark.parametrize("open_,close", [
+    ('<div class="site has-sidebar">', "</div>"), ('<div class="widget-page">', "</div>"), ("<form action=x>", "</form>"),
+    ('<div id="search-form"><section role="search">', "</section></div>")])
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_marks_do_not_empty_a_page(open_, close, tag):
+    page = (f'<body>{open_}<div id="menu"><a>Home</a></div><{tag}><p>{LONG}</p><p>{LONG}</p></{tag}>'
+            f'<div class="ad">{LONG}</div>{close}<footer>Foot</footer></body>')
+    assert html_text.main_text(page) == f"{LONG}\n{LONG}"
+
+
+def test_many_marks_end_soon():
+    page = "".join(f'<div class="ad">{"x" * (1 + i % 40)}</div>' for i in range(20_000))
+    assert html_text.main_text(page)
+
+
+@pytest.mark.skipif(not os.path.exists(PAGES), reason="driver tables missing")
+def test_pages_of_sf01():
+    import html
+
+    import pyarrow.parquet as pq
+
+    for page in pq.read_table(PAGES)["html"].to_pylist()[:500]:
+        inner = re.search(r"<article[^>]*>(.*?)</article>", page, re.S)[1]
+        inner = re.sub(r"<(script|style|aside|form)\b.*?</\1>", "\n", re.sub(r"<!--.*?-->", "", inner, flags=re.S), flags=re.S)
+        lines = re.sub(r"<[^>]*>", "", re.sub(r"</?(?:p|h\d|div|ul|ol|li|pre|blockquote|table|tr|td)\b[^>]*>", "\n", inner))
+        want = [" ".join(html.unescape(x).split()) for x in lines.split("\n")]
+        assert html_text.main_text(page) == "\n".join(x for x in want if x)
+
+
 def test_pages_table(spark):
     rows = [(1, None, None, "a"), (None, "u", PAGE, "b"), (3, "v", "<p>" + "word " * 100_000, "c"), (3, "v", "", "c")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
