@@ -91,6 +91,21 @@ def test_toxicity_tables(spark, docs_of):
     assert again == {i: r.score for i, r in got.items()}
 
 
+def test_every_confirmed_row_counts(spark, docs_of):
+    """The words of confirmed rows beyond those of the fit are learnt."""
+    rng = np.random.default_rng(4)
+    bad, rare = 300, "abcdefghij"
+    texts = [" ".join(f"w{'abcdefghij'[k]}" for k in rng.integers(0, 10, 8)) for _ in range(1500)]
+    for i in range(bad):                                     # each rare word in 30 of 300 confirmed rows
+        texts[i] += f" rare{rare[i % 10]}"
+    docs = docs_of(texts)
+    labels = spark.createDataFrame([(i, int(i < bad)) for i in range(1500)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels, max_positive=10)
+    assert {f"rare{x}" for x in rare} == model.weights.keys() and min(model.weights.values()) > 0
+    whole = toxicity.train(docs, labels)
+    assert whole.weights.keys() == model.weights.keys() and whole.prior == model.prior
+
+
 def test_toxicity_without_labels(spark, docs_of):
     docs = docs_of(["a b", None])
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
