@@ -1,7 +1,7 @@
 """Exact deduplication by progressive refinement (operator 10, native).
 
-Rows are grouped by the length of the normalised text, then by a hash of its
-prefix, and only rows of groups that still hold several rows have their full
+Rows are grouped by the length of the normalised text and a hash of its
+prefix together (length alone prunes nothing), and only rows of groups that still hold several rows have their full
 text hashed (SHA-256).  Everything is DataFrame code.
 
 Survivors are found through a bounded filter: a (length, prefix hash) group
