@@ -8,6 +8,8 @@ from decimal import Decimal
 from chainstar.sources import schemas
 
 RUN_TS = "2024-05-01 00:00:00"
+# The smallest driver tables.
+SF_SMALL = "/root/testdata/sf0.001"
 
 
 def ts(s: str) -> dt.datetime:

@@ -8,7 +8,7 @@ from chainstar.plans.catalog import RUN_TS
 from chainstar.plans.marts import GRAIN, Marts
 from chainstar.sources.standins import load_sources
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 
 @pytest.fixture(scope="module")

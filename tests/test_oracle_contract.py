@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as E
 from chainstar.plans import catalog
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 pytestmark = pytest.mark.skipif(not os.path.exists(SF_SMALL), reason="driver tables missing")
 

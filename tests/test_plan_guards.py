@@ -5,18 +5,18 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
+from chainstar.plans import catalog
 
-from conftest import SF_SMALL
+from fixtures import SF_SMALL
 
 # Their plans only read back written files.
 WRITERS = {"k7_incremental_network", "k7_incremental_pool", "k7_incremental_block", "k7_incremental_price",
            "e7_stream_network_1d", "k1_built_network", "k3_built_obt_pool", "k6_rebuild_after_price"}
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - WRITERS))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - WRITERS))
 def test_no_python_udfs_or_pairwise_joins(spark, name):
-    df = E.queries()[name](spark, SF_SMALL)
+    df = catalog.QUERIES[name](spark, SF_SMALL)
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):
         df.explain()
