@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators and of the pipeline, and their SQL."""
+"""Registered queries of the operators and of the pipeline, and their SQL."""
 
 from __future__ import annotations
 
@@ -6,10 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainstar.llm import (chat, exact_dedup, html_text, packing, pii, quality, sentencepiece_codec, simhash,
-                           token_files, toxicity)
+from chainstar.llm import (chat, decontaminate, exact_dedup, html_text, packing, pii, quality, search,
+                           sentencepiece_codec, simhash, token_files, toxicity, whitening)
 from chainstar.llm.common import table, work_dir
-from chainstar.llm.sql import CHAT_SQL, EXACT_SQL, QUALITY_SQL
+from chainstar.llm.sql import CHAT_SQL, EXACT_SQL, LEAKS_SQL, QUALITY_SQL, SEARCH_SQL
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -81,6 +81,20 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(table(spark, sf_dir, "documents"), carry=digest)
 
 
+def op11_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), "contaminated")
+
+
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,5 +102,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality, op2_packing, op3_simhash, op4_html, op5_pii, op6_chat, op7_toxicity,
-                                   op8_sentencepiece, op9_rans, op10_exact_dedup, pipeline)}
-ORACLE = {"op1_quality": QUALITY_SQL, "op6_chat": CHAT_SQL, "op10_exact_dedup": EXACT_SQL}
+                                   op8_sentencepiece, op9_rans, op10_exact_dedup, op11_decontaminate,
+                                   op12_search, op13_whitening, pipeline)}
+ORACLE = {"op1_quality": QUALITY_SQL, "op6_chat": CHAT_SQL, "op10_exact_dedup": EXACT_SQL,
+          "op11_decontaminate": LEAKS_SQL, "op12_search": SEARCH_SQL}

@@ -78,3 +78,47 @@ SELECT conv_id, speaker, part::BIGINT AS part, count(*) AS n_turns,
        string_agg(concat(start::BIGINT, ':', (start + len(text))::BIGINT, ':', loss::INT), ',' ORDER BY place) AS spans
 FROM e GROUP BY conv_id, speaker, part
 """
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_WINDOW = 10
+
+# Windows are lists of words, looked up among the documents' runs of the same lengths.
+LEAKS_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS ws FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS ws FROM benchmark),
+w AS (SELECT DISTINCT item_id, ws[k:k + {_WINDOW - 1}] AS win
+      FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - {_WINDOW - 1}, 1) + 1)) AS k FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM w),
+g AS (SELECT r, k, n, ws[k:k + n - 1] AS win
+      FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM d JOIN sizes ON len(ws) >= n)),
+h AS (SELECT g.r, g.k, g.n, w.item_id FROM g JOIN w ON g.win = w.win),
+p AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS at FROM h) GROUP BY r),
+i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+      FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN p USING (r) LEFT JOIN i USING (r)
+"""
+
+SEARCH_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}') AS ws FROM documents),
+s AS (SELECT count(*) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d WHERE len(ws) > 0),
+b AS (SELECT row_number() OVER () AS i, item_id,
+             unnest(regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '{_WORD}')) AS term FROM benchmark),
+q AS (SELECT i, item_id, term, count(*) AS times FROM b GROUP BY ALL),
+t AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ws) AS term FROM d)
+      WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+f AS (SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+      FROM t, s GROUP BY term, n_docs),
+v AS (SELECT t.r, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(ws) * n_docs) // n_terms))) AS v
+      FROM t JOIN f USING (term) JOIN d USING (r), s),
+x AS (SELECT i, item_id, r, sum(times * v)::BIGINT AS score FROM q JOIN v USING (term) GROUP BY ALL HAVING sum(times * v) > 0)
+SELECT item_id, rank, doc_id, score
+FROM (SELECT item_id, doc_id, score,
+             row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank
+      FROM x JOIN d USING (r))
+WHERE rank <= 10
+"""
