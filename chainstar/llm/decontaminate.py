@@ -84,8 +84,8 @@ def item_windows(items: DataFrame, id_col: str, text_col: str, window: int) -> D
                .withColumn("n", F.size("words")))
 
 
-def _hits(docs: DataFrame, windows: DataFrame, shingle: int) -> DataFrame:
-    """(rid, start, end, items) of the occurrences of one block's windows."""
+def _hits(docs: DataFrame, windows: DataFrame, shingle: int) -> list[DataFrame]:
+    """(rid, start, end, items) of the occurrences of one block's windows; a block may be empty."""
     sizes = [r[0] for r in windows.select(F.least("n", F.lit(shingle))).distinct().collect()]   # at most `shingle` numbers
     found = []
     for k in sorted(sizes):
@@ -105,7 +105,7 @@ def _hits(docs: DataFrame, windows: DataFrame, shingle: int) -> DataFrame:
                      .filter((begin >= 0) & (begin + F.col("len") <= F.col("n")))          # place and length
                      .filter(F.slice("words", begin + 1, F.col("len")) == F.col("win"))    # exact
                      .select("rid", begin.alias("start"), (begin + F.col("len")).alias("end"), "items"))
-    return reduce(DataFrame.unionByName, found)
+    return found
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -123,8 +123,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     size = F.length(F.concat_ws(" ", "words")) * 2 + F.length(F.concat_ws(" ", "items")) + 100
     total = windows.agg(F.sum(size.cast("long"))).first()[0] or 0
     blocks = -(-total // block_bytes)
-    parts = [_hits(rows, windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b), shingle)
-             for b in range(blocks)]
+    parts = [x for b in range(blocks)
+             for x in _hits(rows, windows.filter(F.pmod(F.xxhash64("words"), F.lit(blocks)) == b), shingle)]
     if not parts:
         return rows.select(F.col("x_id").alias(id_col), F.col("n").cast("long").alias("n_words"),
                            F.lit(0).cast("long").alias("n_hit"), F.array().cast(SPANS).alias("spans"),

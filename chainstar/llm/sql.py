@@ -94,7 +94,7 @@ sizes AS (SELECT DISTINCT len(win) AS n FROM w),
 g AS (SELECT r, k, n, ws[k:k + n - 1] AS win
       FROM (SELECT r, ws, n, unnest(range(1, len(ws) - n + 2)) AS k FROM d JOIN sizes ON len(ws) >= n)),
 h AS (SELECT g.r, g.k, g.n, w.item_id FROM g JOIN w ON g.win = w.win),
-p AS (SELECT r, count(DISTINCT at) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS at FROM h) GROUP BY r),
+p AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS place FROM h) GROUP BY r),
 i AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
       FROM (SELECT DISTINCT r, item_id::VARCHAR AS item FROM h WHERE item_id IS NOT NULL) GROUP BY r)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
