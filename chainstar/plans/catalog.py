@@ -253,15 +253,15 @@ def _deliveries(block):
 def _incremental(spark, sf_dir, model):
     """Build ``model`` from the first delivery of each block, then fold in
     the re-deliveries, which move blocks to other days, by rebuilding only the
-    days they touch (dynamic partition overwrite, emptied days removed); read
-    the table back.  It equals the full build."""
-    out = _scratch(spark, "k7")
+    days they touch (key-to-day index, dynamic partition overwrite, emptied days
+    removed); read the table back.  It equals the full build."""
+    base = _scratch(spark, "k7")
     src = load_sources(spark, sf_dir)
-    first, late = _deliveries(src["block"])
-    for block, new in ((first, first), (first.unionByName(late), late)):
-        m = Marts(spark, src | {"block": block}, run_ts=RUN_TS, strict=False, persist_shared=False)
-        extensions.rebuild_days(m, extensions.touched_days(m, new), {model: out})
-    return spark.read.parquet(out).drop("day")
+    feed = extensions.BlockFeed(spark, f"{base}/src_block", {model: f"{base}/fact"},
+                                {k: v for k, v in src.items() if k != "block"}, run_ts=RUN_TS, strict=False)
+    for number, rows in enumerate(_deliveries(src["block"])):
+        feed.deliver(rows, number)
+    return spark.read.parquet(f"{base}/fact").drop("day")
 
 
 @register("k7_incremental_network", O.select_from("fact_network"))
@@ -299,11 +299,11 @@ def e7_stream_network_1d(spark, sf_dir):
     re-deliveries; a Structured Streaming query folds each file into the daily
     network fact (late rows rebuild the days they touch, those they leave included)."""
     base = _scratch(spark, "e7")
-    first, late = _deliveries(load_sources(spark, sf_dir)["block"])
-    first.write.parquet(f"{base}/feed/1-first")
-    late.write.parquet(f"{base}/feed/2-late")
-    run_block_feed(spark, f"{base}/feed/*", f"{base}/src_block", f"{base}/fact",
-                   f"{base}/checkpoint", run_ts=RUN_TS, files_per_batch=256)
+    for folder, rows in zip(("1-first", "2-late"), _deliveries(load_sources(spark, sf_dir)["block"])):
+        rows.write.parquet(f"{base}/feed/{folder}")
+        # The second run goes on from the first one's checkpoint: the late rows come in batches of their own.
+        run_block_feed(spark, f"{base}/feed/*", f"{base}/src_block", f"{base}/fact",
+                       f"{base}/checkpoint", run_ts=RUN_TS, files_per_batch=256)
     return spark.read.parquet(f"{base}/fact").drop("day")
 
 
@@ -326,8 +326,8 @@ def k3_built_obt_pool(spark, sf_dir):
 @register("k6_rebuild_after_price", O.select_from("obt_network"))
 def k6_rebuild_after_price(spark, sf_dir):
     """K6: what a new price source makes stale is rebuilt, in DAG order, and read back."""
-    names = [n for n in descendants(["src.price"]) if n != "obt.pool_stats_1d"]
-    return build(marts(spark, sf_dir), _scratch(spark, "k6"), names, obt_as_view=False)["obt.network_stats_1d"]
+    return build(marts(spark, sf_dir), _scratch(spark, "k6"), descendants(["src.price"]),
+                 obt_as_view=False)["obt.network_stats_1d"]
 
 
 def _csv(spark, sf_dir, name):

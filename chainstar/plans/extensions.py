@@ -11,15 +11,17 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DecimalType
+from pyspark.sql.types import DecimalType, StructType
 
 from chainstar.functions import measures as M
 from chainstar.functions.numeric import exact_ratio, sats_to_btc, to_units
 from chainstar.functions.strings import clean
+from chainstar.operators.key_days import BUCKETS, KeyDays
 from chainstar.operators.sinks import drop_partitions, write_table
 from chainstar.operators.snapshot import periodic_snapshot
 from chainstar.operators.staging import dedupe_latest
@@ -158,7 +160,8 @@ def touched_days(marts, delivered: DataFrame, day: str = EVENT_DAY) -> DataFrame
     """The days that newly delivered blocks change: their own, and those which
     earlier copies of the same blocks were held on (a block that moves leaves its old day).
 
-    Reads two columns of the source table; the delivered keys are its semi-join side.
+    Without an index this reads two columns of the whole source table; ``BlockFeed``
+    keeps a key-to-day index instead.
     """
     new = _held_on(delivered, day)
     held = _held_on(marts.sources["block"], day)
@@ -166,7 +169,8 @@ def touched_days(marts, delivered: DataFrame, day: str = EVENT_DAY) -> DataFrame
             .unionByName(new).select("event_date").distinct())
 
 
-def rebuild_days(marts, touched: DataFrame, paths: str | Mapping[str, str], day: str = EVENT_DAY) -> None:
+def rebuild_days(marts, touched: DataFrame, paths: str | Mapping[str, str], day: str = EVENT_DAY,
+                 index: KeyDays | None = None) -> None:
     """Recompute the touched days (see ``touched_days``) of the daily models and ``fact.block``.
 
     ``paths`` maps models to their folders (a single path: ``fact.network_stats_1d``).
@@ -174,7 +178,8 @@ def rebuild_days(marts, touched: DataFrame, paths: str | Mapping[str, str], day:
     copies of every block that has one on a touched day, and only then days are
     picked.  The files read are those of the touched days and of the (usually
     few) other days with copies of their blocks, where ``day``, the source's day
-    as SQL, is a partition column.  Touched days are replaced by dynamic partition
+    as SQL, is a partition column; which days these are comes from ``index`` if given, else
+    from two columns of the whole source.  Touched days are replaced by dynamic partition
     overwrite; those left without rows lose their partition.
     """
     paths = {"fact.network_stats_1d": paths} if isinstance(paths, str) else dict(paths)
@@ -183,9 +188,13 @@ def rebuild_days(marts, touched: DataFrame, paths: str | Mapping[str, str], day:
         return
     spark, src, cal = marts.spark, marts.sources["block"], marts["dim.date"]
     inside = _among("event_date", days)
-    held = _held_on(src, day)
-    keys = held.filter(inside).select("block_key").distinct()
-    near = _days_listed(marts, held.filter(~inside).join(keys, "block_key", "left_semi"))
+    if index is not None:
+        near = _days_listed(marts, index.near(touched))
+    else:
+        held = _held_on(src, day)
+        keys = held.filter(inside).select("block_key").distinct()
+        near = _days_listed(marts, held.filter(~inside).join(keys, "block_key", "left_semi"))
+    near = sorted(set(near).difference(days))
     # Copies without a day of the calendar may be a block's latest, too.
     off = F.expr(f"{day} IS NULL OR {day} < DATE'{dims.CALENDAR_START}' "
                  f"OR {day} >= date_add(DATE'{dims.CALENDAR_START}', {dims.CALENDAR_DAYS})")
@@ -220,3 +229,51 @@ def rebuild_days(marts, touched: DataFrame, paths: str | Mapping[str, str], day:
             drop_partitions(spark, path, "day", [f"{d:%Y%m%d}" for d in sorted(gone)])
     finally:
         cube.unpersist()
+
+
+# A stored feed is partitioned by its rows' day and the delivery that brought them.
+STORED = {"day": "date", "delivery": "long"}
+
+
+@dataclass
+class BlockFeed:
+    """A block feed stored by day and delivery at ``path`` (its index beside
+    it), and the models in ``targets`` (name -> folder) kept equal to a full build over it.
+
+    ``deliver`` stores the rows, records their keys in the index, and rebuilds
+    the days that changed.  It reads the index's buckets of the delivered keys, and the feed's
+    files of the touched days and of days that share a block with them: its cost
+    follows the delivery, not the history.  The same id again replaces the delivery,
+    so a failed one is simply repeated.
+    """
+
+    spark: SparkSession
+    path: str
+    targets: Mapping[str, str]
+    sources: Mapping[str, DataFrame] = field(default_factory=dict)   # pool, hashrate, price
+    run_ts: object = None
+    strict: bool = True
+    buckets: int = BUCKETS
+
+    @property
+    def index(self) -> KeyDays:
+        return KeyDays(self.spark, f"{self.path.rstrip('/')}_index", self.buckets)
+
+    def stored(self, schema: StructType) -> DataFrame:
+        whole = StructType(list(schema.fields))
+        for name, kind in STORED.items():
+            whole = whole.add(name, kind)
+        return self.spark.read.schema(whole).parquet(self.path)
+
+    def deliver(self, rows: DataFrame, delivery: int) -> None:
+        from chainstar.plans.marts import Marts
+
+        tagged = rows.withColumns({"day": F.expr(EVENT_DAY), "delivery": F.lit(delivery).cast("long")})
+        write_table(tagged.hint("rebalance", "day"), path=self.path, partition_by=list(STORED), dynamic_partitions=True)
+        feed = self.stored(rows.schema)
+        held = _held_on(feed.filter(F.col("delivery") == delivery), "`day`")
+        index = self.index
+        touched = index.add(held.withColumnRenamed("block_key", "key"), delivery)
+        marts = Marts(self.spark, dict(self.sources) | {"block": feed}, run_ts=self.run_ts, strict=self.strict,
+                      persist_shared=False)
+        rebuild_days(marts, touched, self.targets, "`day`", index)

@@ -1,9 +1,10 @@
 """Daily facts kept current from a live feed of block files.
 
 A Structured Streaming file source reads new block files; each micro-batch
-(``foreachBatch``) adds its rows to the ``src.block`` table (partitioned by
-day and batch) and rebuilds exactly the days it touches, former days of moved
-blocks included (E1, dynamic partition overwrite).  The daily
+(``foreachBatch``) is a delivery of ``BlockFeed``: its rows are stored by day
+and batch, its keys go into the key-to-day index, and exactly the days it
+touches are rebuilt, former days of moved blocks included (E1, dynamic
+partition overwrite).  The daily
 measures need first/last block and adjustment times over the whole day, so
 they are recomputed from the stored rows rather than kept as streaming
 state: a late block of any age is folded in exactly, and a replayed batch
@@ -15,16 +16,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, LongType, StructField, StructType
 
-from chainstar.operators.sinks import write_table
-from chainstar.plans.extensions import rebuild_days, touched_days
-from chainstar.plans.marts import Marts
+from chainstar.plans.extensions import BlockFeed
 from chainstar.sources.schemas import BLOCK, with_loaded_at
 
 FEED_SCHEMA = with_loaded_at(BLOCK)
-# The stored feed is partitioned by its rows' day and the micro-batch that brought them.
-STORED_SCHEMA = StructType([*FEED_SCHEMA.fields, StructField("day", DateType()), StructField("batch", LongType())])
 
 
 def block_stream(spark: SparkSession, feed_dir: str, files_per_batch: int = 1) -> DataFrame:
@@ -37,20 +33,14 @@ def block_stream(spark: SparkSession, feed_dir: str, files_per_batch: int = 1) -
 def run_block_feed(spark: SparkSession, feed_dir: str, src_path: str, fact_path: str,
                    checkpoint: str, run_ts=None, files_per_batch: int = 1,
                    available_now: bool = True):
-    """Start the feed; returns the StreamingQuery (finished when ``available_now``)."""
+    """Start the feed; returns the StreamingQuery (finished when ``available_now``).
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        # By day and batch: a replay overwrites its own files, and later batches read only the days they need.
-        rows = batch.withColumns({"day": F.to_date("timestamp"), "batch": F.lit(batch_id).cast("long")})
-        write_table(rows.hint("rebalance", "day"), path=src_path, partition_by=["day", "batch"],
-                    dynamic_partitions=True)
-        src = spark.read.schema(STORED_SCHEMA).parquet(src_path)
-        marts = Marts(spark, {"block": src}, run_ts=run_ts, persist_shared=False)
-        rebuild_days(marts, touched_days(marts, src.filter(F.col("batch") == batch_id), "`day`"),
-                     fact_path, "`day`")
+    ``src_path`` is the stored feed; its key-to-day index lies beside it (``BlockFeed``).
+    """
+    feed = BlockFeed(spark, src_path, {"fact.network_stats_1d": fact_path}, run_ts=run_ts)
 
     writer = (block_stream(spark, feed_dir, files_per_batch).writeStream
-              .foreachBatch(upsert)
+              .foreachBatch(feed.deliver)
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(
         processingTime="1 minute")
