@@ -7,7 +7,9 @@ driver's views (``events``, ``supplier``, ``nation``, ``region``,
 * decimal divisions are exact integer arithmetic on HUGEINT with rounding
   half away from zero (DuckDB's own ``decimal / decimal`` is a DOUBLE);
 * the time-weighted difficulty uses a ``lead()`` window over each day's
-  adjustment blocks (the Spark plan uses a join on height + 2016 instead);
+  adjustment blocks;
+* the canonical chain walks every branch by recursion (Spark doubles pointers
+  over the contested heights only);
 * first / last values use ``arg_min_null`` / ``arg_max_null``.
 """
 
@@ -131,6 +133,37 @@ src_block AS (
   UNION ALL BY NAME
   SELECT * EXCLUDE (event_type) FROM src_block_base WHERE event_type = 'signup')"""
 
+_BLOCK_OF = """CAST(event_id % 2147483647 AS INTEGER) AS blockheight, ts AS "timestamp",
+         'pool-' || CAST(user_id AS VARCHAR) AS pool_key,
+         CAST(CAST(1000 + 37 * (event_id // 2016) AS DECIMAL(20,0)) * 1000000000 AS DECIMAL(30,7)) AS difficulty,
+         CASE WHEN event_id // 4000 >= 64 THEN CAST(0 AS BIGINT)
+              ELSE CAST(5000000000 AS BIGINT) >> CAST(event_id // 4000 AS INTEGER) END AS reward_subsidy,
+         CAST(round(value * 100) AS BIGINT) AS reward_tx_fee_sum,
+         CAST(((user_id % 7) + 7) % 7 + 1 AS INTEGER) AS tx_count, ts AS loaded_at, event_type"""
+
+# Competing and missing blocks: the types of the two events before say what an event's blocks are.
+SRC_BLOCK_FORKED = f"""typed AS (
+  SELECT e.*, coalesce(e.event_type = 'error', false) AS f0, coalesce(a.event_type = 'error', false) AS f1,
+         coalesce(b.event_type = 'error', false) AS f2,
+         coalesce(e.event_type = 'signup' AND a.event_type = 'signup' AND b.event_type = 'signup', false) AS lost
+  FROM events e LEFT JOIN events a ON a.event_id = e.event_id - 1 LEFT JOIN events b ON b.event_id = e.event_id - 2),
+src_block_base AS (
+  SELECT 'blk' || event_id AS block_hash,
+         (CASE WHEN f1 AND f2 AND NOT f0 THEN 'riv' ELSE 'blk' END) || (event_id - 1) AS prev_block_hash, {_BLOCK_OF}
+  FROM typed WHERE NOT lost
+  UNION ALL BY NAME
+  SELECT 'riv' || event_id AS block_hash, (CASE WHEN f1 THEN 'riv' ELSE 'blk' END) || (event_id - 1) AS prev_block_hash,
+         {_BLOCK_OF}
+  FROM (SELECT * REPLACE (ts + INTERVAL 1 MINUTE AS ts) FROM typed WHERE f0)),
+src_block AS (
+  SELECT * EXCLUDE (event_type) FROM src_block_base
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (event_type, tx_count, loaded_at), CAST(tx_count + 1 AS INTEGER) AS tx_count,
+         loaded_at + INTERVAL 1 HOUR AS loaded_at
+  FROM src_block_base WHERE event_type = 'error'
+  UNION ALL BY NAME
+  SELECT * EXCLUDE (event_type) FROM src_block_base WHERE event_type = 'signup')"""
+
 SRC_POOL = """src_pool AS (
   SELECT 'pool-' || CAST(s.s_suppkey AS VARCHAR) AS pool_key,
          CASE WHEN s.s_acctbal < 0 THEN ' ' || s.s_name ELSE s.s_name END AS pool_name,
@@ -522,6 +555,39 @@ def select_from(rel: str, extra_ctes: str = "", body: str | None = None) -> str:
     return head + (body or f"SELECT * FROM {rel}")
 
 
+def forked(sql: str) -> str:
+    """The same query over the blocks with forks and gaps."""
+    return sql.replace(SRC_BLOCK, SRC_BLOCK_FORKED)
+
+
+# Every branch is walked from each of its blocks down to its root.
+CHAIN = BLOCKS.replace("blocks AS", "all_blocks AS", 1) + """,
+linked AS (
+  SELECT b.block_key, b.blockheight, epoch_us(b.event_timestamp) AS t, p.block_key AS parent
+  FROM all_blocks b LEFT JOIN all_blocks p ON p.block_key = b.prev_block_hash AND p.blockheight = b.blockheight - 1),
+walk AS (
+  SELECT block_key AS node, parent AS below, blockheight AS h, t, block_key AS last FROM linked
+  UNION ALL
+  SELECT l.block_key, l.parent, w.h, w.t, w.last FROM walk w JOIN linked l ON l.block_key = w.below),
+ends AS (
+  SELECT node AS block_key, h, t, last FROM walk
+  QUALIFY row_number() OVER (PARTITION BY node ORDER BY h DESC, t, last) = 1),
+ranked AS (
+  SELECT l.block_key, l.parent, row_number() OVER (
+           PARTITION BY l.parent, CASE WHEN l.parent IS NULL THEN l.block_key END ORDER BY e.h DESC, e.t, e.last) AS place
+  FROM linked l JOIN ends e USING (block_key)),
+chain AS (
+  SELECT block_key FROM ranked WHERE parent IS NULL
+  UNION ALL
+  SELECT r.block_key FROM chain c JOIN ranked r ON r.parent = c.block_key AND r.place = 1),
+blocks AS (SELECT * FROM all_blocks WHERE block_key IN (SELECT block_key FROM chain))"""
+
+
+def on_chain(sql: str) -> str:
+    """The same query over the canonical chain of the blocks with forks and gaps."""
+    return forked(sql).replace(BLOCKS, CHAIN).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
 # -- extensions (E3, E4, E5) ----------------------------------------------------------
 
 def _reward_tail(s="reward_subsidy_sum", f="reward_tx_fee_sum", m="reward_mining_sum", t="tx_count"):

@@ -15,14 +15,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chainstar import oracle_sql as O
+from chainstar.operators.chain import canonical_chain
 from chainstar.operators.preview import preview
 from chainstar.operators.quality import broken_links, duplicate_keys, orphan_keys, stale_heights
+from chainstar.operators.sinks import write_table
 from chainstar.plans import dims, extensions, facts, orders_star
 from chainstar.plans.marts import Marts, build, descendants
 from chainstar.session import checkpoint_dir
 from chainstar.sources import schemas
 from chainstar.sources.files import load_csv
-from chainstar.sources.standins import load_sources, read_table
+from chainstar.sources.standins import forked_block_from_events, load_sources, read_table
 from chainstar.streaming.block_feed import run_block_feed
 
 # The run timestamp of registered builds (audit column of rows whose source
@@ -199,18 +201,56 @@ def e6_grain_duplicates(spark, sf_dir):
     return duplicate_keys(marts(spark, sf_dir)["fact.pool_stats_1d"], ["date_id", "pool_id"])
 
 
-@register("e2_broken_links", O.select_from("blocks", body=(
+def _forked(spark, sf_dir, on_chain=False):
+    """Models over blocks with forks and gaps; ``on_chain`` leaves stale blocks out of them."""
+    src = load_sources(spark, sf_dir) | {"block": forked_block_from_events(read_table(spark, sf_dir, "events"))}
+    return Marts(spark, src, run_ts=RUN_TS, strict=False, persist_shared=False,
+                 chain_path=_scratch(spark, "chain") if on_chain else None)
+
+
+@register("e2_broken_links", O.forked(O.select_from("blocks", body=(
     "SELECT * FROM blocks b WHERE NOT EXISTS (SELECT 1 FROM blocks p WHERE p.block_key = b.prev_block_hash) "
-    "AND b.blockheight > (SELECT min(blockheight) FROM blocks)")))
+    "AND b.blockheight > (SELECT min(blockheight) FROM blocks)"))))
 def e2_broken_links(spark, sf_dir):
-    return broken_links(marts(spark, sf_dir).blocks)
+    """Blocks whose parent is missing."""
+    return broken_links(_forked(spark, sf_dir).blocks)
 
 
-@register("e2_stale_heights", O.select_from("blocks", body=(
+@register("e2_stale_heights", O.forked(O.select_from("blocks", body=(
     "SELECT blockheight, count(*) AS block_count, min(block_key) AS first_key, "
-    "max(block_key) AS last_key FROM blocks GROUP BY blockheight HAVING count(*) > 1")))
+    "max(block_key) AS last_key FROM blocks GROUP BY blockheight HAVING count(*) > 1"))))
 def e2_stale_heights(spark, sf_dir):
-    return stale_heights(marts(spark, sf_dir).blocks)
+    """Heights with competing blocks."""
+    return stale_heights(_forked(spark, sf_dir).blocks)
+
+
+@register("e2_canonical_chain", O.on_chain(O.select_from("blocks", body=(
+    "SELECT block_key, prev_block_hash, blockheight, block_key IN (SELECT block_key FROM chain) AS is_canonical "
+    "FROM all_blocks"))))
+def e2_canonical_chain(spark, sf_dir):
+    """Every block, and whether it is on the longest branch of its fork."""
+    path = _scratch(spark, "chain")
+    blocks = _forked(spark, sf_dir).blocks
+    write_table(blocks, path=f"{path}/blocks")
+    got = canonical_chain(spark.read.schema(blocks.schema).parquet(f"{path}/blocks"), path)
+    return got.select("block_key", "prev_block_hash", "blockheight", "is_canonical")
+
+
+@register("e2_network_on_chain", O.on_chain(O.select_from("fact_network")))
+def e2_network_on_chain(spark, sf_dir):
+    """The daily network fact without stale blocks."""
+    return _forked(spark, sf_dir, on_chain=True)["fact.network_stats_1d"]
+
+
+@register("e2_network_with_forks", O.forked(O.select_from("fact_network")))
+def e2_network_with_forks(spark, sf_dir):
+    """R7, R8 over competing heights: nothing fans out, adjustments of one height count once."""
+    return _forked(spark, sf_dir)["fact.network_stats_1d"]
+
+
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder of the session."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/chainstar/{name}/{uuid.uuid4().hex}"
 
 
 # -- extensions (E1, E3, E4, E5, E7) ----------------------------------------------------------
@@ -235,11 +275,6 @@ def e5_luck_model(spark, sf_dir):
     return extensions.luck_model(marts(spark, sf_dir)["obt.pool_stats_1d"])
 
 
-def _scratch(spark, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder of the session."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/chainstar/{name}/{uuid.uuid4().hex}"
-
-
 def _deliveries(block):
     """The blocks as two deliveries: what the second brings again was dated a day too early in the first."""
     late = block.filter(F.col("loaded_at") != F.col("timestamp"))

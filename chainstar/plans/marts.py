@@ -22,6 +22,7 @@ from collections.abc import Iterable, Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from chainstar.operators.chain import without_stale
 from chainstar.operators.preview import PREVIEW_ROWS, preview
 from chainstar.operators.sinks import create_view, write_table
 from chainstar.plans import dims, facts, obts
@@ -93,7 +94,9 @@ class Marts:
     """
 
     def __init__(self, spark: SparkSession, sources: Mapping[str, DataFrame], run_ts=None,
-                 strict: bool = True, collapse_unknown: bool = False, persist_shared: bool = True):
+                 strict: bool = True, collapse_unknown: bool = False, persist_shared: bool = True,
+                 chain_path: str | None = None):
+        """``chain_path``: a shared folder; blocks off the canonical chain are then left out of all models."""
         self.spark = spark
         self.persist_shared = persist_shared
         self._persisted: list[DataFrame] = []
@@ -101,6 +104,7 @@ class Marts:
         self.run_ts = run_ts
         self.strict = strict
         self.collapse_unknown = collapse_unknown
+        self.chain_path = chain_path
         self._cache: dict[str, DataFrame] = {}
 
     def reuse(self, name: str, df: DataFrame) -> None:
@@ -124,7 +128,13 @@ class Marts:
     @property
     def blocks(self) -> DataFrame:
         if "stage.block" not in self._cache:
-            self._cache["stage.block"] = dims.staged_blocks(self.sources["block"], self.run_ts)
+            blocks = dims.staged_blocks(self.sources["block"], self.run_ts)
+            if self.chain_path is not None:
+                # Read several times by the chain's rounds: dedupe once.
+                path = f"{self.chain_path.rstrip('/')}/blocks"
+                write_table(blocks, path=path)
+                blocks = without_stale(self.spark.read.schema(blocks.schema).parquet(path), self.chain_path)
+            self._cache["stage.block"] = blocks
         return self._cache["stage.block"]
 
     @property

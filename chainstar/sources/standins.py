@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
@@ -31,6 +31,8 @@ from chainstar.functions.epochs import halving_level
 from chainstar.session import session_key
 
 # Fixed parameters of the stand-in mapping (shared with the oracle SQL).
+BLOCK_PREFIX = "blk"         # block_hash = 'blk' || event_id, its parent the event before
+RIVAL_PREFIX = "riv"         # block_hash of a competing block
 POOL_PREFIX = "pool-"        # pool_key = 'pool-' || user_id (blocks), || s_suppkey (pools)
 DIFFICULTY_BASE = 1000       # difficulty = (1000 + 37 * (event_id div 2016)) * 10^9
 DIFFICULTY_STEP = 37
@@ -50,23 +52,27 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def block_from_events(events: DataFrame) -> DataFrame:
+def block_from_events(events: DataFrame, block_hash: Column | None = None, prev: Column | None = None) -> DataFrame:
     """``src.block`` stand-in with ``loaded_at``.
 
     One scan of ``events``: each event yields its first delivery, plus a
     re-delivery an hour later (``error`` events, tx_count + 1) or an exact
-    second copy (``signup`` events), generated with ``explode``.
+    second copy (``signup`` events), generated with ``explode``.  ``block_hash`` and
+    ``prev`` replace the hashes of the plain chain.
     """
+    if block_hash is None:
+        block_hash, prev = _named(BLOCK_PREFIX), _named(BLOCK_PREFIX, -1)
     copies = (F.when(F.col("event_type") == REDELIVERED_TYPE, F.array(F.lit(0), F.lit(1)))
               .when(F.col("event_type") == DUPLICATED_TYPE, F.array(F.lit(0), F.lit(2)))
               .otherwise(F.array(F.lit(0))))
-    e = events.select("event_id", "ts", "user_id", "value", F.explode(copies).alias("__copy"))
+    e = events.select("event_id", "ts", "user_id", "value", block_hash.alias("__hash"), prev.alias("__prev"),
+                      F.explode(copies).alias("__copy"))
     redelivered = F.col("__copy") == 1
     tx_count = F.pmod(F.col("user_id"), F.lit(7)) + 1
     return e.select(
         F.pmod(F.col("event_id"), F.lit(HEIGHTS)).cast("int").alias("blockheight"),
-        F.concat(F.lit("blk"), F.col("event_id").cast("string")).alias("block_hash"),
-        F.concat(F.lit("blk"), (F.col("event_id") - 1).cast("string")).alias("prev_block_hash"),
+        F.col("__hash").alias("block_hash"),
+        F.col("__prev").alias("prev_block_hash"),
         F.col("ts").alias("timestamp"),
         F.concat(F.lit(POOL_PREFIX), F.col("user_id").cast("string")).alias("pool_key"),
         ((F.lit(DIFFICULTY_BASE) + F.lit(DIFFICULTY_STEP)
@@ -81,6 +87,38 @@ def block_from_events(events: DataFrame) -> DataFrame:
     )
 
 
+def _named(prefix: str, step: int = 0) -> Column:
+    return F.concat(F.lit(prefix), (F.col("event_id") + step).cast("string"))
+
+
+def forked_block_from_events(events: DataFrame) -> DataFrame:
+    """``src.block`` with competing and missing blocks.
+
+    * every ``error`` event also has a rival block a minute later, on the rival of
+      the event before if that is an ``error`` event too, else on the same parent;
+    * the first other event after two or more such events builds on the rivals, so
+      their branch is the longer one; after a single one the rival is stale;
+    * the third of three ``signup`` events in a row, and any further, is missing.
+    """
+    kind = events.select("event_id", "event_type")
+    e = events
+    for k in (1, 2):
+        before = kind.select((F.col("event_id") + k).alias("event_id"), F.col("event_type").alias(f"type_{k}"))
+        e = e.join(before, "event_id", "left")
+
+    def fork(c: str) -> Column:
+        return F.coalesce(F.col(c) == REDELIVERED_TYPE, F.lit(False))
+
+    lost = F.lit(True)
+    for c in ("event_type", "type_1", "type_2"):
+        lost = lost & F.coalesce(F.col(c) == DUPLICATED_TYPE, F.lit(False))
+    own, rival = _named(BLOCK_PREFIX, -1), _named(RIVAL_PREFIX, -1)
+    main = block_from_events(e.filter(~lost), _named(BLOCK_PREFIX), F.when(
+        fork("type_1") & fork("type_2") & ~fork("event_type"), rival).otherwise(own))
+    late = e.filter(fork("event_type")).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
+    return main.unionByName(block_from_events(late, _named(RIVAL_PREFIX), F.when(fork("type_1"), rival).otherwise(own)))
+
+
 def pool_from_suppliers(supplier: DataFrame, nation: DataFrame, region: DataFrame) -> DataFrame:
     """``src.pool`` stand-in: a pool per supplier, flags from its region.
 
