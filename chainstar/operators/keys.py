@@ -33,18 +33,23 @@ def with_default_member(dim: DataFrame, values: Mapping[str, object]) -> DataFra
 
 def resolve_fk(fact: DataFrame, dim: DataFrame, on: str | Sequence[tuple[str, str]],
                id_col: str, default: str = UNKNOWN_ID, out: str | None = None,
-               broadcast: bool | None = None) -> DataFrame:
+               broadcast: bool | None = None, carry: Mapping[str, tuple[str, object]] | None = None) -> DataFrame:
     """Left-join a dimension on its natural key, default id when unmatched.
 
     ``on`` is a column name present in both, or ``[(fact_col, dim_col), ...]``.
     Unmatched (and NULL) keys get ``default``, so that downstream joins to
     the dimension can be inner joins.  ``broadcast``: see ``broadcast_if_small``.
+    ``carry`` (new column -> (dimension column, value of the default member)) brings
+    attributes along, so that no later join by the id, with the default as its
+    hottest key, is needed.
     """
+    carry = carry or {}
     pairs = [(on, on)] if isinstance(on, str) else list(on)
     out = out or id_col
     renamed = {dc: f"__dim_{dc}" for _, dc in pairs}
     d = dim.select(*[F.col(dc).alias(renamed[dc]) for _, dc in pairs],
-                   F.col(id_col).alias("__dim_id"))
+                   F.col(id_col).alias("__dim_id"),
+                   *[F.col(src).alias(f"__dim_of_{name}") for name, (src, _) in carry.items()])
     d = d.filter(F.col("__dim_id") != F.lit(default))  # never match the default member
     d = broadcast_if_small(d, known_small=broadcast)
     cond = None
@@ -52,5 +57,7 @@ def resolve_fk(fact: DataFrame, dim: DataFrame, on: str | Sequence[tuple[str, st
         term = fact[fc] == d[renamed[dc]]
         cond = term if cond is None else (cond & term)
     joined = fact.join(d, cond, "left")
-    return joined.withColumn(out, F.coalesce(F.col("__dim_id"), F.lit(default))) \
-        .drop("__dim_id", *renamed.values())
+    found = {name: F.when(F.col("__dim_id").isNotNull(), F.col(f"__dim_of_{name}")).otherwise(F.lit(value))
+             for name, (_, value) in carry.items()}
+    return joined.withColumns(found | {out: F.coalesce(F.col("__dim_id"), F.lit(default))}) \
+        .drop("__dim_id", *renamed.values(), *[f"__dim_of_{name}" for name in carry])

@@ -56,6 +56,10 @@ def calendar_of(dates: DataFrame, date_col: str) -> DataFrame:
     return d.select(*calendar_columns(F.col("d")))
 
 
+# The default member's values; its other columns are NULL.
+POOL_DEFAULT = {"pool_id": UNKNOWN_ID, "pool_key": UNKNOWN_TEXT, "pool_name": UNKNOWN_TEXT, "pool_url": UNKNOWN_TEXT}
+
+
 def dim_pool(src_pool: DataFrame, run_ts=None) -> DataFrame:
     """Pool dimension: cleaned, keep-latest per pool_key, md5 id, default member."""
     staged = stage(src_pool, {
@@ -78,8 +82,18 @@ def dim_pool(src_pool: DataFrame, run_ts=None) -> DataFrame:
         F.col("is_antpool_friend_template"),
         F.col("audit_created_timestamp"),
     )
-    return with_default_member(dim, {"pool_id": UNKNOWN_ID, "pool_key": UNKNOWN_TEXT,
-                                     "pool_name": UNKNOWN_TEXT, "pool_url": UNKNOWN_TEXT})
+    return with_default_member(dim, POOL_DEFAULT)
+
+
+def block_attributes() -> list[Column]:
+    """What the block dimension says of a staged block."""
+    return [
+        bounded("block_key", 256).alias("block_key"),
+        bounded("block_key", 256).alias("block_hash"),
+        bounded("prev_block_hash", 256).alias("prev_block_hash"),
+        halving_flag().alias("is_subsidy_halving"),
+        adjustment_flag().alias("is_difficulty_adjustment"),
+    ]
 
 
 def stage_blocks(src_block: DataFrame, run_ts=None, distinct: bool = False) -> DataFrame:
@@ -121,11 +135,7 @@ def dim_block(blocks: DataFrame) -> DataFrame:
     """Block dimension from ``staged_blocks``: hashes, halving / adjustment flags."""
     dim = blocks.select(
         bounded(surrogate_key("block_key"), 512).alias("block_id"),
-        bounded("block_key", 256).alias("block_key"),
-        bounded("block_key", 256).alias("block_hash"),
-        bounded("prev_block_hash", 256).alias("prev_block_hash"),
-        halving_flag().alias("is_subsidy_halving"),
-        adjustment_flag().alias("is_difficulty_adjustment"),
+        *block_attributes(),
         F.col("audit_created_timestamp"),
     )
     return with_default_member(dim, {"block_id": UNKNOWN_ID, "block_key": UNKNOWN_TEXT,

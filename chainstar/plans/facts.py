@@ -15,9 +15,11 @@ from chainstar.functions.strings import UNKNOWN_ID, bounded, clean, surrogate_ke
 from chainstar.operators.keys import broadcast_if_small, resolve_fk
 from chainstar.operators.snapshot import periodic_snapshot, regime_weighted_avg
 from chainstar.operators.staging import dedupe_latest, stage
-from chainstar.plans.dims import adjustment_flag, audit_column, halving_flag
+from chainstar.plans.dims import POOL_DEFAULT, adjustment_flag, audit_column, block_attributes, halving_flag
 
 DEFAULT_TICKER = "BTC-USD"
+POOL_ATTRIBUTES = ["pool_key", "pool_name", "pool_url", "is_antpool_friend", "is_antpool_friend_custodian",
+                   "is_antpool_friend_template"]
 
 
 def with_date_id(df: DataFrame, dim_date: DataFrame, on: str = "event_date") -> DataFrame:
@@ -62,9 +64,13 @@ def fact_price_1d(src_price: DataFrame, dim_date: DataFrame, ticker: str = DEFAU
 # -- fact.block -------------------------------------------------------------------
 
 def fact_block(blocks: DataFrame, dim_date: DataFrame, dim_pool: DataFrame,
-               dim_block: DataFrame | None = None, strict: bool = True) -> DataFrame:
+               dim_block: DataFrame | None = None, strict: bool = True, wide: bool = False) -> DataFrame:
     """One row per block with epochs, rewards in sats and BTC, fee averages.
 
+    ``wide`` adds what the block and pool dimensions say of the block (for
+    ``obt.block``): the one is a function of the row, the other comes with the
+    pool's key.
+
     ``block_id``: the block dimension is built from the same deduped blocks,
     so every block has its dimension row and the id is ``md5`` of the key;
     it is computed in place (J11 folded).  Pass ``dim_block`` to resolve it
@@ -79,8 +85,11 @@ def fact_block(blocks: DataFrame, dim_date: DataFrame, dim_pool: DataFrame,
                                                 F.lit(UNKNOWN_ID)))
     else:
         b = resolve_fk(b, dim_block, "block_key", "block_id", broadcast=False)
-    b = resolve_fk(b, dim_pool, "pool_key", "pool_id")
+    carry = {f"__{c}": (c, POOL_DEFAULT.get(c)) for c in POOL_ATTRIBUTES} if wide else None
+    b = resolve_fk(b, dim_pool, "pool_key", "pool_id", carry=carry)
+    attributes = [*block_attributes(), *[F.col(f"__{c}").alias(c) for c in POOL_ATTRIBUTES]] if wide else []
     return b.select(
+        *attributes,
         bounded("date_id", 8).alias("date_id"),
         bounded("block_id", 512).alias("block_id"),
         bounded("pool_id", 512).alias("pool_id"),

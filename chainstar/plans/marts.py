@@ -106,9 +106,11 @@ class Marts:
         self.collapse_unknown = collapse_unknown
         self.chain_path = chain_path
         self._cache: dict[str, DataFrame] = {}
+        self._materialised: set[str] = set()
 
     def reuse(self, name: str, df: DataFrame) -> None:
         self._cache[name] = df
+        self._materialised.add(name)
 
     def _shared(self, df: DataFrame) -> DataFrame:
         """Persist an intermediate read by several models (memory, spilling to
@@ -176,6 +178,8 @@ class Marts:
             return facts.fact_pool_stats_1d(self.blocks, s["hashrate"], self["dim.date"],
                                             self["dim.pool"], self.collapse_unknown, cube=self.cube,
                                             daily=self.network_daily, strict=self.strict)
+        if name == "obt.block" and not self._materialised & {"fact.block", "dim.block"}:
+            return obts.obt_block_of(self.blocks, self["dim.date"], self["dim.pool"], self.strict)
         if name == "obt.block":
             return obts.obt_block(self["fact.block"], self["dim.block"], self["dim.date"],
                                   self["dim.pool"])

@@ -8,38 +8,56 @@ from pyspark.sql import functions as F
 from chainstar.functions import measures as M
 from chainstar.functions.numeric import to_units
 from chainstar.operators.star import Arm, drill_across
+from chainstar.plans.dims import POOL_DEFAULT
+from chainstar.plans.facts import fact_block as fact_block_model
 
 DATE_ATTRS = ["day_of_week", "day_of_month", "day_of_year"]
 
 
+def _pool_arm(dim_pool: DataFrame, spread: list[str]) -> Arm:
+    return Arm(dim_pool.drop("audit_created_timestamp"), on=["pool_id"], default=POOL_DEFAULT, spread=spread)
+
+
 def _date_arm(dim_date: DataFrame) -> Arm:
     # The calendar has a fixed size: broadcast without a check.
     return Arm(dim_date.select("date_id", F.col("date").alias("event_date"), *DATE_ATTRS),
                on=["date_id"], broadcast=True)
 
 
+BLOCK_COLUMNS = [
+    "block_id", "block_key", "block_hash", "blockheight", "is_subsidy_halving",
+    "subsidy_epoch", "subsidy_level", "subsidy_level_btc", "is_difficulty_adjustment",
+    "difficulty_epoch", "difficulty", "date_id", "event_date", "event_timestamp",
+    *DATE_ATTRS, "pool_id", "pool_key", "pool_name", "pool_url", "is_antpool_friend",
+    "is_antpool_friend_custodian", "is_antpool_friend_template", "reward_mining",
+    "reward_subsidy", "reward_tx_fee_sum", "reward_tx_fee_pct", "reward_mining_btc",
+    "reward_subsidy_btc", "reward_tx_fee_sum_btc", "tx_count", "tx_fee_avg", "tx_fee_avg_btc",
+]
+
+
 def obt_block(fact_block: DataFrame, dim_block: DataFrame, dim_date: DataFrame,
               dim_pool: DataFrame, dim_block_broadcast: bool = False) -> DataFrame:
     """One row per block: fact ⋈ dim.block ⋈ dim.date ⋈ dim.pool (J3), 34 columns.
 
-    dim.block has a row per block, so it is never broadcast; the calendar and
-    the pool dimension are.  Materialised tables bucketed by ``block_id``
-    (see ``marts``) make the block join shuffle-free.
+    dim.block has a row per block, so it is never broadcast; the calendar is.
+    Materialised tables bucketed by ``block_id`` (see ``marts``) make the block join
+    shuffle-free.  Blocks of unknown pools, many of them, take the default
+    member's values without a join.
     """
     return drill_across(fact_block, [
         Arm(dim_block.drop("audit_created_timestamp"), on=["block_id"],
             broadcast=dim_block_broadcast),
         _date_arm(dim_date),
-        Arm(dim_pool.drop("audit_created_timestamp"), on=["pool_id"]),
-    ], [
-        "block_id", "block_key", "block_hash", "blockheight", "is_subsidy_halving",
-        "subsidy_epoch", "subsidy_level", "subsidy_level_btc", "is_difficulty_adjustment",
-        "difficulty_epoch", "difficulty", "date_id", "event_date", "event_timestamp",
-        *DATE_ATTRS, "pool_id", "pool_key", "pool_name", "pool_url", "is_antpool_friend",
-        "is_antpool_friend_custodian", "is_antpool_friend_template", "reward_mining",
-        "reward_subsidy", "reward_tx_fee_sum", "reward_tx_fee_pct", "reward_mining_btc",
-        "reward_subsidy_btc", "reward_tx_fee_sum_btc", "tx_count", "tx_fee_avg", "tx_fee_avg_btc",
-    ])
+        _pool_arm(dim_pool, ["block_id"]),
+    ], BLOCK_COLUMNS)
+
+
+def obt_block_of(blocks: DataFrame, dim_date: DataFrame, dim_pool: DataFrame, strict: bool = True) -> DataFrame:
+    """The same rows from the deduped blocks themselves: the fact and the block
+    dimension are two projections of one row, so nothing is shuffled to bring them
+    together again, and pool attributes come with the pool's natural key."""
+    wide = fact_block_model(blocks, dim_date, dim_pool, strict=strict, wide=True)
+    return drill_across(wide, [_date_arm(dim_date)], BLOCK_COLUMNS)
 
 
 NETWORK_COLUMNS = [
@@ -100,7 +118,7 @@ def obt_pool_stats_1d(fact_pool: DataFrame, fact_network: DataFrame, fact_price:
             on=["date_id"], broadcast=True),
         Arm(fact_price.select("date_id", "price_close"), on=["date_id"], broadcast=True),
         _date_arm(dim_date),
-        Arm(dim_pool.drop("audit_created_timestamp"), on=["pool_id"]),
+        _pool_arm(dim_pool, ["date_id", "blockheight_first"]),
     ], [
         "date_id", "event_date", *DATE_ATTRS, "pool_id", "pool_key", "pool_name", "pool_url",
         "is_antpool_friend", "is_antpool_friend_custodian", "is_antpool_friend_template",
