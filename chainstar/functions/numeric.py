@@ -20,6 +20,8 @@ digits.
 
 from __future__ import annotations
 
+import math
+
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -149,3 +151,41 @@ def sats_to_btc(col: Column | str, precision: int = 16, scale: int = 8) -> Colum
     """D3: satoshi integer to BTC, exact (``x / 10^8``)."""
     return from_units(_c(col), 8, precision) if scale == 8 else \
         exact_ratio(_c(col), F.lit(10 ** 8), precision, scale)
+
+
+# ln(n!) for small n; Stirling's series is exact to rounding beyond.
+_SMALL = 16
+
+
+def _ln_factorial(n: Column) -> Column:
+    logs, total = [], 0.0
+    for k in range(_SMALL):
+        total += math.log(max(k, 1))
+        logs.append(F.lit(total))
+    x = F.greatest(n, F.lit(1.0))
+    series = 1 / (12 * x) - 1 / (360 * x ** 3) + 1 / (1260 * x ** 5) - 1 / (1680 * x ** 7)
+    stirling = x * F.log(x) - x + F.log(2 * math.pi * x) / 2 + series
+    return F.when(n < _SMALL, F.element_at(F.array(*logs), F.least(n, F.lit(_SMALL - 1.0)).cast("int") + 1)).otherwise(stirling)
+
+
+def poisson_at_least(k: Column, mean: Column) -> Column:
+    """P(X >= k) for a Poisson variable, exact to about 14 digits; NULL without a positive mean.
+
+    The tail's first term is taken in logarithms, the others follow from it by
+    ratios, from the mean outwards, so nothing overflows and small tails keep their digits: the
+    upper tail is summed where k is above the mean, else one less the lower one.
+    """
+    k, mean = k.cast("double"), mean.cast("double")
+    upper = k > mean
+    first = F.when(upper, k).otherwise(k - 1)
+    # Terms fall off like exp(-j^2 / 2 mean): this many are far more than a double resolves.
+    steps = F.ceil(9 * F.sqrt(F.greatest(k, mean))).cast("int") + 60
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def step(a: Column, j: Column) -> Column:
+        ratio = F.when(upper, mean / (first + j)).otherwise(F.greatest(first - j + 1, F.lit(0.0)) / mean)
+        return F.struct((a["term"] * ratio).alias("term"), (a["sum"] + a["term"] * ratio).alias("sum"))
+
+    tail = F.aggregate(F.sequence(F.lit(1), steps), start, step, lambda a: a["sum"])
+    p = F.exp(first * F.log(mean) - mean - _ln_factorial(F.greatest(first, F.lit(0.0)))) * tail
+    return F.when((mean > 0) & (k <= 0), F.lit(1.0)).when(mean > 0, F.when(upper, p).otherwise(1 - p))

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chainstar.sources.files import require_not_null
+
 LAYERS = ("src", "dim", "fact", "obt")
 
 
@@ -49,6 +51,28 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
         raise ValueError("give a table name or a path")
 
 
+def insert_declared(df: DataFrame, name: str, columns: Sequence[tuple[str, str, bool]],
+                    path: str | None = None) -> DataFrame:
+    """K4: create table ``name`` with declared ``columns`` (name, SQL type, not null), insert
+    ``df`` and return the table.
+
+    Values are stored under ANSI assignment: a column of another kind of type is
+    refused, and a number or text that does not fit its declared type fails the
+    job, as does a NULL in a not-null column (Spark does not check that itself).
+    An older table of the name is dropped first.
+    """
+    spark = df.sparkSession
+    if "." in name:
+        create_namespaces(spark, [name.split(".")[0]])
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    ddl = ", ".join(f"`{c}` {kind}{' NOT NULL' if required else ''}" for c, kind, required in columns)
+    where = f" LOCATION '{path}'" if path is not None else ""
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet{where}")
+    rows = require_not_null(df, [c for c, _, required in columns if required])
+    rows.select(*[c for c, _, _ in columns]).write.insertInto(name, overwrite=True)
+    return spark.table(name)
+
+
 def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequence[str]) -> None:
     """K7: remove partitions ``column=value`` below ``path`` that have lost all rows
     (a dynamic overwrite leaves them); missing ones are passed over."""

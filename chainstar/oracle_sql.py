@@ -644,7 +644,9 @@ luck_trailing AS (
        CAST(trailing_block_count AS BIGINT) AS trailing_block_count, {e},
        CASE WHEN {e} > 0 THEN {luck} END AS trailing_luck,
        CASE WHEN {e} > 0 THEN round((CAST(trailing_block_count AS DOUBLE) - CAST({e} AS DOUBLE))
-            / sqrt(CAST({e} AS DOUBLE)), 6) END AS luck_z_score
+            / sqrt(CAST({e} AS DOUBLE)), 6) END AS luck_z_score,
+       CASE WHEN {e} > 0 THEN round(1 - coalesce(list_sum(list_transform(range(CAST(trailing_block_count AS BIGINT)),
+            lambda i: exp(i * ln(CAST({e} AS DOUBLE)) - CAST({e} AS DOUBLE) - lgamma(i + 1)))), 0), 9) END AS luck_p_value
 FROM luck_trailing""")
 
 

@@ -18,7 +18,7 @@ from chainstar import oracle_sql as O
 from chainstar.operators.chain import canonical_chain
 from chainstar.operators.preview import preview
 from chainstar.operators.quality import broken_links, duplicate_keys, orphan_keys, stale_heights
-from chainstar.operators.sinks import write_table
+from chainstar.operators.sinks import insert_declared, write_table
 from chainstar.plans import dims, extensions, facts, orders_star
 from chainstar.plans.marts import Marts, build, descendants
 from chainstar.session import checkpoint_dir
@@ -351,6 +351,35 @@ def k1_built_network(spark, sf_dir):
     return build(marts(spark, sf_dir), _scratch(spark, "k1"), [name])[name]
 
 
+@register("k4_declared_calendar", f"""SELECT {O.calendar_select('d')}
+FROM (SELECT DISTINCT CAST(l_shipdate AS DATE) AS d FROM lineitem)""")
+def k4_declared_calendar(spark, sf_dir):
+    """K4, K5: the ship dates' calendar inserted into a declared table of the ``dim`` schema and read back."""
+    columns = [(c, kind, True) for c, kind in dims.CALENDAR_TYPES.items()]
+    return insert_declared(c_calendar(spark, sf_dir), f"dim.ship_date_{uuid.uuid4().hex}", columns, _scratch(spark, "k4"))
+
+
+@register("j3_obt_block_bucketed", O.select_from("obt_block"))
+def j3_obt_block_bucketed(spark, sf_dir):
+    """``obt.block`` over both block tables written bucketed by ``block_id``: their join shuffles nothing."""
+    m = marts(spark, sf_dir)
+    build(m, _scratch(spark, "j3"), ["dim.pool", "dim.block", "fact.block"], block_buckets=16, use_catalog=True)
+    return m["obt.block"]
+
+
+@register("k7_pruned_weekends", O.select_from("fact_block", body=(
+    "SELECT f.* FROM fact_block f JOIN calendar d USING (date_id) WHERE d.is_weekend")))
+def k7_pruned_weekends(spark, sf_dir):
+    """K7: ``fact.block`` by day; the weekends' files alone are read, chosen at run time from ``dim.date``."""
+    path = _scratch(spark, "k7")
+    m = marts(spark, sf_dir)
+    write_table(m["fact.block"].withColumn("day", F.col("date_id")), path=path, partition_by=["day"],
+                sort_within=["day", "blockheight"])
+    days = m["dim.date"].filter("is_weekend").select(F.col("date_id").alias("day"))
+    fact = spark.read.schema(m["fact.block"].schema.add("day", "string")).parquet(path)
+    return fact.join(F.broadcast(days), "day").drop("day")
+
+
 @register("k3_built_obt_pool", O.select_from("obt_pool"))
 def k3_built_obt_pool(spark, sf_dir):
     """The pool OBT written after the facts it reads, each read back."""

@@ -33,6 +33,18 @@ def audit_column(df: DataFrame, run_ts: str | _dt.datetime | None) -> Column:
     return F.current_timestamp().cast("timestamp_ntz")
 
 
+# The declared schema of dim.date (fixed: names and types must match); every column is not null.
+CALENDAR_TYPES = {
+    "date_id": "VARCHAR(8)", "date": "DATE", "epoch_timestamp": "BIGINT", "day_of_week": "INT",
+    "day_of_week_name": "VARCHAR(9)", "day_of_week_name_abbr": "VARCHAR(3)", "day_of_month": "INT",
+    "day_of_month_suffix": "VARCHAR(4)", "day_of_quarter": "INT", "day_of_year": "INT", "week_of_month": "INT",
+    "week_of_year": "INT", "week_of_year_iso": "CHAR(10)", "month": "INT", "month_name": "VARCHAR(9)",
+    "month_name_abbr": "CHAR(3)", "quarter": "INT", "quarter_name": "VARCHAR(9)", "year": "INT",
+    "first_day_of_week": "DATE", "last_day_of_week": "DATE", "first_day_of_month": "DATE", "last_day_of_month": "DATE",
+    "first_day_of_quarter": "DATE", "last_day_of_quarter": "DATE", "first_day_of_year": "DATE",
+    "last_day_of_year": "DATE", "is_weekend": "BOOLEAN",
+}
+
 _CALENDARS: dict = {}
 
 

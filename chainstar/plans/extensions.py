@@ -2,7 +2,7 @@
 
 * E3  one row per difficulty (or subsidy) epoch, from ``obt.block``;
 * E4  one row per pool over all time, from ``obt.block``;
-* E5  trailing-window luck per pool (Poisson mean and z-score), from
+* E5  trailing-window luck per pool (Poisson mean, z-score and tail), from
       ``obt.pool_stats_1d``;
 * E1  incremental rebuild of the days touched by new source rows, for the daily
       facts and ``fact.block``, written with dynamic partition overwrite.
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, StructType
 
 from chainstar.functions import measures as M
-from chainstar.functions.numeric import exact_ratio, sats_to_btc, to_units
+from chainstar.functions.numeric import exact_ratio, poisson_at_least, sats_to_btc, to_units
 from chainstar.functions.strings import clean
 from chainstar.operators.key_days import BUCKETS, KeyDays
 from chainstar.operators.sinks import drop_partitions, write_table
@@ -108,7 +108,8 @@ def luck_model(obt_pool: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
     Blocks found in a day are Poisson with mean ``expected_block_count``;
     over a trailing window the sum of means is the expected count and its
     variance.  Output: trailing found and expected blocks, trailing luck
-    (exact), and the z-score ``(found - expected) / sqrt(expected)``.  Trailing
+    (exact), the z-score ``(found - expected) / sqrt(expected)`` and the Poisson
+    probability of finding at least as many, exact for small means too.  Trailing
     found blocks are those of rows with an expected count, as luck compares the two.
 
     The (day, pool) rows are first summed per pool and day (the default
@@ -136,6 +137,7 @@ def luck_model(obt_pool: DataFrame, days: int = TRAILING_DAYS) -> DataFrame:
                                   den_scale=9)).alias("trailing_luck"),
         F.when(e > 0, F.round((F.col("trailing_block_count").cast("double") - e.cast("double"))
                               / F.sqrt(e.cast("double")), 6)).alias("luck_z_score"),
+        F.round(poisson_at_least(F.col("trailing_block_count"), e), 9).alias("luck_p_value"),
     )
 
 
