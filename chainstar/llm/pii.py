@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from chainstar.llm.common import c, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The local part is read backwards from each @, the numbers of an address once each: linear on any text.
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+_HOST = re.compile(r"[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -124,11 +126,25 @@ def _byte(part: str) -> bool:
     return len(part) <= 3 and int(part) <= 255
 
 
+def _emails(text: str) -> list[tuple[int, int]]:
+    """Matches of [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(.[A-Za-z0-9-]+)+, leftmost, not overlapping."""
+    out, low, at = [], 0, text.find("@")
+    while at >= 0:
+        start = low + len(text[low:at].rstrip(_LOCAL))      # not before the last match or the @ before
+        host = _HOST.match(text, at + 1) if start < at else None
+        low = at + 1
+        if host:
+            out.append((start, host.end()))
+            low = host.end()
+        at = text.find("@", low)
+    return out
+
+
 def plain_spans(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of the base patterns, by start, then kind."""
     out = []
     if "@" in text:
-        out += [("email", *m.span()) for m in _EMAIL.finditer(text)]
+        out += [("email", a, b) for a, b in _emails(text)]
     if _DIGIT.search(text):
         out += [("ip", *m.span()) for m in _IP.finditer(text) if all(map(_byte, m[0].split(".")))]
         for m in _CARD.finditer(text):
@@ -297,10 +313,16 @@ def redact(docs: DataFrame, text_col: str = "text", n_chars_col: str | None = "n
     def masked(texts: pd.Series) -> pd.Series:
         return texts.map(mask, na_action="ignore").astype(object)
 
-    new = docs.withColumn("x_masked", masked(c(text_col)))
-    return new.select(*[(F.col("x_masked") if x == text_col else
-                         F.coalesce(F.length("x_masked").cast(docs.schema[x].dataType), c(x))
-                         if x == n_chars_col else c(x)).alias(x) for x in docs.columns])
+    row = F.struct(*[c(x) for x in docs.columns])     # names of extra columns can't clash
+    new = docs.select(row.alias("r"), masked(c(text_col)).alias("m"))
+
+    def value(x: str):
+        old = F.col("r").getField(x)
+        if x == text_col:
+            return F.col("m")
+        return F.coalesce(F.length("m").cast(docs.schema[x].dataType), old) if x == n_chars_col else old
+
+    return new.select(*[value(x).alias(x) for x in docs.columns])
 
 
 def base_digest(found: str) -> str:

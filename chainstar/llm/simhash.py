@@ -235,11 +235,19 @@ def hex_digits(fp: str = "fp") -> Column:
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                          words: int = 4) -> DataFrame:
-    """``docs`` without the documents that another of their component stands for.
+    """``docs`` without the rows that another of their component stands for.
 
-    The smallest doc_id of a component stays.  Rows with a null doc_id have no
-    name to be dropped by and stay, as do rows repeating the doc_id that stays.
+    One row of a component stays: that of the smallest doc_id, null ids last,
+    and of rows with equal ids any one.  Rows are told apart by a number that is
+    written with them, so a doc_id on several texts or a null one loses nothing.
     """
-    near = near_duplicates(docs, id_col, text_col, words)
-    gone = near.filter(c(id_col) != F.col("component_id")).select(c(id_col).alias("x_gone")).distinct()
-    return docs.join(gone, docs[f"`{id_col}`"] == F.col("x_gone"), "left_anti")
+    row = F.struct(*[c(x) for x in docs.columns])
+    rows = written(docs.select(F.monotonically_increasing_id().alias("n"), row.alias("r")),
+                   work_dir(docs.sparkSession, "numbered"))
+    doc = F.col("r").getField(id_col)
+    order = F.struct(doc.isNull().alias("late"), doc.alias("doc"), F.col("n").alias("n"))
+    near = near_duplicates(rows.select(order.alias("key"), F.col("r").getField(text_col).alias("text")),
+                           "key", "text", words)
+    gone = near.select(F.col("key.n").alias("n"), F.col("component_id.n").alias("stays")).filter("n <> stays")
+    kept = rows.join(gone.select("n"), "n", "left_anti")
+    return kept.select(*[F.col("r").getField(x).alias(x) for x in docs.columns])

@@ -69,7 +69,7 @@ b AS (SELECT t.conv_id, speaker, place // {chat.PART_TURNS} AS part, place, text
                   WHEN role = speaker THEN '<|assistant|>' || chr(10)
                   ELSE '<|user:' || role || '|>' || chr(10) END AS head
       FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
-e AS (SELECT *, sum(len(head) + len(text) + 1) OVER (PARTITION BY conv_id, speaker, part ORDER BY place)
+e AS (SELECT *, sum(len(head) + len(text) + 1) OVER (PARTITION BY conv_id, speaker ORDER BY place)
                   - len(text) - 1 AS start FROM b)
 SELECT conv_id, speaker, part::BIGINT AS part, count(*) AS n_turns,
        sum(len(head) + len(text) + 1)::BIGINT AS n_chars,

@@ -87,8 +87,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.tok.encode_special_tokens = True   # special tokens' names in a text are ordinary text
         self.model = self.tok.model
+        # A text with the name of an added token goes to the library whole: the name becomes the token's id there.
+        self.names = tuple({x.content for x in self.tok.get_added_tokens_decoder().values()})
         self.parts, self.lower = _parts_of(path)
         self.part = lru_cache(maxsize=1 << 16)(self._part)
         self.young: dict[str, bytes] = {}
@@ -130,7 +131,7 @@ class Encoder:
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         texts = [t or "" for t in texts]
-        keys = [_keys(t) for t in texts]
+        keys = [None if any(x in t for x in self.names) else _keys(t) for t in texts]
         if len(self.young) > self.most // 2:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old

@@ -25,27 +25,38 @@ def brute_rotate(rows, part_turns):
     for conv in {r[0] for r in rows}:
         said = [(r[2] or chat.UNKNOWN, r[3] or "") for r in sorted((r for r in rows if r[0] == conv), key=order)]
         for me in {r for r, _ in said if r != chat.SYSTEM}:
+            before = 0
             for at in range(0, len(said), part_turns):
                 text, spans = "", []
                 for role, words in said[at:at + part_turns]:
                     text += ("<|system|>\n" if role == chat.SYSTEM else "<|assistant|>\n" if role == me
                              else f"<|user:{role}|>\n")
-                    spans.append((len(text), len(text) + len(words), role == me))
+                    spans.append((before + len(text), before + len(text) + len(words), role == me))
                     text += words + "\n"
+                before += len(text)
                 out[conv, me, at // part_turns] = (text, spans)
     return out
 
 
-def test_rotation(spark):
+def test_rotation(spark, monkeypatch):
     rows = [(1, 0, "system", "Be kind."), (1, 1, "ann", "Hi"), (1, 2, "bob", "Hello é"), (1, 3, "cat", None),
             (1, None, "ann", "first"), (2, 0, None, "who"), (2, 0, None, "who"), (3, 0, "system", "alone"),
             (None, 0, "ann", "x"), (None, 1, "bob", "")]
-    rows += [(9, i, f"p{i % 3}", f"turn {i}") for i in range(500)]
+    rows += [(9, i, f"p{i % 3}" if i else "system", f"turn {i}") for i in range(500)]
+    rows += [(10, i, "rare" if i in (40, 90) else "often", "x" * (i % 5)) for i in range(130)]
+    monkeypatch.setattr(chat, "BLOCK_PARTS", 4)
     turns = spark.createDataFrame([(*r, "x") for r in rows], TURNS).repartition(7)
     got = {(r.conv_id, r.speaker, r.part): (r.text, [(s.start, s.end, s.loss) for s in r.spans])
            for r in chat.rotate(turns, part_turns=16).collect()}
     assert got == brute_rotate(rows, 16)
     assert chat.rotate(turns.limit(0)).count() == 0
+    # Parts joined are the whole rendering, and every span is a turn's place in it.
+    whole = {(r.conv_id, r.speaker): (r.text, r.spans) for r in chat.rotate(turns, part_turns=1000).collect()}
+    for (conv, me), (text, spans) in whole.items():
+        parts = [got[k] for k in sorted((k for k in got if k[:2] == (conv, me)), key=lambda k: k[2])]
+        assert "".join(t for t, _ in parts) == text
+        assert [s for _, some in parts for s in some] == [(s.start, s.end, s.loss) for s in spans]
+    assert whole[9, "p1"][0].startswith("<|system|>\nturn 0\n")
 
 
 # -- toxicity ----------------------------------------------------------------------------

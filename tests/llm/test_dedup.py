@@ -188,3 +188,14 @@ def test_components_of_a_chain_and_a_hub(spark):
     links = spark.createDataFrame(edges, "a long, b long")
     part = {r.node: r.root for r in components(links, work_dir(spark, "t")).collect()}
     assert part == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(60)}}
+
+
+def test_near_duplicates_are_dropped_by_row(spark, docs_of):
+    """A doc_id on two texts, null ids, equal rows and clashing names: one row of each group stays."""
+    x, y = "the first text has words of its own here", "another one that shares nothing with the former"
+    docs = docs_of([x, y, y], [5, 5, 2], extra="x_gone")
+    assert sorted((r.doc_id, r.text) for r in simhash.drop_near_duplicates(docs).collect()) == [(2, y), (5, x)]
+    docs = docs_of([x, x, y, y, y, None, ""], [None, None, None, 7, 7, 3, None], extra="n")
+    got = simhash.drop_near_duplicates(docs)
+    assert got.columns == docs.columns
+    assert sorted((str(r.doc_id), str(r.text)) for r in got.collect()) == [("3", "None"), ("7", y), ("None", x)]

@@ -3,9 +3,12 @@
 import hashlib
 import os
 import re
+import time
 from collections import Counter
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from chainstar.llm import html_text, pii, quality
 from chainstar.llm.quality import base_figures, clean_text, line_fault
@@ -254,3 +257,30 @@ def test_smoothing_and_threshold():
     x = np.array([0.0, 0, 0, 5, 5, 5, 0, 0])
     s = html_text.smooth(x, 1.0)
     assert s[4] == s.max() and s[0] < 0.5 and 0 < html_text.threshold(s) < 5
+
+
+_BASE = {"email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+         "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")}
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="a1.%@- +x", max_size=40))
+def test_base_patterns_are_those_of_the_contract(text):
+    want = [("email", *m.span()) for m in _BASE["email"].finditer(text)]
+    want += [("ip", *m.span()) for m in _BASE["ip"].finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    assert [s for s in pii.plain_spans(text) if s[0] in _BASE] == sorted(want, key=pii._order)
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "a" * 1_000_000 + " b@c.de", "1." * 500_000, "a@" * 500_000, "+1 " * 300_000,
+                                  "1 " * 500_000])
+def test_long_runs_take_linear_time(text):
+    began = time.process_time()
+    pii.spans(text)
+    assert time.process_time() - began < 10
+
+
+def test_redact_keeps_clashing_columns(spark, docs_of):
+    docs = docs_of(["mail a@b.co now", None], extra="x_masked")
+    got = pii.redact(docs)
+    assert got.columns == docs.columns
+    assert [(r.text, r.n_chars, r.x_masked) for r in got.orderBy("doc_id").collect()] == [("mail <EMAIL> now", 16, "x"), (None, None, "x")]

@@ -16,13 +16,12 @@ from chainstar.llm.tokens import Encoder
 
 HARD = ["", " ", "a", "Hello  world\n\nnext\tline ", "l'été n'est pas qu'un rêve", "x  y  z", "a\x0bb\x1cc",
         "á ́b", "日本語 text", "<|endoftext|> x", "\r\n\r\n end", "ΣΑΣ ΟΔΟΣ", "🙂🙂 ok", "1234567 89",
-        "don't  won't", "w" * 5000, " lead", "trail \n", "İstanbul İ"]
+        "don't  won't", "a <|endoftext|> b", "A <|startoftext|>B<|ENDOFTEXT|>", "<|endoftext", "w" * 5000, " lead", "trail \n", "İstanbul İ"]
 
 
 @pytest.mark.parametrize("path", [BYTE_BPE, WORD_BPE])
 def test_chunked_ids_equal_whole_text_ids(path):
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     enc = Encoder(path, most=40)
     want = [np.array(x.ids, "<u4").tobytes() for x in tok.encode_batch(HARD, add_special_tokens=False)]
     for _ in range(3):
@@ -38,8 +37,6 @@ def test_chunked_ids_of_any_text(text):
 
 
 ENCODERS = {p: (Tokenizer.from_file(p), Encoder(p)) for p in (BYTE_BPE, WORD_BPE)}
-for _tok, _ in ENCODERS.values():
-    _tok.encode_special_tokens = True
 
 
 # -- packing ------------------------------------------------------------------------------
@@ -57,7 +54,6 @@ def test_pack(spark, docs_of):
     ids = [None, *range(len(texts) - 2), 3]
     rows = packing.pack(docs_of(texts, ids=ids, extra="length"), BYTE_BPE, end_id=0).collect()
     tok = Tokenizer.from_file(BYTE_BPE)
-    tok.encode_special_tokens = True
     want = sorted((str(i), np.array(tok.encode(t or "", add_special_tokens=False).ids + [0], "<u4").tobytes())
                   for i, t in zip(ids, texts))
     assert len({r.sequence_id for r in rows}) == len(rows)
@@ -128,7 +124,6 @@ def test_token_files(spark, docs_of, block_tokens):
     token_files.write(docs_of(texts, ids=ids, extra="start"), path, WORD_BPE, end_id=2, block_tokens=block_tokens)
     got = token_files.read(spark, path).collect()
     tok = Tokenizer.from_file(WORD_BPE)
-    tok.encode_special_tokens = True
     order = sorted(zip(ids, texts), key=lambda x: (x[0] is not None, x[0] or 0))
     want, at = [], 0
     for i, t in order:
