@@ -28,7 +28,9 @@ result, null page_id and url are passed through.
 
 from __future__ import annotations
 
+import heapq
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -62,23 +64,29 @@ _SPACE = re.compile(r"\s+")
 
 
 class Lines(HTMLParser):
-    """Parser events -> lines: (text, tags, path of containers, left out, marked containers)."""
+    """Parser events -> lines: (text, tags, innermost container, left out, innermost marked container).
+
+    Containers are numbered as they open, so a parent's number is below its
+    children's; ``up`` and ``mark_up`` hold the parents among all and among the marked
+    ones (0: none).  Nothing is kept by line and depth: deep pages take linear time.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        # Tag, number, whether its content is left out, the marked ones down to it.
-        self.stack: list[tuple[str, int, bool, tuple[int, ...]]] = []
-        self.kinds: dict[int, str] = {}
-        self.n = 0
-        self.lines: list[tuple[str, int, tuple[int, ...], bool, tuple[int, ...]]] = []
+        # Tag, number, whether its content is left out, the innermost marked one down to it.
+        self.stack: list[tuple[str, int, bool, int]] = []
+        self.open: Counter[str] = Counter()
+        self.kinds: list[str] = [""]
+        self.up: list[int] = [0]
+        self.mark_up: dict[int, int] = {}
+        self.lines: list[tuple[str, int, int, bool, int]] = []
         self.text: list[str] = []
         self.tags = 0
 
     def line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append((text, max(1, self.tags), tuple(x[1] for x in self.stack),
-                               *(self.stack[-1][2:] if self.stack else (False, ()))))
+            self.lines.append((text, max(1, self.tags), *(self.stack[-1][1:] if self.stack else (0, False, 0))))
             self.tags = 0
         self.text = []
 
@@ -97,14 +105,17 @@ class Lines(HTMLParser):
             self.text.append(" ")
         if tag in VOID:
             return
-        out, marks = self.stack[-1][2:] if self.stack else (False, ())
-        self.n += 1
+        above, out, mark = self.stack[-1][1:] if self.stack else (0, False, 0)
+        n = len(self.kinds)
         if tag == "main":
-            marks = ()
+            mark = 0
         elif self.marked(tag, dict(attrs)):
-            marks = (*marks, self.n)
-        self.stack.append((tag, self.n, out or tag in SKIPPED, marks))
-        self.kinds[self.n] = tag
+            self.mark_up[n] = mark
+            mark = n
+        self.stack.append((tag, n, out or tag in SKIPPED, mark))
+        self.open[tag] += 1
+        self.kinds.append(tag)
+        self.up.append(above)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -119,7 +130,7 @@ class Lines(HTMLParser):
         if tag == "form" or "hidden" in attrs or attrs.get("aria-hidden") == "true":
             return True
         if tag == "header":                        # a page's header; an article's own holds its title
-            return not any(x[0] in ("article", "main") for x in self.stack)
+            return not (self.open["article"] or self.open["main"])
         if (attrs.get("role") or "").lower() in ROLES:
             return True
         if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
@@ -127,8 +138,11 @@ class Lines(HTMLParser):
         return any(NAMES.search(attrs.get(k) or "") for k in ("class", "id"))
 
     def end(self, tag: str, stop: frozenset) -> None:
+        if not self.open[tag]:
+            return
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i][0] == tag:
+                self.open.subtract(x[0] for x in self.stack[i:])
                 del self.stack[i:]
                 return
             if self.stack[i][0] in stop:
@@ -173,20 +187,56 @@ def threshold(x: np.ndarray) -> float:
     return float(cut)
 
 
-def left(lines: list[tuple]) -> list[bool]:
-    """Whether each line is neither left out nor in a marked container that is heeded."""
+def inside(parser: Lines, chosen: set[int]) -> list[bool]:
+    """Whether each container is one of ``chosen`` or lies in one."""
+    out = [False] * len(parser.up)
+    for k in range(1, len(out)):
+        out[k] = k in chosen or out[parser.up[k]]
+    return out
+
+
+def within(parser: Lines, *tags: str) -> list[bool]:
+    return inside(parser, {k for k, tag in enumerate(parser.kinds) if tag in tags})
+
+
+def left(parser: Lines) -> list[bool]:
+    """Whether each line is neither left out nor in a marked container that is heeded.
+
+    Where an article or main element has text outside of marked containers, all
+    marks hold: comments and forms stay out however long they are.  Else marks
+    are hints, and the widest ones are not heeded until a part of the text is left.
+    """
+    lines, named = parser.lines, within(parser, "article", "main")
+    if any(named[at] and not out and not mark for _, _, at, out, mark in lines):
+        return [not out and not mark for *_, out, mark in lines]
     total = sum(len(t) for t, _, _, out, _ in lines if not out)
-    unheeded: set[int] = set()
-    while True:
-        by = [next((k for k in marks if k not in unheeded), 0) for *_, marks in lines]
-        mass: dict[int, int] = {}
-        for (t, _, _, out, _), k in zip(lines, by):
-            if not out:
-                mass[k] = mass.get(k, 0) + len(t)
-        if mass.get(0, 0) >= LEAST_LEFT * total:
-            return [not line[3] and not k for line, k in zip(lines, by)]
-        most = max(m for k, m in mass.items() if k)
-        unheeded |= {k for k, m in mass.items() if k and 2 * m >= most}
+    own: Counter[int] = Counter()                  # text by innermost marked container, then with those inside it
+    for t, _, _, out, mark in lines:
+        own[mark] += 0 if out else len(t)
+    mass, under = Counter(own), {}
+    for k in sorted(parser.mark_up, reverse=True):
+        above = parser.mark_up[k]
+        if above:
+            mass[above] += mass[k]
+        under.setdefault(above, []).append(k)
+    shown, unheeded = own[0], {0}
+    outermost = [(-mass[k], k) for k in under.get(0, []) if mass[k]]
+    heapq.heapify(outermost)
+    while shown < LEAST_LEFT * total and outermost:
+        most, opened = outermost[0][0], []
+        while outermost and 2 * outermost[0][0] <= most:
+            opened.append(heapq.heappop(outermost)[1])
+        for k in opened:
+            unheeded.add(k)
+            shown += own[k]
+            for x in under.get(k, []):
+                if mass[x]:
+                    heapq.heappush(outermost, (-mass[x], x))
+    open_ = {0}                                    # those in which no mark is heeded
+    for k, above in parser.mark_up.items():
+        if k in unheeded and above in open_:
+            open_.add(k)
+    return [not out and mark in open_ for *_, out, mark in lines]
 
 
 def main_text(html: str | None, sigma: float = 1.0, step: int = 1 << 16) -> str:
@@ -199,7 +249,7 @@ def main_text(html: str | None, sigma: float = 1.0, step: int = 1 << 16) -> str:
     parser.close()
     parser.line()
     lines = parser.lines
-    shown = left(lines)
+    shown = left(parser)
     ratio = np.array([np.log1p(len(line[0]) / line[1]) if ok else 0.0 for line, ok in zip(lines, shown)])
     if not len(ratio) or not ratio.any():
         return ""
@@ -208,24 +258,26 @@ def main_text(html: str | None, sigma: float = 1.0, step: int = 1 << 16) -> str:
     low = ~high & (ratio > 0)
     if not high.any() or (low.any() and smoothed[high].mean() - smoothed[low].mean() < np.log(LEAST_APART)):
         high = ratio > 0                           # one cluster
-    # Text of the content regions by container.
-    mass: dict[int, int] = {}
+    # Text of the content regions by container, added up from the innermost.
+    mass = [0] * len(parser.up)
+    in_article, in_main = within(parser, "article"), within(parser, "main")
     total = held = 0
     loose = False                                  # a region in a main element, outside its articles
-    for line, hit in zip(lines, high):
+    for (text, _, at, *_), hit in zip(lines, high):
         if hit:
-            total += len(line[0])
-            for k in line[2]:
-                mass[k] = mass.get(k, 0) + len(line[0])
-            kinds = {parser.kinds[k] for k in line[2]}
-            held += len(line[0]) * bool(kinds & {"article", "main"})
-            loose |= "main" in kinds and "article" not in kinds
+            total += len(text)
+            mass[at] += len(text)
+            held += len(text) * (in_article[at] or in_main[at])
+            loose |= in_main[at] and not in_article[at]
+    for k in range(len(mass) - 1, 0, -1):
+        mass[parser.up[k]] += mass[k]
     if held and held >= LEAST_NAMED * total:
-        chosen = {k for k, tag in parser.kinds.items() if tag == "article" or (loose and tag == "main")}
+        chosen = {k for k, tag in enumerate(parser.kinds) if tag == "article" or (loose and tag == "main")}
     else:
-        whole = [k for k, m in mass.items() if m == total]
+        whole = [k for k in range(1, len(mass)) if mass[k] == total]
         chosen = {max(whole)} if whole else set()
-    return "\n".join(line[0] for line, ok in zip(lines, shown) if ok and (not chosen or chosen.intersection(line[2])))
+    held_by = inside(parser, chosen)
+    return "\n".join(line[0] for line, ok in zip(lines, shown) if ok and (not chosen or held_by[line[2]]))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -284,3 +284,18 @@ def test_redact_keeps_clashing_columns(spark, docs_of):
     got = pii.redact(docs)
     assert got.columns == docs.columns
     assert [(r.text, r.n_chars, r.x_masked) for r in got.orderBy("doc_id").collect()] == [("mail <EMAIL> now", 16, "x"), (None, None, "x")]
+
+
+@pytest.mark.parametrize("beside", ['<div class="comments"><p>{}</p></div>', "<form><p>{}</p></form>"])
+def test_long_comments_and_forms_stay_out(beside):
+    page = "<body><article><p>One line of an article.</p></article>" + beside.format("words of a reader " * 100) + "</body>"
+    assert html_text.main_text(page) == "One line of an article."
+
+
+@pytest.mark.parametrize("page", [
+    "<div>" * 50_000 + "<p>word</p>" * 50_000, "<div class=sidebar>" * 50_000 + "<p>word" * 50_000,
+    "<div>" * 50_000 + "</section>" * 50_000 + "text", "<p>word <b>bold</b></p>" * 100_000])
+def test_deep_pages_take_linear_time(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 20
