@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+from pyspark.sql import functions as F
 
 from chainstar.sources.files import require_not_null
 
@@ -51,6 +52,27 @@ def write_table(df: DataFrame, name: str | None = None, path: str | None = None,
         raise ValueError("give a table name or a path")
 
 
+def write_checked(df: DataFrame, grain: Sequence[str], not_null: Sequence[str] = (),
+                  rules: Mapping[str, Column] | None = None, **target) -> dict[str, int]:
+    """E6 on write: ``write_table(df, **target)``, counting in the same job what breaks the model's rules.
+
+    Returns ``rows``, ``grain`` (rows beyond the first of their key), ``null:<column>`` and one
+    count per entry of ``rules`` (rows where the condition is false; NULL passes, as
+    in a SQL check constraint).  The counts are observed while rows are written, so nothing is
+    read again; the key's check costs a shuffle only where ``df`` is not yet
+    dealt by it.  Broken rows are written all the same: the caller decides.
+    """
+    columns = df.columns
+    repeat = F.row_number().over(Window.partitionBy(*grain).orderBy(*grain)) > 1
+    counts = {"rows": F.count(F.lit(1)), "grain": F.count_if("__repeat")}
+    counts |= {f"null:{c}": F.count_if(F.col(c).isNull()) for c in not_null}
+    counts |= {name: F.count_if(~ok) for name, ok in (rules or {}).items()}
+    seen = Observation()
+    checked = df.withColumn("__repeat", repeat).observe(seen, *[n.alias(name) for name, n in counts.items()])
+    write_table(checked.select(*columns), **target)
+    return seen.get
+
+
 def insert_declared(df: DataFrame, name: str, columns: Sequence[tuple[str, str, bool]],
                     path: str | None = None) -> DataFrame:
     """K4: create table ``name`` with declared ``columns`` (name, SQL type, not null), insert
@@ -83,6 +105,6 @@ def drop_partitions(spark: SparkSession, path: str, column: str, values: Sequenc
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:
-    """K2: a view recomputed on every read (session scoped)."""
+    """K2: a view of this session, recomputed on every read (``plans.views`` makes lasting ones)."""
     df.createOrReplaceTempView(name.replace(".", "__"))
     return df

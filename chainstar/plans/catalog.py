@@ -20,12 +20,13 @@ from chainstar.operators.preview import preview
 from chainstar.operators.quality import broken_links, duplicate_keys, orphan_keys, stale_heights
 from chainstar.operators.sinks import insert_declared, write_table
 from chainstar.plans import dims, extensions, facts, orders_star
-from chainstar.plans.marts import Marts, build, descendants
+from chainstar.plans.marts import GRAIN, RULES, Marts, build, checked_build, descendants
+from chainstar.plans.views import READS, create_lasting_view, drop_model
 from chainstar.session import checkpoint_dir
 from chainstar.sources import schemas
 from chainstar.sources.files import load_csv
 from chainstar.sources.standins import forked_block_from_events, load_sources, read_table
-from chainstar.streaming.block_feed import run_block_feed
+from chainstar.streaming.block_feed import deliver_final_days, final_days, run_block_feed
 
 # The run timestamp of registered builds (audit column of rows whose source
 # has no load time); a literal keeps reruns repeatable.
@@ -342,6 +343,17 @@ def e7_stream_network_1d(spark, sf_dir):
     return spark.read.parquet(f"{base}/fact").drop("day")
 
 
+@register("e7_final_days", O.FINAL_DAYS)
+def e7_final_days(spark, sf_dir):
+    """Two deliveries; days past the watermark are final, written once in append mode, and rows too late
+    for them are kept aside.  (Re-deliveries in time are copies of blocks already counted.)"""
+    base = _scratch(spark, "e7f")
+    for folder, rows in zip(("1-first", "2-late"), _deliveries(load_sources(spark, sf_dir)["block"])):
+        rows.write.parquet(f"{base}/feed/{folder}")
+        deliver_final_days(spark, f"{base}/feed/*", base)
+    return final_days(spark, base)
+
+
 # -- written and read back (K1, K3, S1-S4 and S8 as CSV, E6) -----------------------------------
 
 @register("k1_built_network", O.select_from("fact_network"))
@@ -387,6 +399,49 @@ def k3_built_obt_pool(spark, sf_dir):
     return build(marts(spark, sf_dir), _scratch(spark, "k3"), names, obt_as_view=False)[names[-1]]
 
 
+def _lasting(spark, sf_dir, *names):
+    """K1, K2: the tables that the views ``names`` read, written to the catalog, and the views."""
+    tables = {t for name in names for t in READS[name]}
+    build(marts(spark, sf_dir), _scratch(spark, "k2"), tables, use_catalog=True)
+    for name in names:
+        create_lasting_view(spark, name, strict=False)
+
+
+@register("k2_view_obt_block", O.select_from("obt_block"))
+def k2_view_obt_block(spark, sf_dir):
+    """K2, K5: ``obt.block`` as a lasting view of the catalog."""
+    _lasting(spark, sf_dir, "obt.block")
+    return spark.table("obt.block")
+
+
+@register("k2_view_obt_network", O.select_from("obt_network"))
+def k2_view_obt_network(spark, sf_dir):
+    """K2: ``obt.network_stats_1d`` as a lasting view, its measures computed on each read."""
+    _lasting(spark, sf_dir, "obt.network_stats_1d")
+    return spark.table("obt.network_stats_1d")
+
+
+@register("k6_view_obt_pool", O.select_from("obt_pool"))
+def k6_view_obt_pool(spark, sf_dir):
+    """K2, K6: ``fact.price_1d`` is dropped with the views that read it, written again, and they are
+    made anew; ``obt.pool_stats_1d`` is read."""
+    _lasting(spark, sf_dir, "obt.network_stats_1d", "obt.pool_stats_1d")
+    dropped = drop_model(spark, "fact.price_1d", cascade=True)
+    build(marts(spark, sf_dir), _scratch(spark, "k6"), ["fact.price_1d"], use_catalog=True)
+    for view in dropped[:-1]:
+        create_lasting_view(spark, view, strict=False)
+    return spark.table("obt.pool_stats_1d")
+
+
+@register("e6_checked_writes", O.checked_writes(GRAIN, RULES))
+def e6_checked_writes(spark, sf_dir):
+    """Rows written of every model and how many break each of its rules, observed during the writes
+    (G10: the default pool's rows repeat the stated grain of the pool tables)."""
+    counts = checked_build(marts(spark, sf_dir), _scratch(spark, "e6"))
+    rows = [(model, rule, n) for model, found in counts.items() for rule, n in found.items()]
+    return spark.createDataFrame(rows, "model string, rule string, row_count long")
+
+
 @register("k6_rebuild_after_price", O.select_from("obt_network"))
 def k6_rebuild_after_price(spark, sf_dir):
     """K6: what a new price source makes stale is rebuilt, in DAG order, and read back."""

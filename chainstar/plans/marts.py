@@ -21,11 +21,12 @@ from collections.abc import Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from chainstar.operators.chain import without_stale
 from chainstar.operators.preview import PREVIEW_ROWS, preview
-from chainstar.operators.sinks import create_view, write_table
-from chainstar.plans import dims, facts, obts
+from chainstar.operators.sinks import create_view, write_checked, write_table
+from chainstar.plans import dims, facts, obts, views
 
 DAG: dict[str, tuple[str, ...]] = {
     "dim.date": (),
@@ -50,6 +51,15 @@ GRAIN = {
     "obt.pool_stats_1d": ["date_id", "pool_id"],
 }
 
+# Conditions that rows of a model meet, counted as it is written.
+RULES = {
+    "fact.price_1d": {"low_to_high": "price_low <= price_high"},
+    "fact.block": {"reward_is_sum": "reward_mining = reward_subsidy + reward_tx_fee_sum", "tx_count_positive": "tx_count > 0"},
+    "fact.network_stats_1d": {"heights_ordered": "blockheight_first <= blockheight_last",
+                              "pools_within_blocks": "pool_count <= block_count"},
+    "fact.pool_stats_1d": {"heights_ordered": "blockheight_first <= blockheight_last"},
+}
+
 # Sort order inside written files (K4): min/max statistics then prune reads
 # that filter on these columns.
 SORT_WITHIN = {"dim.date": ["date_id"], "fact.block": ["date_id", "blockheight"],
@@ -202,7 +212,8 @@ def build(marts: Marts, base_path: str, names: Iterable[str] | None = None,
     models.  Dims and facts are written as Parquet (full rebuild); each one
     read back replaces its plan, so downstream models read the table, not
     the lineage (which also bounds recomputation after executor loss).
-    OBTs become views (K2) unless ``obt_as_view=False`` (K3).
+    OBTs become views (K2) unless ``obt_as_view=False`` (K3): lasting views of the catalog
+    where all the tables they read are written to it here, else views of the session.
     With ``block_buckets`` and ``use_catalog`` both block tables are bucketed
     by ``block_id`` so that ``obt.block`` joins them without a shuffle.
     """
@@ -217,10 +228,13 @@ def build(marts: Marts, base_path: str, names: Iterable[str] | None = None,
         write_table(marts.blocks, path=stage_path)
         marts.reuse("stage.block", spark.read.parquet(stage_path))
     for name in wanted:
-        df = marts[name]
         if name.startswith("obt.") and obt_as_view:
-            out[name] = create_view(df, name)
+            if use_catalog and set(DAG[name]) <= set(out):
+                out[name] = views.create_lasting_view(spark, name, marts.strict)
+            else:
+                out[name] = create_view(marts[name], name)
             continue
+        df = marts[name]
         path = f"{base_path.rstrip('/')}/{name.replace('.', '/')}"
         bucket = None
         if block_buckets and use_catalog and name in ("fact.block", "dim.block"):
@@ -236,3 +250,20 @@ def build(marts: Marts, base_path: str, names: Iterable[str] | None = None,
         marts.reuse(name, table)
         out[name] = table
     return out
+
+
+def checked_build(marts: Marts, base_path: str) -> dict[str, dict[str, int]]:
+    """E6 on write: every model but the generated calendar is written under ``base_path`` in DAG
+    order, and counts of its rows and of what breaks its rules come from the writes' own jobs."""
+    spark, base = marts.spark, base_path.rstrip("/")
+    write_table(marts.blocks, path=f"{base}/stage/block")
+    marts.reuse("stage.block", spark.read.parquet(f"{base}/stage/block"))
+    out = {}
+    for name in DAG:
+        if name == "dim.date":
+            continue
+        df, path = marts[name], f"{base}/{name.replace('.', '/')}"
+        rules = {rule: F.expr(ok) for rule, ok in RULES.get(name, {}).items()}
+        out[name] = write_checked(df, GRAIN[name], GRAIN[name], rules, path=path)
+        marts.reuse(name, spark.read.schema(df.schema).parquet(path))
+    return out

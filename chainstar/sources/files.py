@@ -1,7 +1,7 @@
 """Strict typed loads.
 
 The reference copies CSV files into declared tables: header skipped, fixed
-column list and types, an unquoted empty field is NULL, a malformed row
+column list and types, an unquoted empty field is NULL (a quoted one is an empty text), a malformed row
 aborts the load, ``not null`` columns reject NULLs.  Spark's CSV reader does
 the first four with an explicit schema and ``FAILFAST``; it does not enforce
 ``nullable=False``, so ``require_not_null`` adds that contract.
@@ -17,6 +17,8 @@ from pyspark.sql.types import StructType
 
 from chainstar.sources.schemas import required_columns
 
+NO_VALUE = "\x01"   # stands for an unquoted empty field while a row is parsed; such files hold no control characters
+
 
 def load_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
              enforce_not_null: bool = True) -> DataFrame:
@@ -25,7 +27,8 @@ def load_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType,
           .option("header", True)
           .option("mode", "FAILFAST")
           .option("enforceSchema", False)   # header names must match the schema
-          .option("nullValue", "")
+          .option("nullValue", NO_VALUE)
+          .option("emptyValue", "")         # a quoted empty field
           .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
           .csv(path))
     return require_not_null(df, required_columns(schema)) if enforce_not_null else df
