@@ -11,7 +11,9 @@ from chainstar.plans.dims import calendar
 
 @pytest.fixture(scope="module")
 def cal(spark):
-    return calendar(spark).persist()
+    cal = calendar(spark).persist()
+    yield cal
+    cal.unpersist()      # else later tests' plans would read it from memory
 
 
 def test_shape(cal):
