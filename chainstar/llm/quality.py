@@ -30,9 +30,30 @@ NOISE = r"[#*$%&|<>~^=_{}]"
 SEPARATOR = r"[|»›·•]"
 SHOUT = r"[!?][!?]+"
 TERMINAL = r"""[.!?…:;"'”’»)\]]$"""
-BOILERPLATE = (r"(?i)(all rights reserved|copyright|terms of (use|service)|privacy policy|cookie|subscribe|"
-               r"sign up|log in|click here|read more|share this|follow us|powered by|javascript|lorem ipsum|"
-               r"licensed under|spdx-license|permission is hereby granted|without warranty)")
+# Phrases of notices and controls, not single words that prose uses too, by language.
+BOILERPLATE = "(?i)(" + "|".join([
+    # English
+    r"all rights reserved", r"(copyright|©) *(\(c\)|©)? *[0-9]{4}", r"terms of (use|service)", r"privacy policy",
+    r"(use|uses|using|accept|enable|use of) cookies", r"cookie (policy|settings|preferences|notice)",
+    r"subscribe (now|today|here|to our)", r"sign up (now|today|here|for our|to our)", r"(sign|log) in to your",
+    r"click here", r"read more", r"share this", r"follow us", r"^powered by", r"(enable|requires) javascript",
+    r"javascript (is|must be) (disabled|enabled|required)", r"lorem ipsum", r"licensed under", r"spdx-license",
+    r"permission is hereby granted", r"without warranty",
+    # German
+    r"alle rechte vorbehalten", r"datenschutzerklärung", r"nutzungsbedingungen", r"(verwendet|verwenden|akzeptieren) cookies",
+    r"cookies (akzeptieren|zulassen)", r"newsletter abonnieren", r"jetzt (abonnieren|anmelden|registrieren)",
+    r"hier klicken", r"klicken sie hier", r"folgen sie uns", r"(artikel|beitrag) teilen",
+    # French
+    r"tous droits réservés", r"mentions légales", r"politique de confidentialité", r"conditions (générales )?d['’]utilisation",
+    r"(utilise|accepter) (des|les) cookies", r"abonnez-vous", r"inscrivez-vous", r"cliquez ici", r"lire la suite",
+    r"suivez-nous", r"partager cet article",
+    # Spanish
+    r"todos los derechos reservados", r"aviso legal", r"política de (privacidad|cookies)", r"términos (de uso|y condiciones)",
+    r"(utiliza|aceptar) (las )?cookies", r"suscríbete", r"ha(z|ga) clic aquí", r"leer más", r"síguenos", r"comparte este artículo",
+    # Russian
+    r"все права защищены", r"политика конфиденциальности", r"пользовательское соглашение", r"подпишитесь на",
+    r"нажмите здесь", r"читать далее",
+]) + ")"
 NOISE_PERCENT = 8          # symbols of a line's characters
 SEPARATOR_PERCENT = 20     # separators of a line's words
 SHOUT_PERCENT = 25         # words with runs of ! or ?

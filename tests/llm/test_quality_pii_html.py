@@ -38,7 +38,15 @@ def test_base_figures(text):
     (GOOD.strip(), None), ("Home | About | News | Contact", "noise"), ("Home · About · News", "navigation"),
     ("BUY!! NOW!! CHEAP!! PILLS!!", "shouting"), ("READ THIS ALL NOW.", "shouting"), ("Contact", "navigation"),
     ("Licensed under the Apache License, Version 2.0.", "boilerplate"), ("All rights reserved.", "boilerplate"),
-    ("a### b### c###", "noise"), ("He said so.", None)])
+    ("a### b### c###", "noise"), ("He said so.", None),
+    # Words of notices in plain prose stay; the notices themselves go, in each language of the corpus.
+    ("My grandmother baked one cookie for each of us on Sundays.", None),
+    ("JavaScript closures capture variables, not values.", None), ("Copyright law is older than the printing press.", None),
+    ("The ship was powered by two diesel engines.", None), ("Few readers subscribe to that theory.", None),
+    ("We use cookies to improve your visit.", "boilerplate"), ("Please enable JavaScript to go on reading.", "boilerplate"),
+    ("Copyright © 2019 by the authors of this page.", "boilerplate"), ("Alle Rechte vorbehalten, auch für Bilder.", "boilerplate"),
+    ("Ce site utilise des cookies pour votre confort.", "boilerplate"), ("Todos los derechos reservados por la editorial.", "boilerplate"),
+    ("ВСЕ ПРАВА ЗАЩИЩЕНЫ, копирование запрещено законом.", "boilerplate")])
 def test_line_rules(line, fault):
     assert line_fault(line) == fault
 
