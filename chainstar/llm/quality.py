@@ -30,8 +30,8 @@ NOISE = r"[#*$%&|<>~^=_{}]"
 SEPARATOR = r"[|»›·•]"
 SHOUT = r"[!?][!?]+"
 TERMINAL = r"""[.!?…:;"'”’»)\]]$"""
-# Phrases of notices and controls, not single words that prose uses too, by language.
-BOILERPLATE = "(?i)(" + "|".join([
+# Phrases of notices and controls, not single words that prose uses too, by language; sought in the lower-cased line.
+BOILERPLATE = "(" + "|".join([
     # English
     r"all rights reserved", r"(copyright|©) *(\(c\)|©)? *[0-9]{4}", r"terms of (use|service)", r"privacy policy",
     r"(use|uses|using|accept|enable|use of) cookies", r"cookie (policy|settings|preferences|notice)",
@@ -81,7 +81,7 @@ def line_fault(line: str) -> str | None:
         return "shouting"
     if n <= NAV_WORDS and not _TERM.search(line):
         return "navigation"
-    if n <= BOILER_WORDS and _BOILER.search(line):
+    if n <= BOILER_WORDS and _BOILER.search(line.lower()):
         return "boilerplate"
     return None
 

@@ -29,7 +29,7 @@ j AS (SELECT *, len(s) AS n_s, len(regexp_extract_all(s, '[^\\x20\\x09-\\x0D]+')
              len(regexp_extract_all(s, {_text(q.SEPARATOR)})) AS sep,
              len(regexp_extract_all(s, {_text(q.SHOUT)})) AS shout,
              len(regexp_extract_all(s, '[A-Z]')) AS caps, len(regexp_extract_all(s, '[A-Za-z]')) AS letters,
-             regexp_matches(s, {_text(q.TERMINAL)}) AS ends, regexp_matches(s, {_text(q.BOILERPLATE)}) AS boiler,
+             regexp_matches(s, {_text(q.TERMINAL)}) AS ends, regexp_matches(lower(s), {_text(q.BOILERPLATE)}) AS boiler,
              row_number() OVER (PARTITION BY doc_id, raw ORDER BY i) > 1 AS again
       FROM m WHERE s <> ''),
 f AS (SELECT doc_id, sum(n_s) AS line_chars, sum(again::INT) AS n_dup_lines,
