@@ -136,7 +136,7 @@ def test_every_operator_is_registered():
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations", "labels", "pages"):
+    for t in ("documents", "conversations", "labels", "pages", "benchmark", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     cur = con.execute(queries.ORACLE[name])
