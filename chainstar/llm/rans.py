@@ -63,71 +63,128 @@ class Coder:
         return self._slots
 
     def encode(self, ids: np.ndarray, lanes: int = LANES, every: int = EVERY) -> bytes:
-        ids = np.ascontiguousarray(ids, dtype="<u4")
-        n = len(ids)
+        return self.encode_all([ids], lanes, every)[0]
+
+    def encode_all(self, blocks: list[np.ndarray], lanes: int = LANES, every: int = EVERY) -> list[bytes]:
+        """Every array of ids as a block of its own; step t is taken in all blocks at once."""
+        blocks = [np.ascontiguousarray(x, dtype="<u4") for x in blocks]
+        order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))     # blocks still live are the first ones
+        n = np.array([len(blocks[i]) for i in order], dtype=np.int64)
         steps = -(-n // lanes)
-        state = np.full(lanes, LOW, dtype=np.uint64)
-        top = np.uint64(63) - self.bits
+        row0 = np.cumsum(steps) - steps
+        rows = np.zeros((int(steps.sum()), lanes), dtype="<u4")
+        flat = rows.reshape(-1)
+        for i, at, k in zip(order, row0 * lanes, steps * lanes):
+            flat[at:at + len(blocks[i])] = blocks[i]
+            flat[at + len(blocks[i]):at + k] = blocks[i][:1]         # an id of the table; never coded
+        state = np.full((len(blocks), lanes), LOW, dtype=np.uint64)
+        top, half = np.uint64(63) - self.bits, np.uint64(32)
+        sent = np.zeros(len(blocks), dtype=np.int64)                # words emitted so far
         words: list[np.ndarray] = []
-        marks: list[tuple[int, np.ndarray]] = []    # (words emitted so far, states)
-        sent = 0
-        for t in range(steps - 1, -1, -1):
-            s = ids[t * lanes:(t + 1) * lanes]
-            f, a, x = self.freq[s], self.first[s], state[:len(s)]
+        owners: list[np.ndarray] = []
+        number = np.min_scalar_type(len(blocks))
+        marks: list[list[tuple[int, bytes]]] = [[] for _ in blocks]    # (words emitted so far, states)
+        for t in range(int(steps.max(initial=0)) - 1, -1, -1):
+            k = int(np.searchsorted(-steps, -t))                       # blocks with more than t steps
+            s, x = rows[row0[:k] + t], state[:k]
+            f = self.freq[s]
             if not f.all():
                 raise ValueError("an id outside the frequency table")
+            real = None if n[k - 1] >= (t + 1) * lanes else t * lanes + np.arange(lanes) < n[:k, None]
             full = x >= (f << top)
-            if full.any():
-                out = (x[full] & np.uint64(0xFFFFFFFF)).astype("<u4")
-                words.append(out)
-                sent += len(out)
-                x = np.where(full, x >> np.uint64(32), x)
-            q = x // f
-            state[:len(s)] = (q << self.bits) + (x - q * f) + a
+            if real is not None:
+                full &= real
+            emitted = full.sum(axis=1)
+            words.append((x[full] & np.uint64(0xFFFFFFFF)).astype("<u4"))
+            owners.append(np.repeat(np.arange(k, dtype=number), emitted))
+            sent[:k] += emitted
+            y = np.where(full, x >> half, x)
+            q = y // f
+            y = (q << self.bits) + (y - q * f) + self.first[s]
+            state[:k] = y if real is None else np.where(real, y, x)
             if t % every == 0:
-                marks.append((sent, state.copy()))
-        body = [struct.pack("<I", sent - at) + x.astype("<u8").tobytes() for at, x in reversed(marks)]
-        body.append(np.concatenate([*reversed(words), np.empty(0, "<u4")]).astype("<u4").tobytes())
-        body = b"".join(body)
-        return _HEAD.pack(b"RNS1", 1, lanes, n, every, sent, len(marks),
-                          zlib.crc32(ids.tobytes()), zlib.crc32(body)) + body
+                for i in range(k):
+                    marks[i].append((int(sent[i]), state[i].astype("<u8").tobytes()))
+        owner = np.concatenate([*reversed(owners), np.empty(0, number)])
+        emitted = np.concatenate([*reversed(words), np.empty(0, "<u4")])[np.argsort(owner, kind="stable")]
+        out = [b""] * len(blocks)
+        for j, (i, end) in enumerate(zip(order, np.cumsum(sent).tolist())):
+            count = int(sent[j])
+            body = b"".join([struct.pack("<I", count - at) + x for at, x in reversed(marks[j])]
+                            + [emitted[end - count:end].astype("<u4").tobytes()])
+            out[i] = _HEAD.pack(b"RNS1", 1, lanes, len(blocks[i]), every, count, len(marks[j]),
+                                zlib.crc32(blocks[i]), zlib.crc32(body)) + body
+        return out
 
     def decode(self, block: bytes) -> np.ndarray:
         """The ids of a block; a ValueError where a checksum differs."""
-        magic, version, lanes, n, every, n_words, n_marks, ids_crc, body_crc = _HEAD.unpack_from(block)
-        body = memoryview(block)[_HEAD.size:]
-        if magic != b"RNS1" or version != 1 or zlib.crc32(body) != body_crc:
-            raise ValueError("not a sound block")
-        size = 4 + 8 * lanes
-        if len(body) != n_marks * size + 4 * n_words:
-            raise ValueError("block of another length")
-        at = np.array([struct.unpack_from("<I", body, i * size)[0] for i in range(n_marks)], dtype=np.int64)
-        state = np.stack([np.frombuffer(body, "<u8", lanes, i * size + 4) for i in range(n_marks)]) \
-            if n_marks else np.empty((0, lanes), np.uint64)
-        ids = self._run(state.astype(np.uint64), at, np.frombuffer(body, "<u4", n_words, n_marks * size),
-                        n, lanes, every)
-        if zlib.crc32(ids.tobytes()) != ids_crc:
-            raise ValueError("ids differ from their checksum")
+        return self.decode_all([block])[0]
+
+    def decode_all(self, blocks: list[bytes]) -> list[np.ndarray]:
+        """The ids of every block; a ValueError where a checksum differs."""
+        heads, alike = [], {}
+        for i, block in enumerate(blocks):
+            if len(block) < _HEAD.size:
+                raise ValueError("not a sound block")
+            magic, version, lanes, n, every, n_words, n_marks, ids_crc, body_crc = _HEAD.unpack_from(block)
+            body = memoryview(block)[_HEAD.size:]
+            if magic != b"RNS1" or version != 1 or not lanes or not every or zlib.crc32(body) != body_crc:
+                raise ValueError("not a sound block")
+            if len(body) != n_marks * (4 + 8 * lanes) + 4 * n_words or n_marks != -(-n // (lanes * every)):
+                raise ValueError("block of another length")
+            heads.append((body, n, n_words, n_marks, ids_crc))
+            alike.setdefault((lanes, every), []).append(i)
+        out: list[np.ndarray] = [np.empty(0, "<u4")] * len(blocks)
+        for (lanes, every), some in alike.items():
+            for i, ids in zip(some, self._run([heads[i] for i in some], lanes, every), strict=True):
+                if zlib.crc32(ids) != heads[i][4]:
+                    raise ValueError("ids differ from their checksum")
+                out[i] = ids
+        return out
+
+    def _run(self, heads, lanes, every) -> list[np.ndarray]:
+        """All parts between checkpoints, of all blocks, side by side: one step of every part at a time."""
+        size, at, left, states, words = 4 + 8 * lanes, [], [], [], []
+        base = 0
+        for body, n, n_words, n_marks, _ in heads:
+            for i in range(n_marks):
+                at.append(base + struct.unpack_from("<I", body, i * size)[0])
+                left.append(min(n - i * every * lanes, every * lanes))
+                states.append(np.frombuffer(body, "<u8", lanes, i * size + 4))
+            words.append(np.frombuffer(body, "<u4", n_words, n_marks * size))
+            base += n_words
+        words = np.concatenate([*words, np.zeros(1, "<u4")]).astype(np.uint64)
+        left = np.array(left, dtype=np.int64)
+        order = np.argsort(-left, kind="stable")                    # parts still live are the first ones
+        at = np.array(at, dtype=np.int64)[order]
+        state = np.stack(states)[order].astype(np.uint64) if states else np.empty((0, lanes), np.uint64)
+        left_in = left[order]
+        steps = -(-int(left.max(initial=0)) // lanes)
+        out = np.zeros((len(at), steps, lanes), dtype="<u4")
+        for t in range(steps):
+            k = int(np.searchsorted(-left_in, -t * lanes))          # parts with more than t steps
+            x = state[:k]
+            low = x & self.mask
+            s = self.slots[low]
+            y = self.freq[s] * (x >> self.bits) + low - self.first[s]
+            need = y < LOW
+            if left_in[k - 1] < (t + 1) * lanes:
+                real = t * lanes + np.arange(lanes) < left_in[:k, None]
+                need &= real
+                s = np.where(real, s, 0)
+                y = np.where(real, y, x)
+            taken = need.sum(axis=1)
+            # The words of a part follow one another, lane by lane.
+            first = np.repeat(at[:k] - (np.cumsum(taken) - taken), taken)
+            y[need] = (y[need] << np.uint64(32)) | words.take(first + np.arange(len(first)), mode="clip")
+            state[:k] = y
+            at[:k] += taken
+            out[:k, t] = s
+        place = np.argsort(order)
+        ids, done = [], 0
+        for _, n, _, n_marks, _ in heads:
+            parts = place[done:done + n_marks]
+            done += n_marks
+            ids.append(np.concatenate([out[p].reshape(-1)[:m] for p, m in zip(parts, left[done - n_marks:done])]
+                                      or [np.empty(0, "<u4")]))
         return ids
-
-    def _run(self, state, at, words, n, lanes, every) -> np.ndarray:
-        """All parts between checkpoints side by side, one step of every part at a time."""
-        steps = -(-n // lanes)
-        out = np.zeros(steps * lanes, dtype="<u4").reshape(steps, lanes)
-        padded = np.append(words, np.uint32(0))
-        for t in range(min(every, steps)):
-            row = t + every * np.arange(len(at))
-            live = row < steps
-            row, x = row[live], state[live]
-            s = self.slots[x & self.mask]
-            y = self.freq[s] * (x >> self.bits) + (x & self.mask) - self.first[s]
-            real = row[:, None] * lanes + np.arange(lanes) < n
-            y = np.where(real, y, x)
-            need = (y < LOW) & real
-            rank = np.cumsum(need, axis=1)
-            take = at[live][:, None] + rank - 1
-            word = padded[np.where(need, take, len(words))].astype(np.uint64)
-            state[live] = np.where(need, (y << np.uint64(32)) | word, y)
-            at[live] += rank[:, -1]
-            out[row] = np.where(real, s, 0)
-        return out.reshape(-1)[:n].copy()

@@ -17,7 +17,6 @@ longer than a block is a block by itself.
 from __future__ import annotations
 
 import zlib
-from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -28,27 +27,32 @@ from pyspark.sql.types import StructType
 
 from chainstar.llm.common import c, map_batches, partition_offsets, slices, task_id, work_dir, written
 from chainstar.llm.rans import Coder, quantise
-from chainstar.llm.tokens import encoder
+from chainstar.llm.tokens import as_binary, by_bytes, encoder, with_end
 
 BLOCK_TOKENS = 1 << 17
+SIDE_BY_SIDE = 16    # blocks encoded or decoded together
 
 
 def tokenised(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id",
               text_col: str = "text") -> DataFrame:
     """(file, pos, x_id, ids): files are ascending ranges of ids, pos is a row's place in its file."""
-    end = int(end_id).to_bytes(4, "little")
     rows = docs.select(c(id_col).alias("x_id"), c(text_col).alias("text"))
     ordered = rows.repartitionByRange(F.asc("x_id")).sortWithinPartitions(F.asc("x_id"))
+    schema = f"file int, pos long, x_id {rows.schema['x_id'].dataType.simpleString()}, ids binary"
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def make():
-        enc, file, pos = encoder(tokenizer), task_id(), count()
-
-        def work(ids, texts):
-            return [[file] * len(ids), [next(pos) for _ in ids], ids, [x + end for x in enc.ids(texts)]]
-        return work
+    def encode(batches):
+        enc, file, pos = encoder(tokenizer), task_id(), 0
+        for batch in batches:
+            for part in by_bytes(batch, 1):
+                n = part.num_rows
+                ids = as_binary(*with_end(*enc.flat(part.column(1)), end_id))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(n, file), type=arrow[0].type), pa.array(np.arange(pos, pos + n)),
+                     part.column(0).cast(arrow[2].type), ids], schema=arrow)
+                pos += n
 
-    kind = rows.schema["x_id"].dataType.simpleString()
-    return map_batches(ordered, make, f"file int, pos long, x_id {kind}, ids binary")
+    return ordered.mapInArrow(encode, schema)
 
 
 def _counts(batches):
@@ -56,8 +60,10 @@ def _counts(batches):
     total = np.zeros(0, dtype=np.int64)
     for batch in batches:
         for part in slices(batch):
-            flat = b"".join(part.column(0).to_pylist())
-            n = np.bincount(np.frombuffer(flat, "<u4"), minlength=len(total))
+            ids = part.column(0)
+            at = np.frombuffer(ids.buffers()[1], np.int32)[ids.offset:ids.offset + len(ids) + 1]
+            flat = np.frombuffer(ids.buffers()[2] or b"", np.uint8)[at[0]:at[-1]].view("<u4")
+            n = np.bincount(flat, minlength=len(total))
             n[:len(total)] += total
             total = n
     used = np.nonzero(total)[0]
@@ -99,14 +105,15 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
 
     def blocks(batches):
         coder = Coder(freq.value)
-        held: list[tuple] = []
-        size = 0
+        held: list[tuple] = []       # the documents of the block to come
+        ready: list[list[tuple]] = []    # whole blocks, encoded side by side
+        size = waiting = 0
 
         def flush():
-            flat = np.frombuffer(b"".join(x[3] for x in held), "<u4")
-            row = ([held[0][0]], [held[0][1]], [[x[2] for x in held]], [[len(x[3]) // 4 for x in held]], [len(flat)],
-                   [coder.encode(flat)])
-            return pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(row, arrow)], schema=arrow)
+            flats = [np.frombuffer(b"".join([x[3] for x in block]), "<u4") for block in ready]
+            cols = ([b[0][0] for b in ready], [b[0][1] for b in ready], [[x[2] for x in b] for b in ready],
+                    [[len(x[3]) // 4 for x in b] for b in ready], [len(x) for x in flats], coder.encode_all(flats))
+            return pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(cols, arrow)], schema=arrow)
 
         for batch in batches:
             for part in slices(batch):
@@ -114,11 +121,16 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
                     n = len(row[3]) // 4
                     # Whole documents that follow one another in one file.
                     if held and ((row[0], row[1]) != (held[-1][0], held[-1][1] + 1) or size + n > block_tokens):
-                        yield flush()
+                        ready.append(held)
+                        waiting += size
                         held, size = [], 0
+                        if len(ready) >= SIDE_BY_SIDE or waiting >= SIDE_BY_SIDE * BLOCK_TOKENS:
+                            yield flush()
+                            ready, waiting = [], 0
                     held.append(row)
                     size += n
         if held:
+            ready.append(held)
             yield flush()
 
     ids.mapInArrow(blocks, schema).write.mode("overwrite").parquet(f"{path}/blocks")
@@ -139,17 +151,17 @@ def read(spark: SparkSession, path: str, id_col: str = "doc_id", with_ids: bool
 
         def work(files, places, doc_ids, sizes, payloads):
             out = []
-            for file, pos, ids, ns, payload in zip(files, places, doc_ids, sizes, payloads):
-                flat, at = coder.decode(payload), 0
+            for file, pos, ids, ns, flat in zip(files, places, doc_ids, sizes, coder.decode_all(payloads)):
+                at = 0
                 for key, n in zip(ids, ns):
-                    part = flat[at:at + n].tobytes()
-                    out.append((file, pos, key, at, n, zlib.crc32(part), part if with_ids else None))
+                    part = flat[at:at + n]
+                    out.append((file, pos, key, at, n, zlib.crc32(part), part.tobytes() if with_ids else None))
                     at += n
             return list(zip(*out)) if out else [[]] * 7
         return work
 
     docs = map_batches(blocks.select("file", "pos", "doc_ids", "sizes", "payload"), make,
-                       f"file int, pos long, x_id {kind}, at long, n_tokens long, ids_crc32 long, ids binary", rows=4)
+                       f"file int, pos long, x_id {kind}, at long, n_tokens long, ids_crc32 long, ids binary", rows=SIDE_BY_SIDE)
     sizes = blocks.select("file", "pos", "n_tokens")
     files = partition_offsets(sizes.groupBy("file").agg(F.sum("n_tokens").alias("n")), "file", "n", "file_start")
     before = Window.partitionBy("file").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)

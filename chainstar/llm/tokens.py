@@ -3,8 +3,12 @@
 A text is cut before each run of ASCII white space.  No pre-token of the two
 public vocabularies crosses such a cut, and what a tokenizer does within a
 chunk does not depend on its neighbours, so a text's ids are the ids of its
-chunks, one after another.  A worker remembers chunks it has seen (bounded);
-a text with any other white space is encoded whole.
+chunks, one after another.  With the two vocabularies known here a chunk also
+ends between an ASCII letter and an ASCII mark other than the apostrophe, which
+no pre-token crosses either.  Arrow and numpy cut the texts of a slice and put
+the ids together; Python sees each different chunk of the slice once.  A
+worker remembers chunks it has seen (bounded); a text with any other white
+space is encoded whole.
 
 A new chunk of plain letters, digits and punctuation is split here into its
 pre-tokens, which go straight to the library's BPE model; any other chunk
@@ -17,11 +21,19 @@ import json
 import re
 import sys
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
-_CHUNK = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+_WHITE = np.zeros(256, dtype=bool)
+_WHITE[[9, 10, 13, 32]] = True
+_IS_LETTER = np.array([n < 128 and chr(n).isalpha() for n in range(256)])
+_IS_MARK = np.array([33 <= n < 127 and not chr(n).isalnum() and n != 39 for n in range(256)])    # not the apostrophe
+_LOWER = np.array([n + 32 if 65 <= n <= 90 else n for n in range(256)], dtype=np.uint8)
 _OTHER_SPACES = [chr(n) for n in range(0x3001) if chr(n).isspace() and chr(n) not in " \t\n\r"]
-_THREE_SPACES = re.compile(r"[ \n]{3}")
 _LONG = 64            # longer chunks are not remembered
 _ENCODERS: dict = {}  # per Python worker
 assert array("I").itemsize == 4 and sys.byteorder == "little"
@@ -53,31 +65,29 @@ def _parts_of(path: str) -> tuple[re.Pattern | None, bool]:
     return None, False
 
 
-def _key(chunk: str) -> str:
-    """A chunk's key: one leading space is implied; other beginnings are told by a line feed or, first, a return."""
-    if chunk[0] == " " and chunk[1:2] not in ("\n", "\r"):
-        return chunk[1:]
-    return chunk if chunk[0] == "\n" else "\r" + chunk
-
+def _cuts(data: np.ndarray, starts: np.ndarray, marks: bool) -> np.ndarray:
+    """Where the chunks of the texts in ``data`` (UTF-8 bytes) begin; ``starts``: where the texts begin;
+    ``marks``: also cut between a letter and a mark."""
+    white = _WHITE[data]
+    first = white.copy()
+    first[1:] &= ~white[:-1]
+    if marks:
+        first[1:] |= _IS_LETTER[data[:-1]] & _IS_MARK[data[1:]]
+    first[starts[starts < len(data)]] = True
+    return np.flatnonzero(first).astype(np.int32)
 
-def _chunk(key: str) -> str:
-    return key[1:] if key[:1] == "\r" else key if key[:1] == "\n" else " " + key
 
-
-def _keys(text: str) -> list[str] | None:
-    """The keys of a text's chunks; None for a text that is encoded whole."""
-    if any(x in text for x in _OTHER_SPACES):
-        return None
-    pairs = "\n\n" in text or "  " in text or " \n" in text or "\n " in text
-    if "\t" in text or "\r" in text or text[-1:] in (" ", "\n") or pairs and _THREE_SPACES.search(text):
-        return [_key(x) for x in _CHUNK.findall(text)]
-    # Of two white space characters before a word, the first is a chunk alone.
-    first, *rest = text.replace("\n", " \n").split(" ")
-    return ["\r" + first, *rest] if first else rest
+def _lowered(data: np.ndarray) -> np.ndarray:
+    """A-Z in lower case, but for one before another byte than ASCII: a combining mark would first join it."""
+    alone = np.append(data[1:] < 128, True)
+    return np.where(alone, _LOWER[data], data)
 
 
 class Encoder:
-    """``ids(texts)`` gives each text's ids as little-endian unsigned 32-bit bytes.
+    """``flat(texts)`` gives the ids of an Arrow array of texts in one array, ``ids(texts)`` each
+    text's ids as little-endian unsigned 32-bit bytes.
+
+    Arrow finds the different chunks of a call, so that Python looks up each of them once.
 
     At most ``most`` chunks are remembered, in two generations: when the young
     one is full it becomes the old one, and what is met again moves back.
@@ -90,6 +100,7 @@ class Encoder:
         self.model = self.tok.model
         # A text with the name of an added token goes to the library whole: the name becomes the token's id there.
         self.names = tuple({x.content for x in self.tok.get_added_tokens_decoder().values()})
+        self.whole = "|".join([re.escape(x) for x in self.names] + [f"[{''.join(_OTHER_SPACES)}]"])
         self.parts, self.lower = _parts_of(path)
         self.part = lru_cache(maxsize=1 << 16)(self._part)
         self.young: dict[str, bytes] = {}
@@ -110,17 +121,15 @@ class Encoder:
             return self._shown(part.replace(" ", _SPACE).replace("\n", _LINE_FEED))
         return self._shown(part.encode().decode("latin-1").translate(_BYTES))
 
-    def _chunks(self, keys: list[str]) -> list[bytes]:
+    def _chunks(self, chunks: list[str]) -> list[bytes]:
         if not self.parts:
-            return self._encode([_chunk(k) for k in keys])
+            return self._encode(chunks)
         out, odd = [], []
-        for key in keys:
-            if key.isascii() and key.isalpha():      # a single pre-token
-                out.append(self._shown(key.lower() if self.lower else _SPACE + key))
-                continue
-            chunk = _chunk(key)
+        for chunk in chunks:
             plain = chunk.lower() if self.lower else chunk
-            if _PLAIN.fullmatch(plain):
+            if chunk[0] == " " and chunk.isascii() and chunk[1:].isalpha():      # a single pre-token
+                out.append(self._shown(plain[1:] if self.lower else _SPACE + plain[1:]))
+            elif _PLAIN.fullmatch(plain):
                 out.append(b"".join([self.part(x) for x in self.parts.findall(plain)]))
             else:
                 odd.append((len(out), chunk))
@@ -129,25 +138,91 @@ class Encoder:
             out[i] = ids
         return out
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        texts = [t or "" for t in texts]
-        keys = [None if any(x in t for x in self.names) else _keys(t) for t in texts]
+    def _known(self, chunks: list[str]) -> list[bytes]:
+        """The ids of different chunks, remembered or new."""
         if len(self.young) > self.most // 2:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
-        found = [x and list(map(young.get, x)) for x in keys]
-        new = {k for x, got in zip(keys, found) if x for k, ids in zip(x, got) if ids is None}
-        again = new.intersection(old)
-        young.update(zip(again, map(old.__getitem__, again)))
-        new = list(new.difference(again))
-        young.update(zip(new, self._chunks(new)))
-        out = [self._encode([t])[0] if x is None else
-               b"".join([young[k] if ids is None else ids for k, ids in zip(x, got)])
-               for t, x, got in zip(texts, keys, found)]
-        for k in new:
-            if len(k) > _LONG:                 # rare and large: not remembered
-                del young[k]
-        return out
+        got = list(map(young.get, chunks))
+        missing = [i for i, ids in enumerate(got) if ids is None]
+        new = []
+        for i in missing:
+            ids = got[i] = old.get(chunks[i])
+            if ids is None:
+                new.append(i)
+            else:
+                young[chunks[i]] = ids
+        for i, ids in zip(new, self._chunks([chunks[i] for i in new])):
+            got[i] = ids
+            if len(chunks[i]) <= _LONG:          # others are rare and large
+                young[chunks[i]] = ids
+        return got
+
+    def _joined(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """``flat`` of texts without nulls whose chunks do not depend on each other."""
+        at = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1]
+        data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[at[0]:at[-1]]
+        at = at - at[0]
+        cuts = _cuts(data, at[:-1], self.parts is not None)
+        if self.lower:
+            data = _lowered(data)
+        bounds = np.append(cuts, np.int32(len(data)))
+        chunks = pa.Array.from_buffers(pa.string(), len(cuts), [None, pa.py_buffer(bounds), pa.py_buffer(data)])
+        coded = chunks.dictionary_encode()       # each different chunk is looked up once
+        which = coded.indices.to_numpy()
+        known = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(b"".join(known), "<u4")
+        size = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        start = np.cumsum(size, dtype=np.int32) - size
+        n = size[which]
+        end = np.append(np.int32(0), np.cumsum(n, dtype=np.int32))       # ids are no more than bytes
+        flat = ids[np.repeat(start[which] - end[:-1], n) + np.arange(end[-1], dtype=np.int32)]
+        return flat, end[np.searchsorted(cuts, at)].astype(np.int64)
+
+    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(the ids of all texts one after another, where each text's ids begin and the last one's end)."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
+        alone = np.flatnonzero(pc.match_substring_regex(texts, self.whole).to_numpy(zero_copy_only=False))
+        if not len(alone):
+            return self._joined(texts)
+        flats, sizes, at = [], [], 0
+        for i in [*alone.tolist(), len(texts)]:
+            flat, ends = self._joined(texts.slice(at, i - at))
+            flats.append(flat)
+            sizes.append(np.diff(ends))
+            if i < len(texts):
+                flats.append(np.frombuffer(self._encode([texts[i].as_py()])[0], "<u4"))
+                sizes.append([len(flats[-1])])
+            at = i + 1
+        return np.concatenate(flats), np.append(0, np.cumsum(np.concatenate(sizes))).astype(np.int64)
+
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        flat, at = self.flat(pa.array(texts, pa.string()))
+        return [flat[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+
+
+def by_bytes(batch: pa.RecordBatch, text: int, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about ``most`` bytes of text (column number ``text``), a row at least."""
+    size = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    ends = np.append(0, np.cumsum(size, dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, ends[at] + most, "right")) - 1)
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def with_end(flat: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """``Encoder.flat``'s result with an end id after each text."""
+    return np.insert(flat, at[1:], end_id), at + np.arange(len(at))
+
+
+def as_binary(flat: np.ndarray, at: np.ndarray) -> pa.Array:
+    """A binary column of little-endian ids: one value between each two places of ``at``."""
+    if 4 * int(at[-1]) >= 1 << 31:
+        raise ValueError("ids of one batch exceed 2 GB")
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [
+        None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat, "<u4"))])
 
 
 def encoder(path: str) -> Encoder:

@@ -3,12 +3,13 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 import pytest
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
-from chainstar.llm import packing, sentencepiece_codec, token_files
+from chainstar.llm import packing, sentencepiece_codec, token_files, tokens
 from chainstar.llm.common import work_dir
 from chainstar.llm.queries import BYTE_BPE, PIECES, WORD_BPE
 from chainstar.llm.rans import Coder, quantise
@@ -36,6 +37,55 @@ def test_chunked_ids_of_any_text(text):
         assert enc.ids([text])[0] == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), path
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.text(alphabet=" \n\r\0 ab'é.1\xa0Σ", max_size=12) | st.just("x <|endoftext|> y"), max_size=6))
+def test_ids_of_many_texts_at_once(texts):
+    for path, (tok, enc) in ENCODERS.items():
+        want = [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+        padded = pa.array(["before", *texts, "after"], pa.string()).slice(1, len(texts))
+        flat, at = enc.flat(padded)
+        assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want, path
+        ended, to = tokens.with_end(flat, at, 2)
+        assert [x.as_py() for x in tokens.as_binary(ended, to)] == [np.array(x + [2], "<u4").tobytes() for x in want]
+
+
+ODD = ["<|", "|>", "endoftext", "ENDOFTEXT", "a", "B", "J\u030c", "K", "İ", "Σ", "'", "'s", "'LL", ".", ",", "=", "\u0338",
+       "_", " ", "\n", "1", "\0", "日", "🙂"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(ODD), max_size=12).map("".join))
+def test_letters_marks_and_cases_beside_each_other(text):
+    for path, (tok, enc) in ENCODERS.items():
+        assert enc.ids([text])[0] == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), path
+
+
+def test_each_different_chunk_is_looked_up_once():
+    class Asked(dict):
+        n = 0
+
+        def get(self, *a):
+            Asked.n += 1
+            return super().get(*a)
+
+    texts = ["the quick brown fox jumps over the lazy dog, 12 times " * 50] * 20
+    for path, (tok, _) in ENCODERS.items():
+        enc = Encoder(path)
+        enc.young, Asked.n = Asked(), 0
+        assert enc.ids(texts)[7] == np.array(tok.encode(texts[7], add_special_tokens=False).ids, "<u4").tobytes()
+        assert Asked.n <= 15, path
+
+
+def test_slices_by_bytes_keep_every_row():
+    texts = ["x" * 10, None, "", "y" * 100, *["z" * 3] * 20, "ü" * 30]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["k", "t"])
+    for most in (1, 12, 1000):
+        got = list(tokens.by_bytes(batch, 1, most))
+        assert [r for x in got for r in x.to_pylist()] == batch.to_pylist()
+        assert all(x.num_rows == 1 or sum(len((t or "").encode()) for t in x.column(1).to_pylist()) <= most for x in got)
+    assert list(tokens.by_bytes(batch.slice(0, 0), 1)) == []
+
+
 ENCODERS = {p: (Tokenizer.from_file(p), Encoder(p)) for p in (BYTE_BPE, WORD_BPE)}
 
 
@@ -83,6 +133,16 @@ def test_rans_round_trip(ids, lanes, every):
     assert coder.decode(coder.encode(ids, lanes, every)).tolist() == ids.tolist()
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 40), max_size=200), max_size=6), st.sampled_from([1, 3, 16]), st.sampled_from([1, 4, 100]))
+def test_rans_blocks_side_by_side(blocks, lanes, every):
+    coder = Coder(quantise(np.bincount([x for b in blocks for x in b], minlength=41), bits=12), bits=12)
+    got = coder.encode_all([np.array(b, "<u4") for b in blocks], lanes, every)
+    assert got == [coder.encode(np.array(b, "<u4"), lanes, every) for b in blocks]
+    mixed = [*got, coder.encode(np.array([], "<u4")), *got]
+    assert [x.tolist() for x in coder.decode_all(mixed)] == [*blocks, [], *blocks]
+
+
 def test_rans_large_block_compresses():
     rng = np.random.default_rng(0)
     ids = rng.zipf(1.3, 200_000) % 40_000
