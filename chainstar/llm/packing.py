@@ -15,12 +15,17 @@ the ids are consecutive.
 from __future__ import annotations
 
 import zlib
+from itertools import pairwise
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
-from chainstar.llm.common import c, map_batches, partition_offsets, task_id, work_dir, written
-from chainstar.llm.tokens import encoder
+from chainstar.llm.common import c, partition_offsets, task_id, work_dir, written
+from chainstar.llm.tokens import as_binary, by_bytes, encoder, with_end
 
 
 def pieces(n: int, longest: int = 1024) -> list[int]:
@@ -38,28 +43,34 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
     stay the same whatever executor is lost later.
     """
     assert longest > 0 and longest & (longest - 1) == 0, "longest must be a power of two"
-    end = int(end_id).to_bytes(4, "little")
+    kind = docs.select(c(id_col)).schema[0].dataType.simpleString()
+    schema = (f"`{id_col}` {kind}, start long, length long, ids binary, ids_crc32 long, doc_tokens long, "
+              "pid long, rank long")
+    arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def make():
+    def cut_up(batches):
         enc, pid, count = encoder(tokenizer), task_id(), {}
+        for batch in batches:
+            for part in by_bytes(batch, 1):
+                flat, at = with_end(*enc.flat(part.column(1)), end_id)
+                rows = []
+                for row, n in enumerate(np.diff(at).tolist()):
+                    start = 0
+                    for m in pieces(n, longest):
+                        rank = count[m] = count.get(m, -1) + 1
+                        rows.append((row, start, m, n, rank))
+                        start += m
+                row, start, length, n, rank = np.array(rows, dtype=np.int64).T
+                ends = np.append(0, np.cumsum(length))
+                data = memoryview(flat).cast("B")
+                crc = [zlib.crc32(data[a:b]) for a, b in pairwise((4 * ends).tolist())]
+                out = (part.column(0).take(pa.array(row)), start, length, as_binary(flat, ends), crc, n,
+                       np.full(len(row), pid), rank)
+                yield pa.RecordBatch.from_arrays(
+                    [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, type=f.type)
+                     for v, f in zip(out, arrow, strict=True)], schema=arrow)
 
-        def work(keys, texts):
-            out = []
-            for key, ids in zip(keys, enc.ids(texts)):
-                ids += end
-                at = 0
-                for n in pieces(len(ids) // 4, longest):
-                    part = ids[4 * at:4 * (at + n)]
-                    rank = count[n] = count.get(n, -1) + 1
-                    out.append((key, at, n, part, zlib.crc32(part), len(ids) // 4, pid, rank))
-                    at += n
-            return list(zip(*out)) if out else [[]] * 8
-        return work
-
-    kind = docs.select(c(id_col)).schema[0].dataType.simpleString()
-    cut = map_batches(docs.select(c(id_col), c(text_col)), make,
-                      f"`{id_col}` {kind}, start long, length long, ids binary, ids_crc32 long, doc_tokens long, "
-                      "pid long, rank long")
+    cut = docs.select(c(id_col), c(text_col)).mapInArrow(cut_up, schema)
     cut = written(cut, work_dir(docs.sparkSession, "pieces"))
     # One row per bucket and task: the buckets' first numbers and the tasks' places in them.
     sizes = cut.groupBy("length", "pid").agg(F.count("*").alias("n"))
