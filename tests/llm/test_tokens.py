@@ -121,6 +121,20 @@ def test_pack(spark, docs_of):
     assert packing.pack(docs_of([]), BYTE_BPE, end_id=0).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["string", "timestamp", "timestamp_ntz", "date", "decimal(9,2)", "binary", "short"])
+def test_keys_of_any_type(spark, docs_of, kind):
+    docs = docs_of(["a b, c.", None, "long " * 2000, "d"], ids=[1, 2, 3, None])
+    key = {"binary": "cast(cast(doc_id as string) as binary)", "date": "date_add(date'2024-03-30', cast(doc_id as int))",
+           "timestamp": "timestamp_seconds(doc_id)", "timestamp_ntz": "cast(timestamp_seconds(doc_id) as timestamp_ntz)"}
+    docs = docs.selectExpr(f"{key.get(kind, f'cast(doc_id as {kind})')} as doc_id", "text")
+    want = sorted(str(r.doc_id) for r in docs.collect())
+    packed = packing.pack(docs, BYTE_BPE, end_id=0).where("start = 0")
+    assert sorted(str(r.doc_id) for r in packed.collect()) == want
+    path = work_dir(spark, "files")
+    token_files.write(docs, path, WORD_BPE, end_id=2)
+    assert sorted(str(r.doc_id) for r in token_files.read(spark, path, with_ids=False).collect()) == want
+
+
 # -- rANS -----------------------------------------------------------------------------------
 
 @settings(max_examples=60, deadline=None)
