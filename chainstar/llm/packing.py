@@ -24,9 +24,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from chainstar.llm.common import c, partition_offsets, task_id, work_dir, written
+from chainstar.llm.common import c, give_back, partition_offsets, task_id, work_dir, written
 from chainstar.llm.tokens import as_binary, by_bytes, encoder, with_end
 
+REMEMBERED = 200_000   # chunks that a worker remembers; the workers of an executor have what its heap leaves
+
 
 def pieces(n: int, longest: int = 1024) -> list[int]:
     """Lengths whose sum is ``n``: ``longest`` again and again, then the binary digits of the rest."""
@@ -49,7 +51,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def cut_up(batches):
-        enc, pid, count = encoder(tokenizer), task_id(), {}
+        enc, pid, count = encoder(tokenizer, REMEMBERED), task_id(), {}
         for batch in batches:
             for part in by_bytes(batch, 1):
                 flat, at = with_end(*enc.flat(part.column(1)), end_id)
@@ -69,6 +71,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
                 yield pa.RecordBatch.from_arrays(
                     [v.cast(f.type) if isinstance(v, pa.Array) else pa.array(v, type=f.type)
                      for v, f in zip(out, arrow, strict=True)], schema=arrow)
+                give_back()
 
     cut = docs.select(c(id_col), c(text_col)).mapInArrow(cut_up, schema)
     cut = written(cut, work_dir(docs.sparkSession, "pieces"))
@@ -78,6 +81,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, id_col: str = "doc_id", t
     buckets = sizes.groupBy("length").agg(F.sum("n").alias("m"))
     first = partition_offsets(buckets, "length", "m", "first")
     places = within.join(first, "length").select("length", "pid", (F.col("before") + F.col("first")).alias("place"))
-    return cut.join(places, ["length", "pid"]).select(
+    # At most one row per length and task, sent to the pieces: their ids are not shuffled.
+    return cut.join(F.broadcast(places), ["length", "pid"]).select(
         c(id_col), "start", "length", "ids", "ids_crc32", "doc_tokens",
         (F.col("place") + F.col("rank")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))

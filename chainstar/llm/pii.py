@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chainstar.llm.common import c, map_batches
+from chainstar.llm.common import c, give_back, map_batches
 
 KINDS = ("email", "ip", "card", "phone")
 # The local part is read backwards from each @, the numbers of an address once each: linear on any text.
@@ -311,6 +311,7 @@ def redact(docs: DataFrame, text_col: str = "text", n_chars_col: str | None = "n
     """
     @F.pandas_udf("string")
     def masked(texts: pd.Series) -> pd.Series:
+        give_back()
         return texts.map(mask, na_action="ignore").astype(object)
 
     row = F.struct(*[c(x) for x in docs.columns])     # names of extra columns can't clash

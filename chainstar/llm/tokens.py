@@ -225,8 +225,8 @@ def as_binary(flat: np.ndarray, at: np.ndarray) -> pa.Array:
         None, pa.py_buffer((4 * at).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(flat, "<u4"))])
 
 
-def encoder(path: str) -> Encoder:
-    """This worker's encoder for a vocabulary file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, most: int = 800_000) -> Encoder:
+    """This worker's encoder for a vocabulary file, remembering at most ``most`` chunks."""
+    if (path, most) not in _ENCODERS:
+        _ENCODERS[path, most] = Encoder(path, most)
+    return _ENCODERS[path, most]

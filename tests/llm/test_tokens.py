@@ -1,5 +1,6 @@
 """Token operators: exact round trips and brute force."""
 
+import re
 import zlib
 
 import numpy as np
@@ -121,6 +122,29 @@ def test_pack(spark, docs_of):
     assert packing.pack(docs_of([]), BYTE_BPE, end_id=0).count() == 0
 
 
+def test_pack_sends_places_to_the_ids(spark, docs_of, capsys):
+    """Whatever the limit of a broadcast, the pieces' ids are not shuffled to meet their numbers."""
+    limit = "spark.sql.autoBroadcastJoinThreshold"
+    old = spark.conf.get(limit)
+    spark.conf.set(limit, "-1")
+    try:
+        got = packing.pack(docs_of(["a b c", "d e"]), BYTE_BPE, end_id=0)
+        got.explain("formatted")
+        assert got.count() == 3
+    finally:
+        spark.conf.set(limit, old)
+    inputs = re.findall(r"\) Exchange\nInput \[\d+\]: (.*)", capsys.readouterr().out)
+    assert inputs and not [x for x in inputs if "ids#" in x]
+
+
+def test_encoder_of_a_worker_remembers_few_chunks():
+    enc = tokens.encoder(BYTE_BPE, 100)
+    assert enc is tokens.encoder(BYTE_BPE, 100) and enc is not tokens.encoder(BYTE_BPE)
+    for n in range(50):
+        enc.ids([f" w{n}a{m}" for m in range(20)])
+        assert len(enc.young) + len(enc.old) <= 100 + 2 * 20
+
+
 @pytest.mark.parametrize("kind", ["string", "timestamp", "timestamp_ntz", "date", "decimal(9,2)", "binary", "short"])
 def test_keys_of_any_type(spark, docs_of, kind):
     docs = docs_of(["a b, c.", None, "long " * 2000, "d"], ids=[1, 2, 3, None])
