@@ -289,3 +289,54 @@ def test_sentencepiece_tables(spark, docs_of):
     back = {r.doc_id: r.text for r in sentencepiece_codec.decode(ids, PIECES).collect()}
     assert back == {i: t or "" for i, t in enumerate(texts)}
     assert sentencepiece_codec.encode(docs.limit(0), PIECES).count() == 0
+
+
+def test_new_segments_are_searched_side_by_side(monkeypatch):
+    """Only segments longer than the window, or with a character without a piece, go through the text one by one."""
+    codec, alone = sentencepiece_codec.Codec(PIECES), []
+    monkeypatch.setattr(codec, "viterbi", lambda text: alone.append(text) or sentencepiece_codec.Codec.viterbi(codec, text))
+    words = [f"w{i}x{i % 7}" for i in range(3000)] + ["été", "ребёнок", "a" * (codec.longest - 1)]
+    texts = [" ".join(words), "a" * codec.longest, "ab\x00c", *words]
+    got = [codec.encode(t) for t in texts]
+    assert alone == ["▁" + "a" * codec.longest, "▁ab\x00c"]
+    assert got == [brute_viterbi(codec, "▁" + t.replace(" ", "▁")) for t in texts]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=" \n▁\tabth.éСт日🙂\x000", max_size=40)), max_size=8))
+def test_sentencepiece_slice_equals_single_texts(texts):
+    flat, at = CODEC.flat(pa.array(texts, pa.string()))
+    want = [brute_viterbi(CODEC, "▁" + t.replace(" ", "▁")) if t else [] for t in texts]
+    assert [flat[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
+    assert CODEC.texts(token_files.as_binary(flat, at)).to_pylist() == [CODEC.decode(x) for x in want]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.lists(st.one_of(
+    st.integers(0, 262), st.integers(0, len(CODEC.pieces) - 1),
+    st.sampled_from([CODEC.byte_id[b] for b in " ▁é🙂".encode()])), max_size=8)), max_size=8))
+def test_sentencepiece_decodes_any_ids(rows):
+    """Special ids, bytes that are no UTF-8, bytes of blanks and of U+2581."""
+    ids = pa.array([None if x is None else np.array(x, "<u4").tobytes() for x in rows], pa.binary())
+    assert CODEC.texts(ids).to_pylist() == [CODEC.decode(x or []) for x in rows]
+
+
+def test_sentencepiece_vocabulary_with_pieces_over_blanks():
+    codec = sentencepiece_codec.Codec.__new__(sentencepiece_codec.Codec)
+    codec.byte_id, codec.unknown = {}, 0
+    codec._setup({p: (-1.0 - n, n + 1) for n, p in enumerate(["▁", "a", "b", "a▁b", "ab", "\n", "b\na"])}, 50)
+    for text in ["a b", "ab ab\nab", "b\na b\na", " a", "a bcb", "a b" * 40]:
+        assert codec.encode(text) == brute_viterbi(codec, "▁" + text.replace(" ", "▁"))
+
+
+@pytest.mark.parametrize("kind", ["string", "timestamp", "timestamp_ntz", "decimal(9,2)", "binary"])
+def test_sentencepiece_keys_of_other_types(spark, docs_of, kind):
+    cast = {"binary": "cast(cast(doc_id as string) as binary)", "timestamp": "timestamp_seconds(doc_id)",
+            "timestamp_ntz": "cast(timestamp_seconds(doc_id) as timestamp_ntz)"}.get(kind, f"cast(doc_id as {kind})")
+    docs = docs_of(["one two", None, "one two", "🙂\n"], ids=[5, 6, 5, None]).selectExpr(f"{cast} doc_id", "text")
+    ids = sentencepiece_codec.encode(docs, PIECES)
+    back = sentencepiece_codec.decode(ids, PIECES)
+    assert back.schema["doc_id"].dataType == docs.schema["doc_id"].dataType
+    want = docs.selectExpr("doc_id", "coalesce(text, '') text")
+    assert sorted(map(str, back.collect())) == sorted(map(str, want.collect()))
+    assert all(r.ids_crc32 == zlib.crc32(r.ids) and 4 * r.n_ids == len(r.ids) for r in ids.collect())
